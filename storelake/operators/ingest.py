@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storelake.functions.keys import format_utc
 from storelake.functions.text import non_blank_or, to_number, to_whole
+from storelake.operators.lateral import computed_once
 from storelake.operators.validation import PAYMENT_METHODS, VALIDATION_FAILED, transaction_errors
 
 # High-value flag bound, generated-id form and default device.
@@ -27,7 +28,7 @@ def check(decoded: DataFrame, methods: list[str] = PAYMENT_METHODS) -> DataFrame
         return F.struct(index.alias("index"), messages.alias("messages"))
 
     failing = F.filter(F.transform("transactions", verdict), lambda v: F.size(v["messages"]) > 0)
-    return decoded.withColumn("errors", F.when(F.col("shape_error").isNull(), failing))
+    return computed_once(decoded, errors=F.when(F.col("shape_error").isNull(), failing))
 
 
 def rejections(checked: DataFrame) -> DataFrame:

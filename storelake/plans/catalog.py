@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from storelake.functions.keys import iso_timestamp, lineage
 from storelake.operators import clean, dims, facts, incremental, ingest, validation
+from storelake.operators.lateral import computed_once
 from storelake.plans import loads
 from storelake.plans import retail_views as views
 from storelake.schemas import (
@@ -75,12 +76,18 @@ def dim_date(spark, folder):
 @query
 def fact_transactions(spark, folder):
     transactions = views.transactions(spark, folder)
+    by = loads.together(
+        spark,
+        customers=lambda: sinks.stored(dims.dim_customer(views.customers(spark, folder))),
+        products=lambda: sinks.stored(dims.dim_product(views.products(spark, folder))),
+        payments=lambda: sinks.stored(dims.dim_payment(transactions)),
+    )
     return shown(
         facts.fact_transactions(
             transactions,
-            sinks.stored(dims.dim_customer(views.customers(spark, folder))),
-            sinks.stored(dims.dim_product(views.products(spark, folder))),
-            sinks.stored(dims.dim_payment(transactions)),
+            by["customers"],
+            by["products"],
+            by["payments"],
             "INITIAL",
             RUN_TS,
         )
@@ -379,8 +386,8 @@ def run_metrics(spark, folder):
 
 
 def change_feed(spark, folder) -> DataFrame:
-    decoded = F.from_json("value", CHANGE_RECORD).alias("change")
-    return views.change_records(spark, folder).select(decoded).select("change.*")
+    records = views.change_records(spark, folder)
+    return computed_once(records, change=F.from_json("value", CHANGE_RECORD)).select("change.*")
 
 
 @query
@@ -456,7 +463,7 @@ def cdc_landing(spark, folder):
 @query
 def bulk_extract(spark, folder):
     lake = loads.Lake(scratch_path(spark, "lake"))
-    loads.extract(views.retail_tables(spark, folder), lake)
+    loads.extract(spark, views.retail_tables(spark, folder), lake)
     counts = [
         read_csv(spark, f"{lake.bronze}/{name}", schema).agg(
             F.lit(name).alias("table_name"),

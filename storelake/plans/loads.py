@@ -1,23 +1,32 @@
 """Bulk extract, initial load and incremental load."""
 
+import logging
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from storelake.operators import dims, facts
 from storelake.operators.clean import cast_to, clean
 from storelake.operators.incremental import newer_than, not_in
 from storelake.schemas import BATCH_TABLES, GOLD_TABLES
-from storelake.sinks.files import append_delta, overwrite, read_stored, stored, write_csv
+from storelake.sinks.files import append_delta, overwrite, read_stored, stored, stored_counted, write_csv
 from storelake.sources.files import read_csv
 
+log = logging.getLogger(__name__)
+
 # Loads one Gold table into the warehouse: called with the frame and the table name.
 Warehouse = Callable[[DataFrame, str], None]
 
 MODES = ("initial", "incremental")
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -38,15 +47,30 @@ class Lake:
         return f"{self.root}/gold"
 
 
-def extract(sources: Mapping[str, DataFrame], lake: Lake) -> None:
+def together(spark: SparkSession, **jobs: Callable[[], T]) -> dict[str, T]:
+    """Submit independent Spark jobs at once, so that a small table does not hold up the cluster."""
+    submit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {name: pool.submit(submit(job)) for name, job in jobs.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
+def extract(spark: SparkSession, sources: Mapping[str, DataFrame], lake: Lake) -> None:
     """Source tables to Bronze CSV, written in parallel by the executors."""
-    for name, source in sources.items():
-        write_csv(source, f"{lake.bronze}/{name}")
+    together(
+        spark, **{name: partial(write_csv, source, f"{lake.bronze}/{name}") for name, source in sources.items()}
+    )
+
+
+def bronze_to_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """Clean the Bronze files into Silver and return the rows kept per table."""
 
+    def refine(name: str) -> int:
+        bronze = read_csv(spark, f"{lake.bronze}/{name}", BATCH_TABLES[name])
+        _, rows = stored_counted(clean(bronze), f"{lake.silver}/{name}")
+        return rows
 
-def bronze_to_silver(spark: SparkSession, lake: Lake) -> None:
-    for name, schema in BATCH_TABLES.items():
-        overwrite(clean(read_csv(spark, f"{lake.bronze}/{name}", schema)), f"{lake.silver}/{name}")
+    return together(spark, **{name: partial(refine, name) for name in BATCH_TABLES})
 
 
 def build_gold(
@@ -58,26 +82,34 @@ def build_gold(
     every consumer sees the same rows.
     """
     silver = read_stored(spark, lake.silver, list(BATCH_TABLES))
-    by_customer = stored(dims.dim_customer(silver["customers"]), f"{lake.gold}/dim_customer")
-    by_product = stored(dims.dim_product(silver["products"]), f"{lake.gold}/dim_product")
-    by_payment = stored(dims.dim_payment(silver["transactions"]), f"{lake.gold}/dim_payment")
-    overwrite(dims.dim_date(silver["transactions"]), f"{lake.gold}/dim_date")
+    gold = together(
+        spark,
+        customers=lambda: stored(dims.dim_customer(silver["customers"]), f"{lake.gold}/dim_customer"),
+        products=lambda: stored(dims.dim_product(silver["products"]), f"{lake.gold}/dim_product"),
+        payments=lambda: stored(dims.dim_payment(silver["transactions"]), f"{lake.gold}/dim_payment"),
+        dates=lambda: stored(dims.dim_date(silver["transactions"]), f"{lake.gold}/dim_date"),
+    )
     sales = facts.fact_transactions(
-        silver["transactions"], by_customer, by_product, by_payment, load_type, run_ts
+        silver["transactions"], gold["customers"], gold["products"], gold["payments"], load_type, run_ts
     )
-    overwrite(sales, f"{lake.gold}/fact_transactions")
-    overwrite(
-        facts.fact_behavior(silver["behavior"], by_customer, load_type, run_ts), f"{lake.gold}/fact_behavior"
+    visits = facts.fact_behavior(silver["behavior"], gold["customers"], load_type, run_ts)
+    together(
+        spark,
+        transactions=lambda: overwrite(sales, f"{lake.gold}/fact_transactions"),
+        behavior=lambda: overwrite(visits, f"{lake.gold}/fact_behavior"),
     )
     if warehouse:
         for name, frame in read_stored(spark, lake.gold, GOLD_TABLES).items():
             warehouse(frame, name)
 
 
-def initial_load(spark: SparkSession, lake: Lake, run_ts: datetime, warehouse: Warehouse | None = None) -> None:
-    """Bronze to Silver to Gold, then the warehouse."""
-    bronze_to_silver(spark, lake)
+def initial_load(
+    spark: SparkSession, lake: Lake, run_ts: datetime, warehouse: Warehouse | None = None
+) -> dict[str, int]:
+    """Bronze to Silver to Gold, then the warehouse. Returns the Silver rows per table."""
+    kept = bronze_to_silver(spark, lake)
     build_gold(spark, lake, "INITIAL", run_ts, warehouse)
+    return kept
 
 
 def incremental_load(
@@ -105,7 +137,9 @@ def incremental_load(
         "products": newer_than(conformed("products"), silver["products"], "product_id"),
         "behavior": not_in(conformed("behavior"), silver["behavior"], "customer_id"),
     }
-    appended = {name: append_delta(delta, f"{lake.silver}/{name}") for name, delta in deltas.items()}
+    appended = together(
+        spark, **{name: partial(append_delta, delta, f"{lake.silver}/{name}") for name, delta in deltas.items()}
+    )
     build_gold(spark, lake, "INCREMENTAL", run_ts, warehouse)
     return appended
 
@@ -117,12 +151,17 @@ def run(
     sources: Mapping[str, DataFrame],
     run_ts: datetime,
     warehouse: Warehouse | None = None,
-) -> None:
-    """Route a run by its mode: ``initial`` extracts and loads everything, ``incremental`` adds what is new."""
+) -> dict[str, int]:
+    """Route a run by its mode: ``initial`` extracts and loads everything, ``incremental`` adds what is new.
+
+    Returns the rows that entered Silver per table.
+    """
     if mode == "initial":
-        extract(sources, lake)
-        initial_load(spark, lake, run_ts, warehouse)
+        extract(spark, sources, lake)
+        entered = initial_load(spark, lake, run_ts, warehouse)
     elif mode == "incremental":
-        incremental_load(spark, lake, sources, run_ts, warehouse)
+        entered = incremental_load(spark, lake, sources, run_ts, warehouse)
     else:
         raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode!r}")
+    log.info("%s load: %s", mode, entered)
+    return entered

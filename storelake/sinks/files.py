@@ -25,15 +25,20 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_counted(df: DataFrame, path: str | None = None) -> tuple[DataFrame, int]:
+    """``stored`` with the number of rows, counted by the tasks that write them."""
+    counter = Observation()
+    written = stored(df.observe(counter, F.count(F.lit(1)).alias("rows")), path)
+    return written, counter.get["rows"]
+
+
 def append_delta(delta: DataFrame, path: str) -> int:
     """Append a delta unless it is empty, and return its row count.
 
     The delta is staged first: its source is read once, and the count belongs to the very rows
     that are appended even when the source changes meanwhile.
     """
-    counter = Observation("delta")
-    staged = stored(delta.observe(counter, F.count(F.lit(1)).alias("rows")))
-    rows = counter.get["rows"]
+    staged, rows = stored_counted(delta)
     if rows:
         append(staged, path)
     return rows

@@ -1,35 +1,32 @@
 """API requests: one JSON body per row, holding a list of transactions."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from storelake.operators import validation as rules
-from storelake.schemas import REQUEST_FIELDS
+from storelake.operators.lateral import computed_once
+from storelake.schemas import REQUEST_FIELDS, TEXT, columns
 
-
-def _transaction(element: Column) -> Column:
-    return F.struct(*[F.try_variant_get(element, f"$.{name}", "string").alias(name) for name in REQUEST_FIELDS])
+BODY = columns(transactions=ArrayType(columns(**{name: TEXT for name in REQUEST_FIELDS})))
 
 
 def decode_requests(requests: DataFrame) -> DataFrame:
     """Parse ``body`` into ``transactions`` (an array of text fields) and ``shape_error``.
 
-    The shape error is null for a request whose body holds a list of acceptable length.
+    The shape error is null for a request whose body holds a list of acceptable length. Only a
+    body that yields no list is looked at again, to tell why. A list with anything but objects
+    and nulls counts as no list.
     """
-    parsed = requests.withColumn("doc", F.try_parse_json("body"))
-    listed = parsed.withColumns(
-        {
-            "has_list": F.try_variant_get("doc", "$.transactions", "variant").isNotNull(),
-            "elements": F.try_variant_get("doc", "$.transactions", "array<variant>"),
-        }
-    )
-    shape_error = (
-        F.when(F.col("doc").isNull(), rules.INVALID_JSON)
-        .when(~F.col("has_list"), rules.NO_TRANSACTIONS)
-        .when(F.col("elements").isNull(), rules.NOT_A_LIST)
-        .when(F.size("elements") == 0, rules.EMPTY_LIST)
-        .when(F.size("elements") > rules.MAX_REQUEST_SIZE, rules.LIST_TOO_LONG)
+    body = F.from_json("body", BODY, {"allowSingleQuotes": "false"})
+    parsed = computed_once(requests, parsed=body).withColumn("transactions", F.col("parsed.transactions"))
+    document = F.try_parse_json("body")
+    count = F.size("transactions")
+    reason = (
+        F.when(F.col("transactions").isNotNull(), F.when(count == 0, rules.EMPTY_LIST))
+        .when(document.isNull(), rules.INVALID_JSON)
+        .when(F.try_variant_get(document, "$.transactions", "variant").isNull(), rules.NO_TRANSACTIONS)
+        .otherwise(rules.NOT_A_LIST)
     )
-    return listed.withColumns(
-        {"transactions": F.transform("elements", _transaction), "shape_error": shape_error}
-    ).drop("doc", "has_list", "elements")
+    shape_error = F.when(count > rules.MAX_REQUEST_SIZE, rules.LIST_TOO_LONG).otherwise(reason)
+    return parsed.withColumn("shape_error", shape_error).drop("parsed")

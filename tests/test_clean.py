@@ -1,0 +1,76 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from storelake.operators.clean import cast_to, clean, complete, dedup_by_key, normalize_names
+from storelake.schemas import DOUBLE, FLOAT, INT, TEXT, columns
+
+
+def test_names_are_normalised(spark):
+    df = spark.range(1).toDF(" Order-Value (EUR) ")
+    assert normalize_names(df).columns == ["order_value_eur_"]
+
+
+def test_clashing_names_are_an_error(spark):
+    with pytest.raises(ValueError, match="a_b"):
+        normalize_names(spark.createDataFrame([(1, 2)], ["A b", "a-b"]))
+
+
+def test_nulls_and_nan_are_dropped(spark):
+    rows = [("a", 1.0), (None, 1.0), ("b", None), ("c", math.nan), ("d", -0.5)]
+    df = spark.createDataFrame(rows, "id string, v double")
+    assert sorted(r.id for r in complete(df).collect()) == ["a", "d"]
+
+
+def test_copies_collapse(spark):
+    rows = [("a", 1)] * 50 + [("a", 2), ("b", None)]
+    df = spark.createDataFrame(rows, "`The Id` string, N int")
+    assert sorted(map(tuple, clean(df).collect())) == [("a", 1), ("a", 2)]
+    assert clean(df).columns == ["the_id", "n"]
+
+
+def test_null_checks_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).select(F.col("id").cast("string").alias("k"), F.rand().alias("v")).write.parquet(path)
+    plan = clean(spark.read.parquet(path))._jdf.queryExecution().toString()
+    assert "IsNotNull(k), IsNotNull(v)" in plan
+
+
+def test_cast_keeps_what_converts(spark):
+    df = spark.createDataFrame([("7", "1.5", 3.0), ("x", "n/a", 9e9)], "a string, b string, c double")
+    schema = columns(c=INT, a=INT, b=FLOAT)
+    assert [tuple(r) for r in cast_to(df, schema).collect()] == [(3, 7, 1.5), (None, None, None)]
+    assert cast_to(df, schema).schema == schema
+
+
+def test_survivor_is_the_smallest_rest(spark):
+    rows = [("k", 2, "a"), ("k", 1, "z"), ("k", 1, "b"), ("n", None, "x"), ("n", 0, "x")]
+    df = spark.createDataFrame(rows, "k string, a int, b string")
+    for seed in range(3):
+        shuffled = df.orderBy(F.rand(seed)).repartition(3)
+        got = sorted(map(tuple, dedup_by_key(shuffled, ["k"]).collect()))
+        assert got == [("k", 1, "b"), ("n", None, "x")]
+
+
+def test_dedup_matches_brute_force(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice("abc"), rng.randrange(3), rng.choice("xyz"), rng.random() < 0.3) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a string, b int, c string, d boolean")
+    wanted = {}
+    for a, b, c, d in rows:
+        wanted[b] = min(wanted.get(b, (a, c, d)), (a, c, d))
+    got = {r.b: (r.a, r.c, r.d) for r in dedup_by_key(df, ["b"]).collect()}
+    assert got == wanted
+
+
+def test_dedup_of_keys_alone(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2), (3, 4)], "a int, b int")
+    assert sorted(map(tuple, dedup_by_key(df, ["b", "a"]).collect())) == [(1, 2), (3, 4)]
+
+
+def test_cast_to_double_and_text(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    assert cast_to(df, columns(a=TEXT)).first().a == "1"
+    assert cast_to(df, columns(a=DOUBLE)).first().a == 1.0

@@ -1,0 +1,107 @@
+import pytest
+
+from storelake.schemas import FLOAT, INT, TEXT, TRANSACTIONS, columns
+from storelake.session import scratch_path
+from storelake.operators.clean import clean
+from storelake.sinks.files import stored, write_csv
+from storelake.sinks.jdbc import reload_options
+from storelake.sources.files import read_csv
+from storelake.sources.jdbc import Partitioning, read_options
+
+CELLS = columns(id=TEXT, n=INT, v=FLOAT)
+CONNECTION = {"url": "jdbc:somewhere", "user": "u", "password": "p", "driver": "d"}
+
+
+def test_malformed_cells_become_null_and_clean_drops_them(spark, tmp_path):
+    lines = [
+        "id,n,v", "a,1,1.5", "a,1,1.5", "b,bad,2", "c,,3", "e,2", "g,1,NaN", ",7,7", "f,2,3,4",
+    ]
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    rows = clean(read_csv(spark, str(tmp_path), CELLS)).collect()
+    assert sorted(map(tuple, rows)) == [("a", 1, 1.5), ("f", 2, 3.0)]
+
+
+def test_columns_bind_by_position(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("v,id,n\nx,1,2.5\n")
+    assert tuple(read_csv(spark, str(tmp_path), CELLS).first()) == ("x", 1, 2.5)
+
+
+@pytest.mark.parametrize("line_sep", ["\r\n", "\n"])
+def test_text_survives_the_extract(spark, tmp_path, line_sep):
+    texts = [
+        'he said "hi", ok', "two\nlines", "  padded  ", "back\\slash", "\\", '"', "comma,", "ünïcode", "x",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, t string")
+    path = str(tmp_path / "out")
+    write_csv(df, path, line_sep)
+    back = read_csv(spark, path, df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_null_and_empty_text_are_both_blank(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, "")], "n int, t string").coalesce(1)
+    path = tmp_path / "out"
+    write_csv(df, str(path))
+    content = next(path.glob("part-*.csv")).read_bytes()
+    assert content == b"n,t\r\n1,\r\n2,\r\n"
+    assert [r.t for r in read_csv(spark, str(path), df.schema).collect()] == [None, None]
+
+
+def test_extract_keeps_a_quoted_header_and_float_digits(spark, tmp_path):
+    df = spark.createDataFrame([(0.1, 1e-7)], "`a,b` double, c double")
+    path = str(tmp_path / "out")
+    write_csv(df, path)
+    assert tuple(read_csv(spark, path, df.schema).first()) == (0.1, 1e-7)
+
+
+def test_declared_schema_is_kept(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_csv(spark.createDataFrame([], TRANSACTIONS), path)
+    assert read_csv(spark, path, TRANSACTIONS).schema == TRANSACTIONS
+
+
+def test_stored_goes_to_a_fresh_scratch_folder(spark):
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        assert scratch_path(spark, "x").startswith(root.rstrip("/"))
+    assert stored(spark.range(5)).count() == 5
+
+
+def test_scratch_folder_is_required_on_a_cluster():
+    class Context:
+        applicationId, master = "app", "spark://somewhere:7077"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session(), "x")
+
+
+def test_jdbc_read_options():
+    whole = read_options(CONNECTION, table="shop.customers")
+    assert whole["dbtable"] == "shop.customers" and "numPartitions" not in whole
+    ranges = Partitioning("id", "0", "1000000", 64)
+    split = read_options(CONNECTION, query="select * from shop.customers", partitioning=ranges)
+    assert split["dbtable"] == "(select * from shop.customers) extracted"
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == (
+        "id", "0", "1000000", "64",
+    )
+
+
+def test_jdbc_read_needs_a_table_or_a_query():
+    for given in ({}, {"table": "t", "query": "q"}):
+        with pytest.raises(ValueError):
+            read_options(CONNECTION, **given)
+
+
+def test_jdbc_reload_options():
+    options = reload_options(CONNECTION, "shop.fact", max_connections=16)
+    assert (options["truncate"], options["batchsize"], options["numPartitions"]) == ("true", "10000", "16")
+    assert options["url"] == CONNECTION["url"] and options["dbtable"] == "shop.fact"
