@@ -3,13 +3,14 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimal or exponent notation, or an infinity. Java would also read "12d" and "0x1p3".
-NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
+# Text that may be a number: an infinity, or free of the letters of NaN and of the suffixes and
+# hexadecimal forms that Java reads besides ("12d", "0x1p3").
+NUMBER_LIKE = r"^[^dDfFnNpPxX]*$|^\s*[+-]?[iI]"
 
 
 def to_number(text: Column) -> Column:
     """Double value of a number written as text; null for anything else, NaN included."""
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    return F.when(text.rlike(NUMBER_LIKE), text.try_cast("double"))
 
 
 def to_whole(text: Column) -> Column:

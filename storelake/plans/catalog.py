@@ -261,9 +261,7 @@ def sink_csv_extract(spark, folder):
 @query
 def sink_csv_fixed(spark, folder):
     path = scratch_path(spark, "fixed")
-    records = items.decode_records(views.keyed_records(spark, folder))
-    stored_items = items.store_items(records, F.lit(RUN_TS))
-    sinks.write_csv(stored_items.select(STREAM_TXN.names), path, line_sep="\n")
+    sinks.write_csv(keyed_items(spark, folder).select(STREAM_TXN.names), path, line_sep="\n")
     return read_csv(spark, path, STREAM_TXN)
 
 
@@ -357,10 +355,14 @@ def ingest_build(spark, folder):
     return built_records(spark, folder)
 
 
+def received(keyed: DataFrame) -> DataFrame:
+    """What a consumer reads from the published messages."""
+    return computed_once(keyed, record=F.from_json("value", STREAM_TXN)).select("key", "record.*")
+
+
 @query
 def publish_keyed_json(spark, folder):
-    keyed = ingest.to_keyed_json(built_records(spark, folder))
-    return keyed.select("key", F.from_json("value", STREAM_TXN).alias("record")).select("key", "record.*")
+    return received(ingest.to_keyed_json(built_records(spark, folder)))
 
 
 @query
@@ -368,8 +370,7 @@ def ingest_publish(spark, folder):
     """Validate, build and publish to a folder; what a consumer of the stream reads."""
     path = scratch_path(spark, "published")
     ingest.to_keyed_json(built_records(spark, folder)).write.json(path)
-    received = spark.read.schema("key string, value string").json(path)
-    return received.select("key", F.from_json("value", STREAM_TXN).alias("record")).select("key", "record.*")
+    return received(spark.read.schema("key string, value string").json(path))
 
 
 @query
@@ -390,6 +391,10 @@ def change_feed(spark, folder) -> DataFrame:
     return computed_once(records, change=F.from_json("value", CHANGE_RECORD)).select("change.*")
 
 
+def keyed_items(spark, folder) -> DataFrame:
+    return items.store_items(items.decode_records(views.keyed_records(spark, folder)), F.lit(RUN_TS))
+
+
 @query
 def stream_decode(spark, folder):
     records = items.decode_records(views.keyed_records(spark, folder))
@@ -398,20 +403,17 @@ def stream_decode(spark, folder):
 
 @query
 def store_item(spark, folder):
-    records = items.decode_records(views.keyed_records(spark, folder))
-    stored_items = items.store_items(records, F.lit(RUN_TS))
-    return stored_items.withColumn("discount_applied", F.col("discount_applied").cast("double"))
+    return keyed_items(spark, folder).withColumn("discount_applied", F.col("discount_applied").cast("double"))
 
 
 @query
 def alerts_high_value(spark, folder):
-    return items.alerts(items.decode_records(views.keyed_records(spark, folder)))
+    return items.alerts(keyed_items(spark, folder))
 
 
 @query
 def upsert_latest(spark, folder):
-    records = items.decode_records(views.keyed_records(spark, folder))
-    latest = items.latest_per_key(items.store_items(records, F.lit(RUN_TS)), ["seq"])
+    latest = items.latest_per_key(keyed_items(spark, folder), ["seq"])
     return latest.withColumn("discount_applied", F.col("discount_applied").cast("double"))
 
 

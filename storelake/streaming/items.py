@@ -1,8 +1,8 @@
 """Keyed store of the latest item per transaction, with high-value alerts, fed by a stream.
 
-The store is an append-only log of micro-batches. Each batch keeps its last item per key and
-overwrites its own ``batch_id`` folder, so a replayed batch changes nothing. The current items
-are the latest per key over the log, by batch and position in the stream.
+The store is a log of micro-batches. Each batch overwrites its own ``batch_id`` folder, so a
+replayed batch changes nothing, and the stream itself never shuffles. The current items are the
+latest per key over the log, by batch and position in the stream; compaction folds the log.
 """
 
 import logging
@@ -11,9 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DataType, StructType
 
 from storelake.functions.keys import iso_timestamp
+from storelake.operators.lateral import computed_once
 from storelake.schemas import ALERT, ITEM_LOG, STORE_ITEM, STREAM_RECORD
+from storelake.sinks.files import stored_counted
 
 log = logging.getLogger(__name__)
 
@@ -29,7 +32,7 @@ def decode_records(keyed: DataFrame) -> DataFrame:
     """Decode base64 ``data`` into text fields. An unreadable record fails the batch, which then replays."""
     text = F.decode(F.unbase64("data"), "UTF-8")
     record = F.from_json(text, STREAM_RECORD, {"mode": "FAILFAST"})
-    return keyed.select("seq", record.alias("record")).select("seq", "record.*")
+    return computed_once(keyed, record=record).select("seq", "record.*")
 
 
 def store_items(records: DataFrame, ingested_at: Column) -> DataFrame:
@@ -51,33 +54,25 @@ def whole_or_zero(name: str) -> Column:
     return F.coalesce(F.col(name).cast("double").cast("int"), F.lit(0))
 
 
-def is_alert(threshold: float) -> Column:
-    return F.coalesce(F.col("order_value").cast("double"), F.lit(0.0)) > threshold
+def alerts(items: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
+    """Alert messages of the items above the threshold, with null for what the record lacked. NaN is not above."""
+    value = F.col("order_value").cast("double")
+    high = items.filter(~F.isnan(value) & (value > threshold))
+    known = [F.nullif(F.col(name), F.lit(UNKNOWN)).cast(to).alias(name) for name, to in typed(ALERT)]
+    return high.select(known)
 
 
-def alerts(records: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
-    """Alert messages of the records above the threshold."""
-    return records.filter(is_alert(threshold)).select(
-        [F.col(f.name).cast(f.dataType).alias(f.name) for f in ALERT]
-    )
+def typed(schema: StructType) -> list[tuple[str, DataType]]:
+    return [(f.name, f.dataType) for f in schema]
 
 
 def latest_per_key(items: DataFrame, order: list[str]) -> DataFrame:
-    """Last item per key. Copies are combined before the shuffle, so a hot key stays small."""
+    """Last item per key. Items are combined before the shuffle, so a hot key stays small."""
     rest = [c for c in items.columns if c != ITEM_KEY]
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("last")
     return items.groupBy(ITEM_KEY).agg(last).select(ITEM_KEY, "last.*")
 
 
-def write_items(items: DataFrame, batch_id: int, log_path: str) -> None:
-    """Write a batch's last item per key over the batch's own folder."""
-    latest_per_key(items, ["seq"]).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
-
-
-def write_alerts(messages: DataFrame, batch_id: int, alerts_path: str) -> None:
-    messages.write.mode("overwrite").option("ignoreNullFields", False).json(f"{alerts_path}/batch_id={batch_id}")
-
-
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     return spark.read.schema(ITEM_LOG).parquet(log_path)
 
@@ -102,25 +97,25 @@ def batch_writer(
     ingested_at: Column | None = None,
     threshold: float = ALERT_THRESHOLD,
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function with two outputs. The batch is decoded once and kept while both are written."""
+    """``foreachBatch`` function with two outputs: the items, then the alerts among the written items.
+
+    The input is read and decoded once, and nothing is cached. Both outputs are overwritten when
+    the batch replays.
+    """
 
     def write(keyed: DataFrame, batch_id: int) -> None:
-        records = decode_records(keyed).persist()
-        try:
-            if records.isEmpty():
-                return
-            now = F.current_timestamp() if ingested_at is None else ingested_at
-            write_items(store_items(records, now), batch_id, log_path)
-            counters = Observation(f"batch-{batch_id}")
-            counted = records.observe(
-                counters,
-                F.count(F.lit(1)).alias("written"),
-                F.count_if(is_alert(threshold)).alias("alerted"),
-            )
-            write_alerts(alerts(counted, threshold), batch_id, alerts_path)
-            log.info("batch %s: %s", batch_id, counters.get)
-        finally:
-            records.unpersist()
+        if keyed.isEmpty():
+            return
+        now = F.current_timestamp() if ingested_at is None else ingested_at
+        items, written = stored_counted(
+            store_items(decode_records(keyed), now), f"{log_path}/batch_id={batch_id}"
+        )
+        counter = Observation()
+        messages = alerts(items, threshold).observe(counter, F.count(F.lit(1)).alias("alerted"))
+        messages.write.mode("overwrite").option("ignoreNullFields", False).json(
+            f"{alerts_path}/batch_id={batch_id}"
+        )
+        log.info("batch %s: %s written, %s alerted", batch_id, written, counter.get["alerted"])
 
     return write
 

@@ -29,8 +29,12 @@ def record(**changed):
     return {**RECORD, **changed}
 
 
+def item_frame(spark, run_ts, *records):
+    return items.store_items(items.decode_records(keyed(spark, *records)), F.lit(run_ts))
+
+
 def stored_items(spark, run_ts, *records):
-    return items.store_items(items.decode_records(keyed(spark, *records)), F.lit(run_ts)).orderBy("seq").collect()
+    return item_frame(spark, run_ts, *records).orderBy("seq").collect()
 
 
 def test_item_fields(spark, run_ts):
@@ -66,25 +70,26 @@ def test_an_unreadable_record_fails_the_batch(spark, run_ts, bad):
         stored_items(spark, run_ts, RECORD, bad)
 
 
-def test_alert_bound_is_strict(spark):
-    values = [990, 990.01, "991.5", None, 5]
-    frame = items.decode_records(keyed(spark, *[record(order_value=v) for v in values]))
+def test_alert_bound_is_strict(spark, run_ts):
+    values = [990, 990.01, "991.5", None, 5, "NaN"]
+    frame = item_frame(spark, run_ts, *[record(order_value=v) for v in values])
     assert sorted(r.order_value for r in items.alerts(frame).collect()) == [990.01, 991.5]
     assert items.alerts(frame, threshold=4).count() == 4
 
 
-def test_alert_fields(spark):
-    frame = items.alerts(items.decode_records(keyed(spark, record(order_value=2000))))
-    assert frame.first().asDict() == {
+def test_alert_fields(spark, run_ts):
+    full, sparse = items.alerts(item_frame(spark, run_ts, record(order_value=2000), {"order_value": 3000})).collect()
+    assert full.asDict() == {
         "transaction_id": "T1", "customer_id": "C1", "order_value": 2000.0, "payment_method": "UPI",
         "order_date": "2024-01-02",
     }
+    assert tuple(sparse) == (None, None, 3000.0, None, None)
 
 
 def test_latest_per_key_matches_brute_force(spark, run_ts):
     rng = random.Random(3)
     records = [record(transaction_id=f"T{rng.choice([0, 0, 0, rng.randrange(40)])}", order_value=n) for n in range(300)]
-    frame = items.store_items(items.decode_records(keyed(spark, *records)), F.lit(run_ts))
+    frame = item_frame(spark, run_ts, *records)
     got = {r.transaction_id: r.seq for r in items.latest_per_key(frame, ["seq"]).collect()}
     assert got == {r["transaction_id"]: n for n, r in enumerate(records)}
 
@@ -99,6 +104,14 @@ def values(spark, log):
     return {r.transaction_id: r.order_value for r in items.current_items(spark, log).collect()}
 
 
+def test_alert_messages_name_every_field(spark, run_ts, tmp_path):
+    _, alerts = write_batch(spark, run_ts, tmp_path, 0, {"order_value": 3000})
+    (line,) = [r.value for r in spark.read.text(alerts).collect()]
+    assert json.loads(line) == {
+        "transaction_id": None, "customer_id": None, "order_value": 3000.0, "payment_method": None, "order_date": None,
+    }
+
+
 def test_last_batch_wins_and_replay_changes_nothing(spark, run_ts, tmp_path):
     one = [record(order_value=1), record(order_value=2000), record(transaction_id="T2", order_value=5)]
     two = [record(order_value=3)]
@@ -112,7 +125,7 @@ def test_last_batch_wins_and_replay_changes_nothing(spark, run_ts, tmp_path):
 
     before = state()
     assert before[0] == {"T1": "3", "T2": "5"}
-    assert len(before[1]) == 3 and len(before[2]) == 1
+    assert len(before[1]) == 4 and len(before[2]) == 1
     write_batch(spark, run_ts, tmp_path, 0, *one)
     write_batch(spark, run_ts, tmp_path, 1, *two)
     assert state() == before
