@@ -1,7 +1,5 @@
 """From decoded requests to keyed stream records: validate, build, publish."""
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,17 +59,18 @@ def generated_id(hex_digits: int) -> Column:
 
 def build(
     transactions: DataFrame,
-    run_ts: datetime,
+    now: Column,
     flag_threshold: float = FLAG_THRESHOLD,
     hex_digits: int = ID_HEX_DIGITS,
 ) -> DataFrame:
     """Typed stream records of valid transactions, with defaults and the high-value flag.
 
-    The flag looks at the rounded value. Six hex digits keep the usual form of a generated id;
+    ``now`` dates the orders that come without a date: one literal per batch run, the current
+    timestamp in a stream. The flag looks at the rounded value. Six hex digits keep the usual form of a generated id;
     raise ``hex_digits`` where many transactions arrive without one.
     """
     value = F.round(to_number(F.col("order_value")), 2)
-    today = format_utc(F.lit(run_ts), "yyyy-MM-dd")
+    today = format_utc(now, "yyyy-MM-dd")
     return transactions.select(
         non_blank_or(F.col("transaction_id"), generated_id(hex_digits)).alias("transaction_id"),
         "customer_id",

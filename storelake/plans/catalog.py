@@ -30,7 +30,7 @@ from storelake.session import scratch_path
 from storelake.sinks import files as sinks
 from storelake.sources.files import read_csv, read_table
 from storelake.sources.requests import decode_requests
-from storelake.streaming import changes, items
+from storelake.streaming import changes, items, publish
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,7 +281,7 @@ def checked_requests(spark, folder) -> DataFrame:
 
 
 def built_records(spark, folder) -> DataFrame:
-    return ingest.build(ingest.accepted(checked_requests(spark, folder)), RUN_TS)
+    return ingest.build(ingest.accepted(checked_requests(spark, folder)), F.lit(RUN_TS))
 
 
 @query
@@ -362,15 +362,15 @@ def received(keyed: DataFrame) -> DataFrame:
 
 @query
 def publish_keyed_json(spark, folder):
-    return received(ingest.to_keyed_json(built_records(spark, folder)))
+    return received(publish.messages(views.requests(spark, folder), F.lit(RUN_TS)))
 
 
 @query
 def ingest_publish(spark, folder):
     """Validate, build and publish to a folder; what a consumer of the stream reads."""
     path = scratch_path(spark, "published")
-    ingest.to_keyed_json(built_records(spark, folder)).write.json(path)
-    return received(spark.read.schema("key string, value string").json(path))
+    publish.messages(views.requests(spark, folder), F.lit(RUN_TS)).write.json(path)
+    return received(publish.read_published(spark, path))
 
 
 @query
@@ -379,7 +379,7 @@ def run_metrics(spark, folder):
     checked = checked_requests(spark, folder)
     counted = checked.observe(counters, *[c.alias(n) for n, c in ingest.request_metrics(checked).items()])
     path = scratch_path(spark, "published")
-    ingest.to_keyed_json(ingest.build(ingest.accepted(counted), RUN_TS)).write.json(path)
+    ingest.to_keyed_json(ingest.build(ingest.accepted(counted), F.lit(RUN_TS))).write.json(path)
     return spark.createDataFrame([counters.get], "requests bigint, rejected bigint, sent bigint")
 
 
@@ -437,6 +437,16 @@ def run_upsert_stream(spark, folder) -> tuple[str, str]:
     return log_path, alerts_path
 
 
+@query
+def stream_publish(spark, folder):
+    root = scratch_path(spark, "requests")
+    requests = views.requests(spark, folder)
+    sinks.overwrite(requests, f"{root}/input")
+    arriving = spark.readStream.schema(requests.schema).parquet(f"{root}/input")
+    publish.start_publish(arriving, f"{root}/out", f"{root}/checkpoint", F.lit(RUN_TS)).awaitTermination()
+    return received(publish.read_published(spark, f"{root}/out"))
+
+
 @query
 def stream_upsert(spark, folder):
     log_path, _ = run_upsert_stream(spark, folder)
@@ -444,6 +454,14 @@ def stream_upsert(spark, folder):
     return current.withColumn("discount_applied", F.col("discount_applied").cast("double"))
 
 
+@query
+def items_compacted(spark, folder):
+    log_path, _ = run_upsert_stream(spark, folder)
+    items.compact_items(spark, log_path, f"{log_path}-compacted")
+    current = items.current_items(spark, f"{log_path}-compacted")
+    return current.withColumn("discount_applied", F.col("discount_applied").cast("double"))
+
+
 @query
 def stream_alerts(spark, folder):
     _, alerts_path = run_upsert_stream(spark, folder)
@@ -485,8 +503,7 @@ def initial_load(spark, folder):
     return shown(read_table(spark, f"{lake.gold}/fact_transactions"))
 
 
-@query
-def incremental_load(spark, folder):
+def run_both_loads(spark, folder) -> tuple[loads.Lake, dict[str, int]]:
     """A first load of the cheaper products and the customers seen so far, then everything as increment."""
     lake = loads.Lake(scratch_path(spark, "lake"))
     tables = views.retail_tables(spark, folder)
@@ -497,5 +514,22 @@ def incremental_load(spark, folder):
         "behavior": tables["behavior"].filter("return_rate < 0.2"),
     }
     loads.run(spark, "initial", lake, first, RUN_TS)
-    loads.run(spark, "incremental", lake, tables, RUN_TS)
+    return lake, loads.run(spark, "incremental", lake, tables, RUN_TS)
+
+
+@query
+def incremental_load(spark, folder):
+    lake, _ = run_both_loads(spark, folder)
     return shown(read_table(spark, f"{lake.gold}/fact_transactions"))
+
+
+@query
+def incremental_behavior(spark, folder):
+    lake, _ = run_both_loads(spark, folder)
+    return shown(read_table(spark, f"{lake.gold}/fact_behavior"))
+
+
+@query
+def incr_new_rows(spark, folder):
+    _, entered = run_both_loads(spark, folder)
+    return spark.createDataFrame(sorted(entered.items()), "table_name string, rows bigint")

@@ -429,6 +429,29 @@ ORACLES = {
         _FACT_TRANSACTIONS.format(load_type="INITIAL", **_FLOAT_FACT),
         float_transactions=f"select distinct * from ({FLOAT_TRANSACTIONS})",
     ),
+    "incremental_behavior": with_views(
+        "customers behavior",
+        """
+        select case when c.customer_id is not null then sha256(c.customer_id) end as customer_key, b.customer_id,
+               cast(avg_session_time as float) as avg_session_time, pages_per_session,
+               cast(cart_abandon_rate as float) as cart_abandon_rate, cast(return_rate as float) as return_rate,
+               support_tickets, cast(review_score as float) as review_score, behavior_churn_signal,
+               'INCREMENTAL' as load_type, '2024-07-01T12:30:00.000000' as ingested_at
+        from behavior b left join customers c on b.customer_id = c.customer_id
+        """,
+    ),
+    "incr_new_rows": with_views(
+        "customers products behavior",
+        """
+        select 'behavior' as table_name, count(*) as rows from behavior where return_rate >= 0.2
+        union all
+        select 'customers', count(*) from customers where customer_id >
+            (select max(b.customer_id) from behavior b join customers c on b.customer_id = c.customer_id)
+        union all
+        select 'products', count(*) from products
+        where product_id > (select max(product_id) from products where price < 950)
+        """,
+    ),
     "incremental_load": with_views(
         "transactions behavior",
         _FACT_TRANSACTIONS.format(load_type="INCREMENTAL", **_FLOAT_FACT),
@@ -450,3 +473,5 @@ ORACLES = {
     ),
 }
 ORACLES["stream_alerts"] = ORACLES["alerts_high_value"]
+ORACLES["stream_publish"] = ORACLES["ingest_publish"]
+ORACLES["items_compacted"] = ORACLES["stream_upsert"]

@@ -74,3 +74,9 @@ def test_cast_to_double_and_text(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert cast_to(df, columns(a=TEXT)).first().a == "1"
     assert cast_to(df, columns(a=DOUBLE)).first().a == 1.0
+
+
+def test_copies_of_a_key_are_combined_before_the_shuffle(spark):
+    df = spark.range(10).selectExpr("id % 2 as k", "id as v")
+    plan = dedup_by_key(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("functions=[min") < plan.index("Exchange hashpartitioning(k") < plan.index("partial_min")

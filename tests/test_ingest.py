@@ -9,6 +9,7 @@ from storelake.operators import ingest
 from storelake.operators import validation as rules
 from storelake.operators.lateral import computed_once
 from storelake.sources.requests import decode_requests
+from storelake.streaming.publish import read_published, start_publish
 
 GOOD = {"customer_id": "C1", "product_id": "P1", "order_value": 10, "payment_method": "UPI"}
 
@@ -29,7 +30,7 @@ def messages(spark, *transactions):
 
 
 def built(spark, run_ts, *transactions, **options):
-    frame = ingest.build(ingest.accepted(checked(spark, *transactions)), run_ts, **options)
+    frame = ingest.build(ingest.accepted(checked(spark, *transactions)), F.lit(run_ts), **options)
     return frame.collect()
 
 
@@ -166,7 +167,8 @@ def test_flag_looks_at_the_rounded_value(spark, run_ts, value, rounded, flag):
 
 
 def test_keyed_json(spark, run_ts):
-    frame = ingest.to_keyed_json(ingest.build(ingest.accepted(checked(spark, {**GOOD, "transaction_id": "T1"})), run_ts))
+    good = ingest.accepted(checked(spark, {**GOOD, "transaction_id": "T1"}))
+    frame = ingest.to_keyed_json(ingest.build(good, F.lit(run_ts)))
     (row,) = frame.collect()
     assert row.key == "C1"
     assert json.loads(row.value) == {
@@ -203,3 +205,17 @@ def test_parsing_is_not_repeated_by_filters(spark):
 def test_computed_once_keeps_rows_and_nulls(spark):
     df = computed_once(spark.range(3), twice=F.when(F.col("id") > 0, F.col("id") * 2)).filter("id < 2")
     assert sorted(map(tuple, df.collect())) == [(0, None), (1, 2)]
+
+
+def test_a_stream_publishes_what_a_batch_does(spark, run_ts, tmp_path):
+    bodies = [{"transactions": [GOOD, {**GOOD, "transaction_id": f"T{n}", "order_value": n}]} for n in range(-2, 30)]
+    frame = requests(spark, *bodies, "{")
+    frame.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    for _ in range(2):  # the second start publishes nothing
+        start_publish(stream, out, str(tmp_path / "ck"), F.lit(run_ts)).awaitTermination()
+    batch = ingest.to_keyed_json(ingest.build(ingest.accepted(ingest.check(decode_requests(frame))), F.lit(run_ts)))
+    wanted = sorted(map(tuple, batch.collect()))
+    assert len(wanted) == 2 * 29
+    assert sorted(map(tuple, read_published(spark, out).collect())) == wanted

@@ -160,3 +160,14 @@ def test_stream_over_several_batches_equals_the_batch_result(spark, run_ts, tmp_
     assert values(spark, log) == {r["transaction_id"]: str(r["order_value"]) for r in records}
     assert items.read_log(spark, log).select("batch_id").distinct().count() == 3
     assert items.read_alerts(spark, alerts).count() == sum(r["order_value"] > 990 for r in records)
+
+
+def test_items_are_combined_before_the_shuffle(spark, run_ts):
+    frame = items.latest_per_key(item_frame(spark, run_ts, RECORD), ["seq"])
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("functions=[max_by") < plan.index("Exchange hashpartitioning(transaction_id") < plan.index("partial_max_by")
+
+
+def test_the_stream_does_not_shuffle(spark, run_ts):
+    plan = item_frame(spark, run_ts, RECORD)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
