@@ -1,7 +1,7 @@
 """Bulk extract, initial load and incremental load."""
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
@@ -62,11 +62,14 @@ def extract(spark: SparkSession, sources: Mapping[str, DataFrame], lake: Lake) -
     )
 
 
-def bronze_to_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    """Clean the Bronze files into Silver and return the rows kept per table."""
+def bronze_to_silver(spark: SparkSession, lake: Lake, multi_line: Collection[str] = ()) -> dict[str, int]:
+    """Clean the Bronze files into Silver and return the rows kept per table.
+
+    Name the tables whose text holds line breaks in ``multi_line``; their files are not split.
+    """
 
     def refine(name: str) -> int:
-        bronze = read_csv(spark, f"{lake.bronze}/{name}", BATCH_TABLES[name])
+        bronze = read_csv(spark, f"{lake.bronze}/{name}", BATCH_TABLES[name], name in multi_line)
         _, rows = stored_counted(clean(bronze), f"{lake.silver}/{name}")
         return rows
 
@@ -104,10 +107,14 @@ def build_gold(
 
 
 def initial_load(
-    spark: SparkSession, lake: Lake, run_ts: datetime, warehouse: Warehouse | None = None
+    spark: SparkSession,
+    lake: Lake,
+    run_ts: datetime,
+    warehouse: Warehouse | None = None,
+    multi_line: Collection[str] = (),
 ) -> dict[str, int]:
     """Bronze to Silver to Gold, then the warehouse. Returns the Silver rows per table."""
-    kept = bronze_to_silver(spark, lake)
+    kept = bronze_to_silver(spark, lake, multi_line)
     build_gold(spark, lake, "INITIAL", run_ts, warehouse)
     return kept
 

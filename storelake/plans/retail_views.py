@@ -1,14 +1,16 @@
 """The retail tables as views over an order-management star (customer, part, orders, lineitem, events)."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelake.schemas import ATTRIBUTE
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def customer_id(number: str):
+def customer_id(number: str) -> Column:
     return F.concat(F.lit("Customer#"), F.lpad(F.col(number).cast("string"), 9, "0"))
 
 
@@ -93,7 +95,7 @@ def retail_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-def event_payment(event_type: str = "event_type"):
+def event_payment(event_type: str = "event_type") -> Column:
     """A payment method per event type; errors get one outside the accepted domain."""
     return (
         F.when(F.col(event_type) == "view", "UPI")
@@ -173,37 +175,29 @@ def keyed_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def change_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Change feed from events, as JSON lines; signups come without an image, errors are removals."""
+def tagged(name: str, tag: str, value: Column) -> list[Column]:
+    """Map entry of an attribute whose value sits under one type tag."""
+    others = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != tag else value.alias(tag) for f in ATTRIBUTE]
+    return [F.lit(name), F.struct(*others)]
 
-    def tagged(tag: str, name: str, value) -> list:
-        return [F.lit(name), F.named_struct(*_tags(tag, value))]
 
+def change_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Change feed from events, as JSON lines; signups come without an image, errors are removals."""
     image = F.create_map(
-        *tagged("S", "transaction_id", F.concat(F.lit("E"), F.col("event_id"))),
-        *tagged("S", "customer_id", customer_id("user_id")),
-        *tagged("S", "product_id", F.get_json_object("props", "$.k")),
-        *tagged("S", "order_date", F.col("ts").cast("date").cast("string")),
-        *tagged("S", "order_value", F.col("value").cast("string")),
-        *tagged("S", "payment_method", event_payment()),
-        *tagged("NULL", "device_type", F.lit(True)),
-        *tagged("N", "discount_applied", (F.col("value") / 1000).cast("string")),
-        *tagged("N", "shipping_delay_days", F.day("ts").cast("string")),
-        *tagged("N", "high_value_flag", F.when(F.col("value") > 95, "1").otherwise("0")),
-        *tagged("S", "ingested_at", F.col("ts").cast("string")),
-    )
-    event_name = (
-        F.when(F.col("event_type") == "error", "REMOVE").when(F.col("event_type") == "click", "MODIFY").otherwise("INSERT")
-    )
-    carried = F.when(F.col("event_type") != "signup", image)
-    return table(spark, folder, "events").select(
-        F.to_json(
-            F.struct(event_name.alias("eventName"), F.struct(carried.alias("NewImage")).alias("dynamodb"))
-        ).alias("value")
-    )
-
-
-def _tags(tag: str, value) -> list:
-    fields = {"S": F.lit(None).cast("string"), "N": F.lit(None).cast("string"), "BOOL": F.lit(None).cast("boolean"), "NULL": F.lit(None).cast("boolean")}
-    fields[tag] = value
-    return [part for name, column in fields.items() for part in (F.lit(name), column)]
+        *tagged("transaction_id", "S", F.concat(F.lit("E"), F.col("event_id"))),
+        *tagged("customer_id", "S", customer_id("user_id")),
+        *tagged("product_id", "S", F.get_json_object("props", "$.k")),
+        *tagged("order_date", "S", F.col("ts").cast("date").cast("string")),
+        *tagged("order_value", "S", F.col("value").cast("string")),
+        *tagged("payment_method", "S", event_payment()),
+        *tagged("device_type", "NULL", F.lit(True)),
+        *tagged("discount_applied", "N", (F.col("value") / 1000).cast("string")),
+        *tagged("shipping_delay_days", "N", F.day("ts").cast("string")),
+        *tagged("high_value_flag", "N", F.when(F.col("value") > 95, "1").otherwise("0")),
+        *tagged("ingested_at", "S", F.col("ts").cast("string")),
+    )
+    kind = F.col("event_type")
+    event_name = F.when(kind == "error", "REMOVE").when(kind == "click", "MODIFY").otherwise("INSERT")
+    carried = F.struct(F.when(kind != "signup", image).alias("NewImage"))
+    change = F.struct(event_name.alias("eventName"), carried.alias("dynamodb"))
+    return table(spark, folder, "events").select(F.to_json(change).alias("value"))

@@ -63,7 +63,8 @@ if __name__ == "__main__":
     from storelake.session import get_session
 
     tables, wanted_names = sys.argv[1], sys.argv[2:]
-    session = get_session("oracle-check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+    options = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    session = get_session("oracle-check", "local[8]", **options)
     session.sparkContext.setLogLevel("ERROR")
     database = connect(tables)
     oracles = oracle_sql()
@@ -74,4 +75,5 @@ if __name__ == "__main__":
             problem, rows, took = compare(session, database, tables, query_name, query, oracles[query_name])
         except Exception as error:  # report every query
             problem, rows, took = f"{type(error).__name__}: {str(error)[:600]}", -1, 0.0
-        print(f"{'ok  ' if problem is None else 'FAIL'} {query_name:28} {rows:8} rows {took:6.2f}s {problem or ''}", flush=True)
+        verdict = "ok  " if problem is None else "FAIL"
+        print(f"{verdict} {query_name:28} {rows:8} rows {took:6.2f}s {problem or ''}", flush=True)

@@ -4,9 +4,9 @@ from storelake.schemas import FLOAT, INT, TEXT, TRANSACTIONS, columns
 from storelake.session import scratch_path
 from storelake.operators.clean import clean
 from storelake.sinks.files import stored, write_csv
-from storelake.sinks.jdbc import reload_options
+from storelake.sinks.jdbc import reload_options, reload_table
 from storelake.sources.files import read_csv
-from storelake.sources.jdbc import Partitioning, read_options
+from storelake.sources.jdbc import Partitioning, read_jdbc, read_options
 
 CELLS = columns(id=TEXT, n=INT, v=FLOAT)
 CONNECTION = {"url": "jdbc:somewhere", "user": "u", "password": "p", "driver": "d"}
@@ -105,3 +105,37 @@ def test_jdbc_reload_options():
     options = reload_options(CONNECTION, "shop.fact", max_connections=16)
     assert (options["truncate"], options["batchsize"], options["numPartitions"]) == ("true", "10000", "16")
     assert options["url"] == CONNECTION["url"] and options["dbtable"] == "shop.fact"
+
+
+class Recorder:
+    """Stands in for a JDBC reader or writer and notes what is asked of it."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def __getattr__(self, name):
+        def call(*args, **options):
+            self.calls[name] = args[0] if args else options
+            return self
+
+        return call
+
+
+def test_jdbc_reload_truncates_and_overwrites():
+    class Frame:
+        write = Recorder()
+
+    reload_table(Frame(), CONNECTION, "shop.fact")
+    calls = Frame.write.calls
+    assert (calls["format"], calls["mode"]) == ("jdbc", "overwrite")
+    assert calls["options"] == reload_options(CONNECTION, "shop.fact") and "save" in calls
+
+
+def test_jdbc_read_passes_its_options():
+    class Session:
+        read = Recorder()
+
+    ranges = Partitioning("id", "0", "10", 2)
+    read_jdbc(Session(), CONNECTION, table="shop.customers", partitioning=ranges)
+    assert Session.read.calls["format"] == "jdbc"
+    assert Session.read.calls["options"] == read_options(CONNECTION, table="shop.customers", partitioning=ranges)

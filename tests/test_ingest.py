@@ -105,7 +105,7 @@ def test_bare_nan_is_no_number(spark):
 
 def test_payment_domain(spark):
     wanted = "payment_method must be one of: UPI, Debit Card, Credit Card, PayPal, Crypto"
-    got = messages(spark, {**GOOD, "payment_method": "Cash"}, {**GOOD, "payment_method": 0}, {**GOOD, "payment_method": "Crypto"})
+    got = messages(spark, *[{**GOOD, "payment_method": method} for method in ("Cash", 0, "Crypto")])
     assert got == [[wanted], [wanted], []]
 
 

@@ -114,3 +114,10 @@ def test_a_failing_job_is_reported(spark):
 
     with pytest.raises(RuntimeError, match="no space"):
         loads.together(spark, good=lambda: 1, bad=fail)
+
+
+def test_line_breaks_in_one_table(spark, lake, run_ts):
+    wordy = [("P1", "toys\nand games", 9.5, 0.5, 1.0)]
+    loads.extract(spark, sources(spark, products=wordy), lake)
+    assert loads.initial_load(spark, lake, run_ts, multi_line=["products"])["products"] == 1
+    assert gold(spark, lake, "dim_product").first().category == "toys\nand games"
