@@ -100,8 +100,33 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
 
 
-def test_hot_keys_are_split(spark, run_ts, conf):
-    """A third of all rows under one customer, and a third under one product."""
+@pytest.fixture
+def skewed(spark):
+    """A third of all rows under one customer, and a third under one product; some dimension rows are missing."""
+    n = F.col("id")
+    txn = stored(
+        spark.range(60000).select(
+            F.concat(F.lit("T"), n).alias("transaction_id"),
+            F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("C"), n % 1000)).alias("customer_id"),
+            F.when(n % 3 == 1, "hot").otherwise(F.concat(F.lit("P"), n % 1000)).alias("product_id"),
+            F.lit("2024-01-02").alias("order_date"),
+            F.rand(1).alias("order_value"),
+            F.concat(F.lit("M"), n % 40).alias("payment_method"),
+            F.lit("web").alias("device_type"),
+            F.lit(0.1).alias("discount_applied"),
+            F.lit(1).alias("shipping_delay_days"),
+            F.lit(0).alias("fraud_label"),
+        )
+    )
+    names = {"customer_id": "customer_key", "product_id": "product_key", "payment_method": "payment_method_key"}
+    keyed = [
+        stored(txn.select(name).distinct().filter(~F.col(name).endswith("7")).withColumn(key, F.sha2(name, 256)))
+        for name, key in names.items()
+    ]
+    return txn, keyed
+
+
+def test_hot_keys_are_split(skewed, run_ts, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
@@ -109,34 +134,34 @@ def test_hot_keys_are_split(spark, run_ts, conf):
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
     )
-    n = F.col("id")
-    rows = spark.range(60000).select(
-        F.concat(F.lit("T"), n).alias("transaction_id"),
-        F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("C"), n % 1000)).alias("customer_id"),
-        F.when(n % 3 == 1, "hot").otherwise(F.concat(F.lit("P"), n % 1000)).alias("product_id"),
-        F.lit("2024-01-02").alias("order_date"),
-        F.rand(1).alias("order_value"),
-        F.concat(F.lit("M"), n % 40).alias("payment_method"),
-        F.lit("web").alias("device_type"),
-        F.lit(0.1).alias("discount_applied"),
-        F.lit(1).alias("shipping_delay_days"),
-        F.lit(0).alias("fraud_label"),
-    )
-    txn = stored(rows)
-    keyed = {
-        name: stored(txn.select(name).distinct().withColumn(key, F.sha2(name, 256)))
-        for name, key in (
-            ("customer_id", "customer_key"), ("product_id", "product_key"), ("payment_method", "payment_method_key"),
-        )
-    }
-    fact = facts.fact_transactions(
-        txn, keyed["customer_id"], keyed["product_id"], keyed["payment_method"], "INITIAL", run_ts
-    )
-    plan = final_plan(fact)
-    assert plan.count("SortMergeJoin(skew=true)") >= 2
+    txn, keyed = skewed
+    fact = facts.fact_transactions(txn, *keyed, "INITIAL", run_ts)
+    assert final_plan(fact).count("SortMergeJoin(skew=true)") >= 2
     assert fact.count() == 60000
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_large_dimensions_give_the_same_fact(skewed, run_ts, conf, monkeypatch, threshold):
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold)
+    txn, keyed = skewed
+    nulls = txn.limit(5).withColumns({"customer_id": F.lit(None).cast("string"), "product_id": F.lit("gone")})
+    txn = stored(txn.union(nulls))
+    joined = facts.fact_transactions(txn, *keyed, "INITIAL", run_ts)
+    monkeypatch.setattr(facts, "SMALL_DIMENSION", 0)
+    derived = facts.fact_transactions(txn, *keyed, "INITIAL", run_ts)
+    assert derived.columns == joined.columns
+    assert derived.count() == joined.count() == 60005
+    assert derived.exceptAll(joined).isEmpty() and joined.exceptAll(derived).isEmpty()
+    assert joined.filter("customer_key is null").count() > 5
+
+
+def test_large_dimensions_do_not_shuffle_the_fact(skewed, run_ts, monkeypatch):
+    txn, keyed = skewed
+    monkeypatch.setattr(facts, "SMALL_DIMENSION", 0)
+    plan = final_plan(facts.fact_transactions(txn, *keyed, "INITIAL", run_ts))
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
+
+
 def test_small_dimensions_are_broadcast_by_size(spark, run_ts):
     txn = views.transactions(spark, SMALL)
     customers = stored(dims.dim_customer(views.customers(spark, SMALL)))
