@@ -18,8 +18,11 @@ SMALL_DIMENSION = 50_000
 
 
 def add_key(fact: DataFrame, dim: DataFrame, natural_key: str, key: str) -> DataFrame:
-    """The left join with a dimension for its surrogate key; null where the dimension lacks the row."""
-    if dim.select(natural_key).limit(SMALL_DIMENSION + 1).count() <= SMALL_DIMENSION:
+    """The left join with a dimension for its surrogate key; null where the dimension lacks the row.
+
+    Counting a stored table reads only its file footers.
+    """
+    if dim.count() <= SMALL_DIMENSION:
         return join_key(fact, dim, natural_key, key)
     return derive_key(fact, dim, natural_key, key)
 
