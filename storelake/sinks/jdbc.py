@@ -9,7 +9,7 @@ BATCH_ROWS = 10000
 def reload_options(
     connection: dict[str, str], table: str, batch_rows: int = BATCH_ROWS, max_connections: int | None = None
 ) -> dict[str, str]:
-    """``connection`` holds url, user, password and driver. ``truncate`` keeps the table and its grants."""
+    """``connection`` holds url, user, password and driver."""
     options = {**connection, "dbtable": table, "batchsize": str(batch_rows), "truncate": "true"}
     if max_connections:
         options["numPartitions"] = str(max_connections)
@@ -23,6 +23,11 @@ def reload_table(
     batch_rows: int = BATCH_ROWS,
     max_connections: int | None = None,
 ) -> None:
-    """Empty a warehouse table and load it again. Not atomic: run it again after a failure."""
+    """Empty a warehouse table and load it again. Not atomic: run it again after a failure.
+
+    Spark truncates where it knows the dialect of the URL (PostgreSQL, MySQL, Oracle and others)
+    and recreates the table where it does not. Reach a warehouse through a URL of a known dialect
+    to keep its definition.
+    """
     options = reload_options(connection, table, batch_rows, max_connections)
     df.write.format("jdbc").options(**options).mode("overwrite").save()

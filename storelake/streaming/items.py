@@ -86,7 +86,10 @@ def current_items(spark: SparkSession, log_path: str) -> DataFrame:
 
 
 def compact_items(spark: SparkSession, log_path: str, new_log_path: str) -> None:
-    """Fold a log into a new one with a single base batch, to which later batches can be added."""
+    """Fold a log into a new one with a single base batch.
+
+    Run it while the stream is stopped, then restart the stream on the new log with its old checkpoint.
+    """
     folded = latest_per_key(read_log(spark, log_path), ["batch_id", "seq"])
     folded.drop("batch_id").write.mode("errorifexists").parquet(f"{new_log_path}/batch_id={BASE_BATCH}")
 
