@@ -15,8 +15,8 @@ from storelake.operators import dims, facts
 from storelake.operators.clean import cast_to, clean
 from storelake.operators.incremental import newer_than, not_in
 from storelake.schemas import BATCH_TABLES, GOLD_TABLES
-from storelake.sinks.files import append_delta, overwrite, read_stored, stored, stored_counted, write_csv
-from storelake.sources.files import read_csv
+from storelake.sinks.files import append_delta, overwrite, stored, stored_counted, write_csv
+from storelake.sources.files import read_csv, read_table
 
 log = logging.getLogger(__name__)
 
@@ -76,6 +76,13 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, multi_line: Collection[str
     return together(spark, **{name: partial(refine, name) for name in BATCH_TABLES})
 
 
+def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """Silver tables under their declared schemas, without a look into the files."""
+    return {
+        name: spark.read.schema(schema).parquet(f"{lake.silver}/{name}") for name, schema in BATCH_TABLES.items()
+    }
+
+
 def build_gold(
     spark: SparkSession, lake: Lake, load_type: str, run_ts: datetime, warehouse: Warehouse | None = None
 ) -> None:
@@ -84,7 +91,7 @@ def build_gold(
     Facts join the written dimensions, and the warehouse is loaded from the written tables, so
     every consumer sees the same rows.
     """
-    silver = read_stored(spark, lake.silver, list(BATCH_TABLES))
+    silver = read_silver(spark, lake)
     gold = together(
         spark,
         customers=lambda: stored(dims.dim_customer(silver["customers"]), f"{lake.gold}/dim_customer"),
@@ -102,8 +109,8 @@ def build_gold(
         behavior=lambda: overwrite(visits, f"{lake.gold}/fact_behavior"),
     )
     if warehouse:
-        for name, frame in read_stored(spark, lake.gold, GOLD_TABLES).items():
-            warehouse(frame, name)
+        for name in GOLD_TABLES:
+            warehouse(read_table(spark, f"{lake.gold}/{name}"), name)
 
 
 def initial_load(
@@ -133,7 +140,7 @@ def incremental_load(
     one that does not convert reaches Silver as null; ``cast_then_clean`` drops its row instead.
     Returns the number of rows appended per table.
     """
-    silver = read_stored(spark, lake.silver, ["customers", "products", "behavior"])
+    silver = read_silver(spark, lake)
 
     def conformed(name: str) -> DataFrame:
         schema = BATCH_TABLES[name]

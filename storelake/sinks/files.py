@@ -1,6 +1,6 @@
 """Parquet and CSV writers."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from storelake.session import scratch_path
@@ -57,7 +57,3 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\r\n") -> None:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-
-
-def read_stored(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from storelake.operators.incremental import high_watermark, newer_than, not_in
 from storelake.sinks.files import append_delta, overwrite, stored
@@ -71,3 +72,22 @@ def test_appending_to_the_table_the_delta_reads(spark, tmp_path):
     overwrite(keys(spark, "a"), path)
     assert append_delta(not_in(keys(spark, "a", "z"), spark.read.parquet(path), "k"), path) == 1
     assert found(spark.read.parquet(path)) == ["a", "z"]
+
+
+def test_hot_incoming_key_is_split(spark, conf):
+    """A third of the incoming rows share one key."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+    )
+    n = F.col("id")
+    key = F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("C"), n % 1000))
+    incoming = stored(spark.range(60000).select(key.alias("k"), F.sha2(n.cast("string"), 256).alias("payload")))
+    fresh = not_in(incoming, keys(spark, "C1", "C2"), "k")
+    fresh.toPandas()
+    plan = fresh._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true)" in plan
+    assert fresh.count() == incoming.filter("k not in ('C1', 'C2')").count()
