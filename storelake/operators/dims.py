@@ -5,26 +5,23 @@ from pyspark.sql import functions as F
 
 from storelake.functions.keys import date_key, surrogate_key
 from storelake.operators.clean import dedup_by_key
+from storelake.schemas import GOLD_COLUMNS
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
     one_each = dedup_by_key(customers, ["customer_id"])
-    return one_each.select(
-        surrogate_key("customer_id").alias("customer_key"),
-        "customer_id",
-        "age",
-        "gender",
-        "country",
-        F.try_to_date("registration_date").alias("registration_date"),
-        "loyalty_score",
-        "lifetime_value",
-        "churn_label",
+    keyed = one_each.withColumns(
+        {
+            "customer_key": surrogate_key("customer_id"),
+            "registration_date": F.try_to_date("registration_date"),
+        }
     )
+    return keyed.select(GOLD_COLUMNS["dim_customer"])
 
 
 def dim_product(products: DataFrame) -> DataFrame:
     one_each = dedup_by_key(products, ["product_id"])
-    return one_each.select(surrogate_key("product_id").alias("product_key"), *products.columns)
+    return one_each.withColumn("product_key", surrogate_key("product_id")).select(GOLD_COLUMNS["dim_product"])
 
 
 def dim_payment(transactions: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelake.functions.keys import date_key, lineage, surrogate_key
+from storelake.schemas import GOLD_COLUMNS
 from storelake.sinks.files import stored
 
 # Up to this many rows a dimension's two key columns are small enough to be sent to every task.
@@ -71,28 +72,9 @@ def fact_transactions(
     keyed = add_key(measured, payments, "payment_method", "payment_method_key")
     keyed = add_key(keyed, products, "product_id", "product_key")
     keyed = add_key(keyed, customers, "customer_id", "customer_key")
-    return keyed.withColumns(lineage(load_type, run_ts)).select(
-        "customer_key",
-        "product_key",
-        "payment_method_key",
-        "date_key",
-        "transaction_id",
-        "customer_id",
-        "product_id",
-        "payment_method",
-        "order_value",
-        "discount_applied",
-        "net_value",
-        "shipping_delay_days",
-        "fraud_label",
-        "device_type",
-        "load_type",
-        "ingested_at",
-    )
+    return keyed.withColumns(lineage(load_type, run_ts)).select(GOLD_COLUMNS["fact_transactions"])
 
 
 def fact_behavior(behavior: DataFrame, customers: DataFrame, load_type: str, run_ts: datetime) -> DataFrame:
     keyed = add_key(behavior, customers, "customer_id", "customer_key")
-    return keyed.withColumns(lineage(load_type, run_ts)).select(
-        "customer_key", *behavior.columns, "load_type", "ingested_at"
-    )
+    return keyed.withColumns(lineage(load_type, run_ts)).select(GOLD_COLUMNS["fact_behavior"])

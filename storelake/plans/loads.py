@@ -133,12 +133,13 @@ def incremental_load(
     run_ts: datetime,
     warehouse: Warehouse | None = None,
     cast_then_clean: bool = False,
+    key_order: str = "lexicographic",
 ) -> dict[str, int]:
     """Append new customers, products and behavior to Silver, then rebuild Gold in full.
 
     Every fact row carries the mode and time of this run. Values are cast after cleaning, so
     one that does not convert reaches Silver as null; ``cast_then_clean`` drops its row instead.
-    Returns the number of rows appended per table.
+    ``key_order`` says how watermarks compare keys. Returns the number of rows appended per table.
     """
     silver = read_silver(spark, lake)
 
@@ -147,8 +148,8 @@ def incremental_load(
         return clean(cast_to(sources[name], schema)) if cast_then_clean else cast_to(clean(sources[name]), schema)
 
     deltas = {
-        "customers": newer_than(conformed("customers"), silver["customers"], "customer_id"),
-        "products": newer_than(conformed("products"), silver["products"], "product_id"),
+        "customers": newer_than(conformed("customers"), silver["customers"], "customer_id", key_order),
+        "products": newer_than(conformed("products"), silver["products"], "product_id", key_order),
         "behavior": not_in(conformed("behavior"), silver["behavior"], "customer_id"),
     }
     appended = together(

@@ -75,14 +75,44 @@ BATCH_TABLES = {
     "transactions": TRANSACTIONS,
 }
 
-GOLD_TABLES = [
-    "dim_customer",
-    "dim_product",
-    "dim_payment",
-    "dim_date",
-    "fact_transactions",
-    "fact_behavior",
-]
+# The Gold tables and their columns in load order.
+GOLD_COLUMNS = {
+    "dim_customer": ["customer_key", *CUSTOMERS.names],
+    "dim_product": ["product_key", *PRODUCTS.names],
+    "dim_payment": ["payment_method_key", "payment_method"],
+    "dim_date": [
+        "date_key",
+        "full_date",
+        "day",
+        "month",
+        "month_name",
+        "quarter",
+        "year",
+        "day_of_week",
+        "is_weekend",
+    ],
+    "fact_transactions": [
+        "customer_key",
+        "product_key",
+        "payment_method_key",
+        "date_key",
+        "transaction_id",
+        "customer_id",
+        "product_id",
+        "payment_method",
+        "order_value",
+        "discount_applied",
+        "net_value",
+        "shipping_delay_days",
+        "fraud_label",
+        "device_type",
+        "load_type",
+        "ingested_at",
+    ],
+    "fact_behavior": ["customer_key", *BEHAVIOR.names, "load_type", "ingested_at"],
+}
+
+GOLD_TABLES = list(GOLD_COLUMNS)
 
 # A streamed transaction ends in high_value_flag where the batch table has fraud_label.
 # Files of either bind by position, so one must never be read as the other.

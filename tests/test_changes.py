@@ -85,3 +85,8 @@ def test_hours_are_pruned(spark, tmp_path, run_ts):
     rows.write.partitionBy("year", "month", "day", "hour").option("header", True).csv(out)
     plan = changes.read_landed(spark, out).filter("hour = '12'")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(hour" in plan
+
+
+def test_landing_does_not_shuffle(spark, tmp_path, run_ts):
+    rows = changes.by_hour(changes.decode_changes(feed(spark, tmp_path, change())), F.lit(run_ts))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()

@@ -172,3 +172,9 @@ def test_items_are_combined_before_the_shuffle(spark, run_ts):
 def test_the_stream_does_not_shuffle(spark, run_ts):
     plan = item_frame(spark, run_ts, RECORD)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_counters_are_logged(spark, run_ts, tmp_path, caplog):
+    with caplog.at_level("INFO", logger="storelake.streaming.items"):
+        write_batch(spark, run_ts, tmp_path, 7, *[record(order_value=v) for v in (1, 2, 5000)])
+    assert "batch 7: 3 written, 1 alerted" in caplog.text

@@ -3,7 +3,7 @@ from functools import partial
 import pytest
 
 from storelake.plans import loads
-from storelake.schemas import BATCH_TABLES, GOLD_TABLES
+from storelake.schemas import BATCH_TABLES, GOLD_COLUMNS, GOLD_TABLES
 
 CUSTOMERS = [("C1", 30, "F", "FR", "2024-01-05", 1.5, 2.5, 0), ("C2", 40, "M", "DE", "2024-01-06", 1.5, 2.5, 1)]
 PRODUCTS = [("P1", "toys", 9.5, 0.5, 1.0)]
@@ -61,6 +61,14 @@ def test_initial_then_incremental(spark, lake, run_ts):
     assert gold(spark, lake, "fact_transactions").count() == 2
 
 
+def test_gold_columns_in_load_order(spark, lake, run_ts):
+    loads.run(spark, "initial", lake, sources(spark), run_ts)
+    assert {name: gold(spark, lake, name).columns for name in GOLD_TABLES} == GOLD_COLUMNS
+    types = dict(gold(spark, lake, "fact_transactions").dtypes)
+    assert (types["net_value"], types["date_key"], types["ingested_at"]) == ("float", "int", "timestamp")
+    assert dict(gold(spark, lake, "dim_customer").dtypes)["registration_date"] == "date"
+
+
 def test_initial_load_can_be_repeated(spark, lake, run_ts):
     loads.run(spark, "initial", lake, sources(spark), run_ts)
     before = {name: sorted(map(tuple, gold(spark, lake, name).collect()), key=repr) for name in GOLD_TABLES}
@@ -121,3 +129,12 @@ def test_line_breaks_in_one_table(spark, lake, run_ts):
     loads.extract(spark, sources(spark, products=wordy), lake)
     assert loads.initial_load(spark, lake, run_ts, multi_line=["products"])["products"] == 1
     assert gold(spark, lake, "dim_product").first().category == "toys\nand games"
+
+
+def test_watermark_order_of_an_increment(spark, tmp_path, run_ts):
+    one, ten = (CUSTOMERS[0][1:], CUSTOMERS[1][1:])
+    for order, wanted in (("lexicographic", 0), ("numeric", 1)):
+        lake = loads.Lake(str(tmp_path / order))
+        loads.run(spark, "initial", lake, sources(spark, customers=[("C9", *one)]), run_ts)
+        incoming = sources(spark, customers=[("C9", *one), ("C10", *ten)])
+        assert loads.incremental_load(spark, lake, incoming, run_ts, key_order=order)["customers"] == wanted
