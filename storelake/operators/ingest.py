@@ -66,8 +66,8 @@ def build(
     """Typed stream records of valid transactions, with defaults and the high-value flag.
 
     ``now`` dates the orders that come without a date: one literal per batch run, the current
-    timestamp in a stream. The flag looks at the rounded value. Six hex digits keep the usual form of a generated id;
-    raise ``hex_digits`` where many transactions arrive without one.
+    timestamp in a stream. The flag looks at the rounded value. Six hex digits keep the usual form
+    of a generated id; raise ``hex_digits`` where many transactions arrive without one.
     """
     value = F.round(to_number(F.col("order_value")), 2)
     today = format_utc(now, "yyyy-MM-dd")

@@ -1,5 +1,6 @@
 import csv
 import json
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -90,3 +91,13 @@ def test_hours_are_pruned(spark, tmp_path, run_ts):
 def test_landing_does_not_shuffle(spark, tmp_path, run_ts):
     rows = changes.by_hour(changes.decode_changes(feed(spark, tmp_path, change())), F.lit(run_ts))
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_landing_under_the_processing_hour(spark, tmp_path):
+    feed(spark, tmp_path, change())
+    stream = spark.readStream.schema(CHANGE_RECORD).json(str(tmp_path / "feed"))
+    before = datetime.now(timezone.utc)
+    changes.start_landing(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    row = changes.read_landed(spark, str(tmp_path / "out")).first()
+    hours = {f"{t:%Y%m%d%H}" for t in (before, datetime.now(timezone.utc))}
+    assert row.year + row.month + row.day + row.hour in hours

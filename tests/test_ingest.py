@@ -1,4 +1,5 @@
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import Observation
@@ -219,3 +220,13 @@ def test_a_stream_publishes_what_a_batch_does(spark, run_ts, tmp_path):
     wanted = sorted(map(tuple, batch.collect()))
     assert len(wanted) == 2 * 29
     assert sorted(map(tuple, read_published(spark, out).collect())) == wanted
+
+
+def test_orders_without_a_date_take_the_day_of_the_stream(spark, tmp_path):
+    requests(spark, {"transactions": [GOOD]}).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("request_id int, body string").parquet(str(tmp_path / "in"))
+    days = {datetime.now(timezone.utc).date().isoformat()}
+    start_publish(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    days.add(datetime.now(timezone.utc).date().isoformat())
+    (row,) = read_published(spark, str(tmp_path / "out")).collect()
+    assert json.loads(row.value)["order_date"] in days

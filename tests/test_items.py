@@ -1,6 +1,7 @@
 import base64
 import json
 import random
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,3 +179,14 @@ def test_counters_are_logged(spark, run_ts, tmp_path, caplog):
     with caplog.at_level("INFO", logger="storelake.streaming.items"):
         write_batch(spark, run_ts, tmp_path, 7, *[record(order_value=v) for v in (1, 2, 5000)])
     assert "batch 7: 3 written, 1 alerted" in caplog.text
+
+
+def test_ingestion_time_of_a_running_stream(spark, tmp_path):
+    keyed(spark, RECORD).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(KEYED_RECORD).parquet(str(tmp_path / "in"))
+    before = datetime.now(timezone.utc).replace(tzinfo=None)
+    log = str(tmp_path / "log")
+    items.start_upsert(stream, log, str(tmp_path / "alerts"), str(tmp_path / "ck")).awaitTermination()
+    (row,) = items.current_items(spark, log).collect()
+    after = datetime.now(timezone.utc).replace(tzinfo=None)
+    assert before <= datetime.fromisoformat(row.ingested_at) <= after
