@@ -18,10 +18,8 @@ from storelake.schemas import (
     BATCH_TABLES,
     CHANGE_RECORD,
     CUSTOMERS,
-    INT,
     KEYED_RECORD,
     LONG,
-    REQUEST_FIELDS,
     STREAM_TXN,
     TRANSACTIONS,
     columns,
@@ -288,10 +286,8 @@ def built_records(spark, folder) -> DataFrame:
 def ingest_explode(spark, folder):
     decoded = decode_requests(views.requests(spark, folder))
     elements = decoded.select("request_id", F.posexplode("transactions").alias("index", "tx"))
-    typed = {f.name: f.dataType for f in STREAM_TXN if f.name in REQUEST_FIELDS}
-    return clean.cast_to(
-        elements.select("request_id", "index", "tx.*"), columns(request_id=LONG, index=INT, **typed)
-    )
+    numbers = {name: F.col(name).cast("double") for name in ("order_value", "discount_applied")}
+    return elements.select("request_id", "index", "tx.*").withColumns(numbers)
 
 
 def messages(rows: DataFrame, rule) -> DataFrame:

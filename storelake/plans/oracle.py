@@ -333,7 +333,10 @@ ORACLES = {
         "event_fields changes",
         "select transaction_id, '2024' as year, '07' as month, '01' as day, '12' as hour from changes",
     ),
-    "ingest_explode": with_views("event_fields requested", "select * from requested"),
+    "ingest_explode": with_views(
+        "event_fields requested",
+        "select * replace (cast(shipping_delay_days as varchar) as shipping_delay_days) from requested",
+    ),
     "validate_required": with_views(
         _REQUEST_VIEWS,
         "select request_id, index, customer_id, m1 as message from judged where m1 is not null",
