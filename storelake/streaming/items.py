@@ -31,7 +31,8 @@ BASE_BATCH = -1
 def decode_records(keyed: DataFrame) -> DataFrame:
     """Decode base64 ``data`` into text fields. An unreadable record fails the batch, which then replays."""
     text = F.decode(F.unbase64("data"), "UTF-8")
-    record = F.from_json(text, STREAM_RECORD, {"mode": "FAILFAST"})
+    parsed = F.from_json(text, STREAM_RECORD, {"mode": "FAILFAST"})
+    record = F.coalesce(parsed, F.raise_error(F.lit("stream record without a JSON object")))
     return computed_once(keyed, record=record).select("seq", "record.*")
 
 

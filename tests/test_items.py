@@ -65,7 +65,7 @@ def test_ingestion_time_is_utc_in_any_session_zone(spark, run_ts, conf):
     assert row.ingested_at == "2024-07-01T12:30:00.000000"
 
 
-@pytest.mark.parametrize("bad", ["{", record(shipping_delay_days="soon")])
+@pytest.mark.parametrize("bad", ["{", "null", "", record(shipping_delay_days="soon")])
 def test_an_unreadable_record_fails_the_batch(spark, run_ts, bad):
     with pytest.raises(Exception):
         stored_items(spark, run_ts, RECORD, bad)
