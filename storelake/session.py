@@ -1,6 +1,5 @@
 """Session defaults and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,8 +14,6 @@ DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-_local_roots: dict[str, str] = {}
-
 
 def get_session(app_name: str = "storelake", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -28,17 +25,10 @@ def get_session(app_name: str = "storelake", master: str | None = None, **conf:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, or else below the warehouse folder.
 
-    Only a local master may go without that setting; it then gets a temporary folder, which
-    no other machine would see.
+    Both are shared by the driver and all executors; a machine's own temporary folder is never used.
     """
     app = spark.sparkContext.applicationId
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        if app not in _local_roots:
-            _local_roots[app] = tempfile.mkdtemp(prefix="storelake-")
-        root = _local_roots[app]
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/storelake/{app}/{label}-{uuid.uuid4().hex}"

@@ -69,7 +69,7 @@ if __name__ == "__main__":
     database = connect(tables)
     oracles = oracle_sql()
     for query_name, query in queries().items():
-        if wanted_names and query_name not in wanted_names:
+        if (wanted_names and query_name not in wanted_names) or query_name not in oracles:
             continue
         try:
             problem, rows, took = compare(session, database, tables, query_name, query, oracles[query_name])

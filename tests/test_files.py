@@ -68,20 +68,25 @@ def test_stored_goes_to_a_fresh_scratch_folder(spark):
     assert stored(spark.range(5)).count() == 5
 
 
-def test_scratch_folder_is_required_on_a_cluster():
+def test_scratch_folder_is_the_checkpoint_folder_or_below_the_warehouse():
     class Context:
         applicationId, master = "app", "spark://somewhere:7077"
 
-    class Session:
-        sparkContext = Context()
+    def session(**settings):
+        class Session:
+            sparkContext = Context()
+
+            class conf:
+                @staticmethod
+                def get(key, default=None):
+                    return settings.get(key, default)
 
-        class conf:
-            @staticmethod
-            def get(key, default):
-                return default
+        return Session()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(Session(), "x")
+    shared = {"spark.checkpoint.dir": "hdfs://shared/checkpoints/", "spark.sql.warehouse.dir": "hdfs://shared/warehouse"}
+    assert scratch_path(session(**shared), "x").startswith("hdfs://shared/checkpoints/storelake/app/x-")
+    del shared["spark.checkpoint.dir"]
+    assert scratch_path(session(**shared), "x").startswith("hdfs://shared/warehouse/storelake/app/x-")
 
 
 def test_jdbc_read_options():
