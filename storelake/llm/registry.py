@@ -1,9 +1,10 @@
 """Queries of the training-data operators and the SQL that some of them can be held against."""
 
-from storelake.llm import quality
+from storelake.llm import quality, simhash
 
 QUERIES = {
     "op7_quality": quality.op7_quality,
+    "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLES = {
