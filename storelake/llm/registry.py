@@ -1,9 +1,11 @@
 """Queries of the training-data operators and the SQL that some of them can be held against."""
 
-from storelake.llm import quality, simhash
+from storelake.llm import packing, quality, simhash, token_files
 
 QUERIES = {
+    "op2_tokens": token_files.op2_tokens,
     "op7_quality": quality.op7_quality,
+    "op8_packing": packing.op8_packing,
     "op10_simhash": simhash.op10_simhash,
 }
 
