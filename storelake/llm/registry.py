@@ -1,9 +1,10 @@
 """Queries of the training-data operators and the SQL that some of them can be held against."""
 
-from storelake.llm import packing, quality, simhash, token_files
+from storelake.llm import mixing, packing, quality, simhash, token_files
 
 QUERIES = {
     "op2_tokens": token_files.op2_tokens,
+    "op3_mixing": mixing.op3_mixing,
     "op7_quality": quality.op7_quality,
     "op8_packing": packing.op8_packing,
     "op10_simhash": simhash.op10_simhash,
