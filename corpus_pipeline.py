@@ -1,3 +1,57 @@
-STAGES = []
+"""Quality rules, line deduplication, near-duplicate removal, mixing and packing, one after the other."""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from storelake.llm import line_dedup, mixing, packing, quality, simhash
+from storelake.session import scratch_path
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass every quality rule, unchanged."""
+    return quality.judge(docs).filter("kept").select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with one occurrence of each group of alike lines; ``n_chars`` follows the text."""
+    cut = line_dedup.dedup_lines(docs).select(*docs.columns)
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else cut
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the one with the smallest doc_id (null last)."""
+    return simhash.one_of_each(docs)
+
+
+def take_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many rows of each document as the mix takes of it."""
+    mixed = mixing.mix_documents(docs)
+    repeated = mixed.filter("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequences and offsets."""
+    return packing.pack(packing.pieces(docs))
+
+
+STAGES = [
+    ("quality_rules", keep_good),
+    ("line_dedup", drop_lines),
+    ("simhash_near_dedup", drop_near_copies),
+    ("source_mix", take_copies),
+    ("best_fit_packing", pack_sequences),
+]
+
+# Fuzzy lines, fingerprints, the mix and packing are beyond SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over all documents, each written and read again for the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -141,6 +141,17 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, text: str = "text
     return running.select(*kept, "size", "source_size", "target", copies.cast("int").alias("copies"))
 
 
+def mix_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+    """All rows, whole, with ``copies``. Rows equal in every column share the copies that ``mix`` gives them evenly."""
+    kept = [c for c in docs.columns if c != "copies"]
+    rows = docs.select(*kept).withColumn("__row", F.xxhash64(*kept))
+    mixed = mix(rows.select("__row", "text", "source"), weights)
+    shares = stored(mixed.groupBy("__row").agg(F.sum("copies").alias("__sum"), F.count(F.lit(1)).alias("__rows")))
+    turn = F.row_number().over(Window.partitionBy("__row").orderBy(F.lit(0)))
+    even = F.floor(F.col("__sum") / F.col("__rows")) + (F.col("__turn") <= F.col("__sum") % F.col("__rows")).cast("int")
+    return rows.join(shares, "__row").withColumn("__turn", turn).select(*kept, even.cast("int").alias("copies"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each document."""
     mixed = mix(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))

@@ -1,8 +1,9 @@
 """Queries of the training-data operators and the SQL that some of them can be held against."""
 
-from storelake.llm import mixing, packing, quality, simhash, token_files
+from storelake.llm import line_dedup, mixing, packing, quality, simhash, token_files
 
 QUERIES = {
+    "op1_lines": line_dedup.op1_lines,
     "op2_tokens": token_files.op2_tokens,
     "op3_mixing": mixing.op3_mixing,
     "op7_quality": quality.op7_quality,

@@ -5,7 +5,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storelake.llm.components import components, spanning_links
@@ -135,6 +135,16 @@ def classes(codes: DataFrame, radius: int = MAX_BITS) -> DataFrame:
     )
 
 
+def _classified(docs: DataFrame, text: str, width: int, radius: int, identity: str) -> DataFrame:
+    rows = stored(fingerprints(docs, text, width))
+    codes = stored(rows.groupBy("fp").agg(F.min(identity).alias("least")))
+    labelled = stored(classes(codes.select("fp"), radius))
+    named = codes.join(labelled, "fp")
+    least = stored(named.groupBy("class").agg(F.min("least").alias("component_id")))
+    by_code = stored(labelled.join(least, "class").select("fp", "class", "component_id"))
+    return rows.join(by_code, "fp").select(*rows.columns, "class", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", width: int = SHINGLE_WORDS, radius: int = MAX_BITS, identity: str = "doc_id"
 ) -> DataFrame:
@@ -142,16 +152,28 @@ def near_duplicates(
 
     Rows of one fingerprint are always linked; null and empty texts share fingerprint zero, which is
     linked like any other. Rows whose identity is null take part and are never the smallest; a group of
-    such rows alone has a null component. Repeated rows are kept. Input columns named ``fp`` or
+    such rows alone has a null component. Repeated rows are kept. Input columns named ``fp``, ``class`` or
     ``component_id`` are replaced. An empty table gives an empty table.
     """
-    rows = stored(fingerprints(docs.drop("component_id"), text, width))
-    codes = stored(rows.groupBy("fp").agg(F.min(identity).alias("least")))
-    labelled = stored(classes(codes.select("fp"), radius))
-    named = codes.join(labelled, "fp")
-    least = stored(named.groupBy("class").agg(F.min("least").alias("component_id")))
-    by_code = stored(labelled.join(least, "class").select("fp", "component_id"))
-    return rows.join(by_code, "fp").select(*rows.columns, "component_id")
+    return _classified(docs.drop("class", "component_id"), text, width, radius, identity).drop("class")
+
+
+def one_of_each(
+    docs: DataFrame, text: str = "text", width: int = SHINGLE_WORDS, radius: int = MAX_BITS, identity: str = "doc_id"
+) -> DataFrame:
+    """One whole row of each near-duplicate group: smallest identity (null last), then smallest hash of the row.
+
+    Rows equal in every column come back once at most. Null and empty texts are one group, with whatever lies near to it.
+    """
+    columns = docs.columns
+    key = {"__h": F.xxhash64(*columns), "__i": F.coalesce(F.col(identity), F.lit((1 << 63) - 1))}
+    rows = docs.withColumns(key)
+    found = _classified(rows.select(identity, text, "__h", "__i"), text, width, radius, identity)
+    place = F.struct("__i", "__h")
+    best = stored(found.groupBy("class").agg(F.min(place).alias("best")).select("best.__h", "best.__i"))
+    kept = rows.join(best, ["__h", "__i"], "left_semi")
+    repeats = Window.partitionBy("__h", "__i").orderBy(F.lit(0))
+    return kept.withColumn("__n", F.row_number().over(repeats)).filter("__n = 1").select(*columns)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
