@@ -1,16 +1,19 @@
 """Queries of the training-data operators and the SQL that some of them can be held against."""
 
-from storelake.llm import line_dedup, mixing, packing, quality, simhash, token_files
+from storelake.llm import ann, chat, line_dedup, mixing, packing, quality, simhash, token_files
 
 QUERIES = {
     "op1_lines": line_dedup.op1_lines,
     "op2_tokens": token_files.op2_tokens,
     "op3_mixing": mixing.op3_mixing,
+    "op6_ann": ann.op6_ann,
     "op7_quality": quality.op7_quality,
     "op8_packing": packing.op8_packing,
+    "op9_chat": chat.op9_chat,
     "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLES = {
     "op7_quality": quality.ORACLE,
+    "op9_chat": chat.ORACLE,
 }
