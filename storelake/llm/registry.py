@@ -1,11 +1,13 @@
 """Queries of the training-data operators and the SQL that some of them can be held against."""
 
-from storelake.llm import ann, chat, line_dedup, mixing, packing, quality, simhash, token_files
+from storelake.llm import ann, chat, licenses, line_dedup, mixing, packing, quality, simhash, token_files, toxicity
 
 QUERIES = {
     "op1_lines": line_dedup.op1_lines,
     "op2_tokens": token_files.op2_tokens,
     "op3_mixing": mixing.op3_mixing,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op5_licenses": licenses.op5_licenses,
     "op6_ann": ann.op6_ann,
     "op7_quality": quality.op7_quality,
     "op8_packing": packing.op8_packing,
