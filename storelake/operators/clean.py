@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, StringType, StructType
 
 
 def normalize_names(df: DataFrame) -> DataFrame:
@@ -38,8 +38,18 @@ def clean(df: DataFrame) -> DataFrame:
 
 
 def cast_to(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project onto a schema; a value that does not convert becomes null."""
-    return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    """Project onto a schema; a value that does not convert becomes null.
+
+    Text becomes a whole number by way of a number, so ``3.0`` is 3 and a fraction is cut off.
+    """
+
+    def cast(field) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, IntegerType) and isinstance(df.schema[field.name].dataType, StringType):
+            column = column.try_cast("double")
+        return column.try_cast(field.dataType).alias(field.name)
+
+    return df.select([cast(f) for f in schema])
 
 
 def dedup_by_key(df: DataFrame, keys: list[str]) -> DataFrame:

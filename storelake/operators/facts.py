@@ -10,45 +10,18 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelake.functions.keys import date_key, lineage, surrogate_key
+from storelake.functions.keys import date_key, lineage
 from storelake.schemas import GOLD_COLUMNS
-from storelake.sinks.files import stored
-
-# Up to this many rows a dimension's two key columns are small enough to be sent to every task.
-SMALL_DIMENSION = 50_000
-
 
 def add_key(fact: DataFrame, dim: DataFrame, natural_key: str, key: str) -> DataFrame:
     """The left join with a dimension for its surrogate key; null where the dimension lacks the row.
 
-    Counting a stored table reads only its file footers.
+    One plain join at every size, without a hint: Spark broadcasts a stored dimension below its threshold, and
+    otherwise meets it in a sort-merge join whose hot keys adaptive execution splits.
     """
-    if dim.count() <= SMALL_DIMENSION:
-        return join_key(fact, dim, natural_key, key)
-    return derive_key(fact, dim, natural_key, key)
-
-
-def join_key(fact: DataFrame, dim: DataFrame, natural_key: str, key: str) -> DataFrame:
-    """Plain left join. No broadcast is hinted: Spark decides by the size of the stored table."""
     return fact.join(dim.select(natural_key, key), natural_key, "left")
 
 
-def derive_key(fact: DataFrame, dim: DataFrame, natural_key: str, key: str) -> DataFrame:
-    """The same result for a large dimension, without shuffling the fact.
-
-    A surrogate key is a function of its natural key, so only the keys that the dimension lacks
-    need looking up. They are found among the distinct keys of the fact, one narrow column that is
-    combined before its shuffle, and stored. Usually they are few and broadcast by their size;
-    if not, the fact meets them in a sort-merge join of two plain scans, whose hot keys adaptive
-    execution splits.
-    """
-    used = fact.select(natural_key).distinct()
-    missing = stored(used.join(dim.select(natural_key), natural_key, "left_anti"))
-    looked_up = fact.join(missing.withColumn("is_missing", F.lit(True)), natural_key, "left")
-    known = F.when(F.col("is_missing").isNull(), surrogate_key(natural_key))
-    return looked_up.withColumn(key, known).drop("is_missing")
-
-
 def net_value(transactions: DataFrame) -> Column:
     """Order value after discount, in the type of the discount (a float stays a float)."""
     one = F.lit(1).cast(transactions.schema["discount_applied"].dataType)

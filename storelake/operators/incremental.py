@@ -15,20 +15,33 @@ def key_rank(key: str, order: str) -> Column:
 
 
 def high_watermark(existing: DataFrame, key: str, order: str = "lexicographic"):
-    """Highest stored key: a single value, null for an empty table."""
-    return existing.agg(F.max(key_rank(key, order)).alias("watermark")).first()["watermark"]
+    """Highest stored key: a single value, null for an empty table.
+
+    A table that holds rows but no key to compare by is an error, not an empty table.
+    """
+    found = existing.agg(F.max(key_rank(key, order)).alias("watermark"), F.count(F.lit(1)).alias("rows")).first()
+    if found["rows"] and found["watermark"] is None:
+        raise ValueError(f"no value of {key} can be compared in {order} order")
+    return found["watermark"]
 
 
 def newer_than(df: DataFrame, existing: DataFrame, key: str, order: str = "lexicographic") -> DataFrame:
     """Rows above the stored high watermark; all rows while nothing is stored.
 
-    Text order puts C9 above C10. ``numeric`` compares the digits at the end of the key and
-    passes over keys that have none. Either way late rows with a lower key, and changed rows,
-    are not seen. The watermark enters the filter as a literal, so it is pushed into a Parquet
+    Text order puts C9 above C10. ``numeric`` compares the digits at the end of the key; an incoming
+    key that has none fails the query. Either way late rows with a lower key, and changed rows, are not
+    seen. The watermark enters the filter as a literal, so in text order it is pushed into a Parquet
     or JDBC scan.
     """
     watermark = high_watermark(existing, key, order)
-    return df if watermark is None else df.filter(key_rank(key, order) > F.lit(watermark))
+    if watermark is None:
+        return df
+    rank = key_rank(key, order)
+    if order == "numeric":
+        unranked = F.col(key).isNotNull() & rank.isNull()
+        told = F.raise_error(F.concat(F.lit(f"{key} without digits at its end: "), F.col(key))).cast("decimal(38,0)")
+        rank = F.when(unranked, told).otherwise(rank)
+    return df.filter(rank > F.lit(watermark))
 
 
 def not_in(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:

@@ -1,17 +1,18 @@
 """From decoded requests to keyed stream records: validate, build, publish."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelake.functions.keys import format_utc
+from storelake.functions.keys import utc_date
 from storelake.functions.text import non_blank_or, to_number, to_whole
 from storelake.operators.lateral import computed_once
 from storelake.operators.validation import PAYMENT_METHODS, VALIDATION_FAILED, transaction_errors
 
-# High-value flag bound, generated-id form and default device.
+# High-value flag bound, prefix of a generated id and default device.
 FLAG_THRESHOLD = 950
 ID_PREFIX = "TXN"
-ID_HEX_DIGITS = 6
 DEFAULT_DEVICE = "Unknown"
 
 
@@ -51,27 +52,33 @@ def accepted(checked: DataFrame) -> DataFrame:
     )
 
 
-def generated_id(hex_digits: int) -> Column:
-    """Id derived from the transaction's place and parties, so that a retry generates the same one."""
+def generated_id(hex_digits: int | None = None) -> Column:
+    """Id derived from the transaction's place and parties, so that a retry generates the same one.
+
+    The whole hash keeps ids apart at any volume; a shorter form is cut only where the caller asks for it.
+    """
     origin = F.concat_ws("|", "request_id", "index", "customer_id", "product_id")
-    return F.concat(F.lit(ID_PREFIX), F.upper(F.substring(F.sha2(origin, 256), 1, hex_digits)))
+    digest = F.upper(F.sha2(origin, 256))
+    return F.concat(F.lit(ID_PREFIX), digest if hex_digits is None else F.substring(digest, 1, hex_digits))
 
 
 def build(
     transactions: DataFrame,
     now: Column,
     flag_threshold: float = FLAG_THRESHOLD,
-    hex_digits: int = ID_HEX_DIGITS,
+    hex_digits: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Typed stream records of valid transactions, with defaults and the high-value flag.
 
     ``now`` dates the orders that come without a date: one literal per batch run, the current
-    timestamp in a stream. The flag looks at the rounded value. Six hex digits keep the usual form
-    of a generated id; raise ``hex_digits`` where many transactions arrive without one.
+    timestamp in a stream. The flag looks at the rounded value.
+    ``hex_digits`` shortens generated ids; ``keep`` names columns to pass on in front.
     """
     value = F.round(to_number(F.col("order_value")), 2)
-    today = format_utc(now, "yyyy-MM-dd")
+    today = utc_date(now)
     return transactions.select(
+        *keep,
         non_blank_or(F.col("transaction_id"), generated_id(hex_digits)).alias("transaction_id"),
         "customer_id",
         "product_id",
@@ -85,10 +92,10 @@ def build(
     )
 
 
-def to_keyed_json(built: DataFrame) -> DataFrame:
-    """Message frame: the customer as key, the record as JSON."""
-    record = F.to_json(F.struct(*built.columns), {"ignoreNullFields": "false"})
-    return built.select(F.col("customer_id").alias("key"), record.alias("value"))
+def to_keyed_json(built: DataFrame, fields: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Message frame: the customer as key, the record (``fields``, or all columns) as JSON."""
+    record = F.to_json(F.struct(*(fields or built.columns)), {"ignoreNullFields": "false"})
+    return built.select(*keep, F.col("customer_id").alias("key"), record.alias("value"))
 
 
 def request_metrics(checked: DataFrame) -> dict[str, Column]:

@@ -16,14 +16,14 @@ MAX_ORDER_VALUE = 10000
 MAX_REQUEST_SIZE = 100
 MISSING_FIELD = "Missing required field: {}"
 VALUE_TOO_SMALL = "order_value must be greater than 0"
-VALUE_TOO_LARGE = "order_value must be less than 10000"
+VALUE_TOO_LARGE = "order_value must be less than {}"
 NOT_A_NUMBER = "{} must be a number"
 UNKNOWN_PAYMENT = "payment_method must be one of: {}"
 INVALID_JSON = "Invalid JSON in request body"
 NO_TRANSACTIONS = "Request body must contain a 'transactions' list"
 NOT_A_LIST = "transactions must be a list"
 EMPTY_LIST = "transactions list is empty"
-LIST_TOO_LONG = "Maximum 100 transactions per request"
+LIST_TOO_LONG = f"Maximum {MAX_REQUEST_SIZE} transactions per request"
 VALIDATION_FAILED = "Validation failed"
 
 
@@ -35,9 +35,10 @@ def numeric(field: str, value: Column) -> Column:
     return F.when(to_number(value).isNull(), NOT_A_NUMBER.format(field))
 
 
-def in_range(value: Column) -> Column:
+def in_range(value: Column, most: float = MAX_ORDER_VALUE) -> Column:
+    """The upper bound itself is allowed."""
     number = to_number(value)
-    return F.when(number <= 0, VALUE_TOO_SMALL).when(number > MAX_ORDER_VALUE, VALUE_TOO_LARGE)
+    return F.when(number <= 0, VALUE_TOO_SMALL).when(number > most, VALUE_TOO_LARGE.format(most))
 
 
 def in_domain(value: Column, methods: list[str]) -> Column:

@@ -37,6 +37,10 @@ RUN_TS = datetime(2024, 7, 1, 12, 30, tzinfo=timezone.utc)
 
 QUERIES: dict[str, Query] = {}
 
+# Dimensions cut by these lack some of the keys that the facts hold.
+IN_CREDIT = "lifetime_value > 3000"
+SLOW_SELLER = "popularity_score <= 25"
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -53,7 +57,7 @@ def shown(fact: DataFrame) -> DataFrame:
 
 @query
 def dim_customer(spark, folder):
-    return dims.dim_customer(views.customers(spark, folder))
+    return dims.dim_customer(views.repeated_customers(spark, folder))
 
 
 @query
@@ -76,8 +80,8 @@ def fact_transactions(spark, folder):
     transactions = views.transactions(spark, folder)
     by = loads.together(
         spark,
-        customers=lambda: sinks.stored(dims.dim_customer(views.customers(spark, folder))),
-        products=lambda: sinks.stored(dims.dim_product(views.products(spark, folder))),
+        customers=lambda: sinks.stored(dims.dim_customer(views.customers(spark, folder).filter(IN_CREDIT))),
+        products=lambda: sinks.stored(dims.dim_product(views.products(spark, folder).filter(SLOW_SELLER))),
         payments=lambda: sinks.stored(dims.dim_payment(transactions)),
     )
     return shown(
@@ -94,7 +98,7 @@ def fact_transactions(spark, folder):
 
 @query
 def fact_behavior(spark, folder):
-    by_customer = sinks.stored(dims.dim_customer(views.customers(spark, folder)))
+    by_customer = sinks.stored(dims.dim_customer(views.customers(spark, folder).filter(IN_CREDIT)))
     return shown(facts.fact_behavior(views.behavior(spark, folder), by_customer, "INITIAL", RUN_TS))
 
 
@@ -103,7 +107,7 @@ def fact_behavior(spark, folder):
 
 @query
 def join_left_customer(spark, folder):
-    in_credit = views.customers(spark, folder).filter("lifetime_value > 3000")
+    in_credit = views.customers(spark, folder).filter(IN_CREDIT)
     by_customer = sinks.stored(dims.dim_customer(in_credit))
     keyed = facts.add_key(views.transactions(spark, folder), by_customer, "customer_id", "customer_key")
     return keyed.select("transaction_id", "customer_id", "order_value", "customer_key")
@@ -111,7 +115,7 @@ def join_left_customer(spark, folder):
 
 @query
 def join_left_product(spark, folder):
-    slow_sellers = views.products(spark, folder).filter("popularity_score <= 25")
+    slow_sellers = views.products(spark, folder).filter(SLOW_SELLER)
     by_product = sinks.stored(dims.dim_product(slow_sellers))
     keyed = facts.add_key(views.transactions(spark, folder), by_product, "product_id", "product_key")
     return keyed.select("transaction_id", "product_id", "order_value", "product_key")
@@ -195,6 +199,12 @@ def incr_watermark_products(spark, folder):
     return incremental.newer_than(products, products.filter("price < 950"), "product_id")
 
 
+@query
+def incr_watermark_numeric(spark, folder):
+    products = views.products(spark, folder)
+    return incremental.newer_than(products, products.filter("price < 950"), "product_id", "numeric")
+
+
 @query
 def incr_anti_behavior(spark, folder):
     return incremental.not_in(views.customers(spark, folder), views.behavior(spark, folder), "customer_id")
@@ -266,9 +276,8 @@ def sink_csv_fixed(spark, folder):
 @query
 def sink_hour_partitions(spark, folder):
     path = scratch_path(spark, "hourly")
-    rows = changes.by_hour(changes.decode_changes(change_feed(spark, folder)), F.lit(RUN_TS))
-    rows.write.partitionBy("year", "month", "day", "hour").option("header", True).csv(path)
-    return changes.read_landed(spark, path).select("transaction_id", "year", "month", "day", "hour")
+    changes.land(change_feed(spark, folder), path, F.lit(RUN_TS))
+    return changes.read_landed(spark, path)
 
 
 # Requests
@@ -304,9 +313,35 @@ def validate_required(spark, folder):
     )
 
 
+@query
+def validate_required_fields(spark, folder):
+    """Every required field, left out of the line of its number."""
+    rows = views.transactions(spark, folder)
+    line = F.substring_index("transaction_id", "-", -1)
+    fields = enumerate(validation.REQUIRED_FIELDS, 1)
+    given = {name: F.when(line != str(n), F.col(name).cast("string")) for n, name in fields}
+    said = F.array_compact(F.array(*[validation.required(name, value) for name, value in given.items()]))
+    return messages(rows.select("transaction_id", F.explode(said).alias("said")), F.col("said")).drop("said")
+
+
+@query
+def validate_optional(spark, folder):
+    """Optional numbers that cannot be read, and such as are left out."""
+    part = views.table(spark, folder, "part")
+    text = {
+        "discount_applied": F.when(F.col("p_size") > 40, F.col("p_name")).when(F.col("p_size") > 5, "0.1"),
+        "shipping_delay_days": F.when(F.col("p_size") > 45, "1.5").when(F.col("p_size") > 30, F.col("p_type")).when(F.col("p_size") > 9, "2"),
+    }
+    fixed = {"customer_id": F.lit("C"), "product_id": F.lit("P"), "order_value": F.lit("1"), "payment_method": F.lit("UPI")}
+    said = validation.transaction_errors(lambda name: {**fixed, **text}[name])
+    return part.select("p_partkey", F.array_join(said, "; ").alias("message")).filter("message <> ''")
+
+
 @query
 def validate_range(spark, folder):
-    rows = views.transactions(spark, folder).select("transaction_id", "order_value")
+    """Values moved so far that some fall below the range and some lie above it."""
+    moved = (F.col("order_value") * 2 - 20000).alias("order_value")
+    rows = views.transactions(spark, folder).select("transaction_id", moved)
     return messages(rows, validation.in_range(F.col("order_value").cast("string")))
 
 
@@ -365,7 +400,7 @@ def publish_keyed_json(spark, folder):
 def ingest_publish(spark, folder):
     """Validate, build and publish to a folder; what a consumer of the stream reads."""
     path = scratch_path(spark, "published")
-    publish.messages(views.requests(spark, folder), F.lit(RUN_TS)).write.json(path)
+    publish.messages(views.requests(spark, folder), F.lit(RUN_TS)).write.json(f"{path}/messages")
     return received(publish.read_published(spark, path))
 
 
@@ -443,6 +478,34 @@ def stream_publish(spark, folder):
     return received(publish.read_published(spark, f"{root}/out"))
 
 
+@query
+def stream_rejections(spark, folder):
+    root = scratch_path(spark, "requests")
+    requests = views.requests(spark, folder)
+    sinks.overwrite(requests, f"{root}/input")
+    arriving = spark.readStream.schema(requests.schema).parquet(f"{root}/input")
+    publish.start_publish(arriving, f"{root}/out", f"{root}/checkpoint", F.lit(RUN_TS)).awaitTermination()
+    failing = publish.read_rejections(spark, f"{root}/out").select("request_id", "error", F.explode("errors").alias("e"))
+    return failing.select("request_id", "error", F.col("e.index").alias("index"), F.posexplode("e.messages").alias("no", "message"))
+
+
+@query
+def requests_to_items(spark, folder):
+    """Requests through the publish stream and the upsert stream to the current items."""
+    root = scratch_path(spark, "chain")
+    requests = views.requests(spark, folder)
+    sinks.overwrite(requests, f"{root}/input")
+    arriving = spark.readStream.schema(requests.schema).parquet(f"{root}/input")
+    publish.start_publish(arriving, f"{root}/out", f"{root}/publish", F.lit(RUN_TS)).awaitTermination()
+    published = spark.readStream.schema(publish.MESSAGE).json(f"{root}/out/messages")
+    running = items.start_upsert(
+        publish.to_records(published), f"{root}/log", f"{root}/alerts", f"{root}/upsert", F.lit(RUN_TS)
+    )
+    running.awaitTermination()
+    numbers = {name: F.col(name).cast("double") for name in ("order_value", "discount_applied")}
+    return items.current_items(spark, f"{root}/log").withColumns(numbers)
+
+
 @query
 def stream_upsert(spark, folder):
     log_path, _ = run_upsert_stream(spark, folder)
@@ -492,11 +555,59 @@ def bulk_extract(spark, folder):
     return customers.union(products).union(behavior).union(transactions)
 
 
+def extracted(name: str) -> Query:
+    """The rows of one extracted table, as Bronze holds them."""
+
+    def read(spark, folder):
+        lake = loads.Lake(scratch_path(spark, "lake"))
+        loads.extract(spark, {name: views.retail_tables(spark, folder)[name]}, lake)
+        return read_csv(spark, f"{lake.bronze}/{name}", BATCH_TABLES[name])
+
+    return read
+
+
+QUERIES.update({f"extract_{name}": extracted(name) for name in ("customers", "products", "behavior")})
+
+
+def run_initial_load(spark, folder) -> loads.Lake:
+    """A load whose customers and products lack some of the keys of the facts."""
+    lake = loads.Lake(scratch_path(spark, "lake"))
+    tables = views.retail_tables(spark, folder)
+    known = {"customers": tables["customers"].filter(IN_CREDIT), "products": tables["products"].filter(SLOW_SELLER)}
+    loads.run(spark, "initial", lake, {**tables, **known}, RUN_TS)
+    return lake
+
+
 @query
 def initial_load(spark, folder):
+    return shown(read_table(spark, f"{run_initial_load(spark, folder).gold}/fact_transactions"))
+
+
+@query
+def initial_line_breaks(spark, folder):
+    """A first load whose transactions hold line breaks."""
     lake = loads.Lake(scratch_path(spark, "lake"))
-    loads.run(spark, "initial", lake, views.retail_tables(spark, folder), RUN_TS)
-    return shown(read_table(spark, f"{lake.gold}/fact_transactions"))
+    tables = views.retail_tables(spark, folder)
+    broken = F.concat("device_type", F.lit('\n"x", \n'))
+    tables["transactions"] = tables["transactions"].withColumn("device_type", broken)
+    loads.run(spark, "initial", lake, tables, RUN_TS, multi_line=["transactions"])
+    return read_table(spark, f"{lake.gold}/fact_transactions").select("transaction_id", "device_type", "order_value", "fraud_label")
+
+
+def gold_table(load: str, name: str) -> Query:
+    def read(spark, folder):
+        lake = run_initial_load(spark, folder) if load == "initial" else run_both_loads(spark, folder)[0]
+        rows = read_table(spark, f"{lake.gold}/{name}")
+        return shown(rows) if "ingested_at" in rows.columns else rows
+
+    return read
+
+
+# The Gold tables that no other query of these loads returns.
+for _load in ("initial", "incremental"):
+    for _name in ("dim_customer", "dim_product", "dim_payment", "dim_date"):
+        QUERIES[f"{_load}_{_name}"] = gold_table(_load, _name)
+QUERIES["initial_behavior"] = gold_table("initial", "fact_behavior")
 
 
 def run_both_loads(spark, folder) -> tuple[loads.Lake, dict[str, int]]:

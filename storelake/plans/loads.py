@@ -9,13 +9,14 @@ from functools import partial
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from storelake.operators import dims, facts
 from storelake.operators.clean import cast_to, clean
 from storelake.operators.incremental import newer_than, not_in
 from storelake.schemas import BATCH_TABLES, GOLD_TABLES
-from storelake.sinks.files import append_delta, overwrite, stored, stored_counted, write_csv
+from storelake.sinks.files import append_delta, observed_rows, overwrite, stored, stored_counted, write_csv_counted
 from storelake.sources.files import read_csv, read_table
 
 log = logging.getLogger(__name__)
@@ -55,22 +56,35 @@ def together(spark: SparkSession, **jobs: Callable[[], T]) -> dict[str, T]:
         return {name: future.result() for name, future in running.items()}
 
 
-def extract(spark: SparkSession, sources: Mapping[str, DataFrame], lake: Lake) -> None:
-    """Source tables to Bronze CSV, written in parallel by the executors."""
-    together(
-        spark, **{name: partial(write_csv, source, f"{lake.bronze}/{name}") for name, source in sources.items()}
+def extract(spark: SparkSession, sources: Mapping[str, DataFrame], lake: Lake) -> dict[str, int]:
+    """Source tables to Bronze CSV, written in parallel by the executors. Returns the rows written per table."""
+    return together(
+        spark,
+        **{name: partial(write_csv_counted, source, f"{lake.bronze}/{name}") for name, source in sources.items()},
     )
 
 
-def bronze_to_silver(spark: SparkSession, lake: Lake, multi_line: Collection[str] = ()) -> dict[str, int]:
+def bronze_to_silver(
+    spark: SparkSession, lake: Lake, multi_line: Collection[str] = (), extracted: Mapping[str, int] | None = None
+) -> dict[str, int]:
     """Clean the Bronze files into Silver and return the rows kept per table.
 
-    Name the tables whose text holds line breaks in ``multi_line``; their files are not split.
+    Name the tables whose text holds line breaks in ``multi_line``; their files are not split. Given the
+    rows that were extracted, a table read with another number of rows is an error: a line break has cut a row.
     """
 
     def refine(name: str) -> int:
+        counter = Observation()
         bronze = read_csv(spark, f"{lake.bronze}/{name}", BATCH_TABLES[name], name in multi_line)
-        _, rows = stored_counted(clean(bronze), f"{lake.silver}/{name}")
+        parsed = bronze.observe(counter, F.count(F.lit(1)).alias("rows"))
+        _, rows = stored_counted(clean(parsed), f"{lake.silver}/{name}")
+        read = observed_rows(counter)
+        wanted = (extracted or {}).get(name, read)
+        if read != wanted:
+            raise ValueError(
+                f"{wanted} rows of {name} were extracted, but {read} read; "
+                "name the table in multi_line if its text holds line breaks"
+            )
         return rows
 
     return together(spark, **{name: partial(refine, name) for name in BATCH_TABLES})
@@ -109,8 +123,9 @@ def build_gold(
         behavior=lambda: overwrite(visits, f"{lake.gold}/fact_behavior"),
     )
     if warehouse:
-        for name in GOLD_TABLES:
-            warehouse(read_table(spark, f"{lake.gold}/{name}"), name)
+        together(
+            spark, **{name: partial(warehouse, read_table(spark, f"{lake.gold}/{name}"), name) for name in GOLD_TABLES}
+        )
 
 
 def initial_load(
@@ -119,9 +134,10 @@ def initial_load(
     run_ts: datetime,
     warehouse: Warehouse | None = None,
     multi_line: Collection[str] = (),
+    extracted: Mapping[str, int] | None = None,
 ) -> dict[str, int]:
     """Bronze to Silver to Gold, then the warehouse. Returns the Silver rows per table."""
-    kept = bronze_to_silver(spark, lake, multi_line)
+    kept = bronze_to_silver(spark, lake, multi_line, extracted)
     build_gold(spark, lake, "INITIAL", run_ts, warehouse)
     return kept
 
@@ -147,13 +163,19 @@ def incremental_load(
         schema = BATCH_TABLES[name]
         return clean(cast_to(sources[name], schema)) if cast_then_clean else cast_to(clean(sources[name]), schema)
 
-    deltas = {
-        "customers": newer_than(conformed("customers"), silver["customers"], "customer_id", key_order),
-        "products": newer_than(conformed("products"), silver["products"], "product_id", key_order),
-        "behavior": not_in(conformed("behavior"), silver["behavior"], "customer_id"),
-    }
+    def above(name: str, key: str) -> int:
+        delta = newer_than(conformed(name), silver[name], key, key_order)
+        return append_delta(delta, f"{lake.silver}/{name}")
+
+    def unseen(name: str, key: str) -> int:
+        return append_delta(not_in(conformed(name), silver[name], key), f"{lake.silver}/{name}")
+
+    # Each job finds its own watermark or stored keys, so that these run side by side too.
     appended = together(
-        spark, **{name: partial(append_delta, delta, f"{lake.silver}/{name}") for name, delta in deltas.items()}
+        spark,
+        customers=partial(above, "customers", "customer_id"),
+        products=partial(above, "products", "product_id"),
+        behavior=partial(unseen, "behavior", "customer_id"),
     )
     build_gold(spark, lake, "INCREMENTAL", run_ts, warehouse)
     return appended
@@ -166,16 +188,20 @@ def run(
     sources: Mapping[str, DataFrame],
     run_ts: datetime,
     warehouse: Warehouse | None = None,
+    multi_line: Collection[str] = (),
+    cast_then_clean: bool = False,
+    key_order: str = "lexicographic",
 ) -> dict[str, int]:
     """Route a run by its mode: ``initial`` extracts and loads everything, ``incremental`` adds what is new.
 
-    Returns the rows that entered Silver per table.
+    ``multi_line`` belongs to the initial load, ``cast_then_clean`` and ``key_order`` to the incremental one. Returns
+    the rows that entered Silver per table.
     """
     if mode == "initial":
-        extract(spark, sources, lake)
-        entered = initial_load(spark, lake, run_ts, warehouse)
+        extracted = extract(spark, sources, lake)
+        entered = initial_load(spark, lake, run_ts, warehouse, multi_line, extracted)
     elif mode == "incremental":
-        entered = incremental_load(spark, lake, sources, run_ts, warehouse)
+        entered = incremental_load(spark, lake, sources, run_ts, warehouse, cast_then_clean, key_order)
     else:
         raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode!r}")
     log.info("%s load: %s", mode, entered)

@@ -74,8 +74,8 @@ from requested
 
 BUILT = """
 select coalesce(transaction_id,
-                concat('TXN', upper(substr(sha256(concat_ws('|', cast(request_id as varchar),
-                       cast(index as varchar), customer_id, product_id)), 1, 6)))) as transaction_id,
+                concat('TXN', upper(sha256(concat_ws('|', cast(request_id as varchar),
+                       cast(index as varchar), customer_id, product_id))))) as transaction_id,
        customer_id, product_id,
        case when order_date = '' then '2024-07-01' else order_date end as order_date,
        round(order_value, 2) as order_value, payment_method,
@@ -168,8 +168,8 @@ select customer_key, product_key, payment_method_key,
        {net_value} as net_value, shipping_delay_days, fraud_label, device_type,
        '{load_type}' as load_type, '2024-07-01T12:30:00.000000' as ingested_at
 from {transactions} t
-left join dim_customer c on t.customer_id = c.customer_id
-left join dim_product p on t.product_id = p.product_id
+left join (select * from dim_customer where {customer}) c on t.customer_id = c.customer_id
+left join (select * from dim_product where {product}) p on t.product_id = p.product_id
 left join dim_payment m on t.payment_method = m.payment_method
 """
 
@@ -216,22 +216,59 @@ _FLOAT_FACT = {
     "transactions": "float_transactions",
 }
 
+_KNOWN = {"customer": "lifetime_value > 3000", "product": "popularity_score <= 25"}
+_ALL = {"customer": "true", "product": "true"}
+
+_FLOAT_BEHAVIOR = """
+select customer_id, cast(avg_session_time as float) as avg_session_time, pages_per_session,
+       cast(cart_abandon_rate as float) as cart_abandon_rate, cast(return_rate as float) as return_rate,
+       support_tickets, cast(review_score as float) as review_score, behavior_churn_signal
+from behavior
+"""
+
+# The dimensions of a load: what passes a condition, with 32-bit floats.
+_LOADED = {
+    "dim_customer": """
+        select sha256(customer_id) as customer_key, customer_id, age, gender, country,
+               cast(registration_date as date) as registration_date, cast(loyalty_score as float) as loyalty_score,
+               cast(lifetime_value as float) as lifetime_value, churn_label
+        from customers where {customer}
+    """,
+    "dim_product": """
+        select sha256(product_id) as product_key, product_id, category, cast(price as float) as price,
+               cast(margin_percentage as float) as margin_percentage, cast(popularity_score as float) as popularity_score
+        from products where {product}
+    """,
+    "dim_payment": DIM_PAYMENT,
+    "dim_date": DIM_DATE,
+}
+_LOADED_VIEWS = "customers products behavior transactions"
+_LATER = {
+    "customer": """customer_id in (select customer_id from behavior) or customer_id >
+        (select max(b.customer_id) from behavior b join customers a on a.customer_id = b.customer_id)""",
+    "product": "price < 950 or product_id > (select max(product_id) from products where price < 950)",
+}
+
 ORACLES = {
-    "dim_customer": with_views("customers", DIM_CUSTOMER),
+    "dim_customer": with_views("customers", DIM_CUSTOMER.replace("from customers)", """from (
+          select * replace (case when age % 5 <> 0 then registration_date else 'unknown' end as registration_date)
+          from (select * from customers
+                union all select * replace (loyalty_score + 1 as loyalty_score) from customers where gender = 'F')))""")),
     "dim_product": with_views("products", DIM_PRODUCT),
     "dim_payment": with_views("transactions", DIM_PAYMENT),
     "dim_date": with_views("transactions", DIM_DATE),
     "fact_transactions": with_views(
         "customers products transactions dim_customer dim_product dim_payment",
         _FACT_TRANSACTIONS.format(
-            net_value="order_value * (1 - discount_applied)", load_type="INITIAL", transactions="transactions"
+            net_value="order_value * (1 - discount_applied)", load_type="INITIAL", transactions="transactions", **_KNOWN
         ),
     ),
     "fact_behavior": with_views(
         "customers behavior dim_customer",
         """
         select customer_key, b.*, 'INITIAL' as load_type, '2024-07-01T12:30:00.000000' as ingested_at
-        from behavior b left join dim_customer c on b.customer_id = c.customer_id
+        from behavior b left join (select * from dim_customer where lifetime_value > 3000) c
+        on b.customer_id = c.customer_id
         """,
     ),
     "join_left_customer": with_views(
@@ -300,6 +337,13 @@ ORACLES = {
         "products",
         "select * from products where product_id > (select max(product_id) from products where price < 950)",
     ),
+    "incr_watermark_numeric": with_views(
+        "products",
+        """
+        select * from products where cast(product_id as bigint) >
+            (select max(cast(product_id as bigint)) from products where price < 950)
+        """,
+    ),
     "incr_anti_behavior": with_views(
         "customers behavior",
         """
@@ -329,10 +373,6 @@ ORACLES = {
         "event_fields streamed items",
         f"select {ITEM_COLUMNS.replace('order_value', 'cast(order_value as double) as order_value')} from items",
     ),
-    "sink_hour_partitions": with_views(
-        "event_fields changes",
-        "select transaction_id, '2024' as year, '07' as month, '01' as day, '12' as hour from changes",
-    ),
     "ingest_explode": with_views(
         "event_fields requested",
         "select * replace (cast(shipping_delay_days as varchar) as shipping_delay_days) from requested",
@@ -347,9 +387,24 @@ ORACLES = {
         select transaction_id, order_value,
                case when order_value <= 0 then 'order_value must be greater than 0'
                     else 'order_value must be less than 10000' end as message
-        from transactions where order_value <= 0 or order_value > 10000
+        from (select transaction_id, order_value * 2 - 20000 as order_value from transactions)
+        where order_value <= 0 or order_value > 10000
+        """,
+    ),
+    "validate_required_fields": with_views(
+        "transactions",
+        """
+        select transaction_id, 'Missing required field: ' || case line when '1' then 'customer_id' when '2' then 'product_id'
+               when '3' then 'order_value' else 'payment_method' end as message
+        from (select transaction_id, split_part(transaction_id, '-', 2) as line from transactions)
+        where line in ('1', '2', '3', '4')
         """,
     ),
+    "validate_optional": """
+        select p_partkey, concat_ws('; ', case when p_size > 40 then 'discount_applied must be a number' end,
+                                    case when p_size between 31 and 45 then 'shipping_delay_days must be a number' end) as message
+        from part where p_size > 30
+    """,
     "validate_numeric": """
         select p_partkey, order_value, 'order_value must be a number' as message
         from (select p_partkey, case when p_size > 25 then p_name else cast(p_retailprice as varchar) end
@@ -429,7 +484,7 @@ ORACLES = {
     ),
     "initial_load": with_views(
         "customers products transactions dim_customer dim_product dim_payment",
-        _FACT_TRANSACTIONS.format(load_type="INITIAL", **_FLOAT_FACT),
+        _FACT_TRANSACTIONS.format(load_type="INITIAL", **_FLOAT_FACT, **_KNOWN),
         float_transactions=f"select distinct * from ({FLOAT_TRANSACTIONS})",
     ),
     "incremental_behavior": with_views(
@@ -457,7 +512,7 @@ ORACLES = {
     ),
     "incremental_load": with_views(
         "transactions behavior",
-        _FACT_TRANSACTIONS.format(load_type="INCREMENTAL", **_FLOAT_FACT),
+        _FACT_TRANSACTIONS.format(load_type="INCREMENTAL", **_FLOAT_FACT, **_ALL),
         all_customers=CUSTOMERS,
         all_products=PRODUCTS,
         customers="""
@@ -478,3 +533,51 @@ ORACLES = {
 ORACLES["stream_alerts"] = ORACLES["alerts_high_value"]
 ORACLES["stream_publish"] = ORACLES["ingest_publish"]
 ORACLES["items_compacted"] = ORACLES["stream_upsert"]
+ORACLES["sink_hour_partitions"] = ORACLES["cdc_landing"]
+ORACLES["stream_rejections"] = with_views(
+    _REQUEST_VIEWS, f"select *, 'Validation failed' as error from ({ORACLES['validate_errors']})"
+)
+ORACLES["requests_to_items"] = with_views(
+    _REQUEST_VIEWS,
+    f"""
+    select * exclude (rank) from (
+        select {ITEM_COLUMNS}, '2024-07-01T12:30:00.000000' as ingested_at,
+               row_number() over (partition by transaction_id order by request_id desc, index desc) as rank
+        from ({BUILT.replace("select coalesce", "select request_id, index, coalesce", 1)}))
+    where rank = 1
+    """,
+)
+ORACLES["initial_line_breaks"] = with_views(
+    "transactions",
+    """
+    select transaction_id, device_type || chr(10) || '"x", ' || chr(10) as device_type,
+           cast(order_value as float) as order_value, fraud_label from transactions
+    """,
+)
+ORACLES["extract_customers"] = with_views(
+    "customers",
+    """
+    select * replace (cast(loyalty_score as float) as loyalty_score, cast(lifetime_value as float) as lifetime_value)
+    from customers
+    """,
+)
+ORACLES["extract_products"] = with_views(
+    "products",
+    """
+    select * replace (cast(price as float) as price, cast(margin_percentage as float) as margin_percentage,
+                      cast(popularity_score as float) as popularity_score) from products
+    """,
+)
+ORACLES["extract_behavior"] = with_views("behavior", _FLOAT_BEHAVIOR)
+ORACLES["initial_behavior"] = with_views(
+    "customers behavior",
+    f"""
+    select c.customer_key, b.*, 'INITIAL' as load_type, '2024-07-01T12:30:00.000000' as ingested_at
+    from ({_FLOAT_BEHAVIOR}) b left join
+         (select customer_id, sha256(customer_id) as customer_key from customers where {_KNOWN["customer"]}) c
+    on b.customer_id = c.customer_id
+    """,
+)
+for _name, _sql in _LOADED.items():
+    ORACLES[f"initial_{_name}"] = with_views(_LOADED_VIEWS, _sql.format(**_KNOWN) if "{" in _sql else _sql)
+    ORACLES[f"incremental_{_name}"] = with_views(_LOADED_VIEWS, _sql.format(**_LATER) if "{" in _sql else _sql)

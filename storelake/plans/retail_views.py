@@ -31,6 +31,14 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def repeated_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers of which half come twice, with another score, and some without a readable date."""
+    readable = F.when(F.col("age") % 5 != 0, F.col("registration_date")).otherwise("unknown")
+    once = customers(spark, folder).withColumn("registration_date", readable)
+    again = once.filter("gender = 'F'").withColumn("loyalty_score", F.col("loyalty_score") + 1)
+    return again.union(once)
+
+
 def products(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         F.col("p_partkey").cast("string").alias("product_id"),

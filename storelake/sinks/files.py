@@ -1,6 +1,7 @@
 """Parquet and CSV writers."""
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from storelake.session import scratch_path
@@ -25,25 +26,48 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def observed_rows(counter: Observation) -> int:
+    """The counted rows. Spark drops an observation along with an input that it finds empty; then there are none."""
+    try:
+        return counter.get["rows"]
+    except (Py4JJavaError, KeyError):
+        return 0
+
+
 def stored_counted(df: DataFrame, path: str | None = None) -> tuple[DataFrame, int]:
     """``stored`` with the number of rows, counted by the tasks that write them."""
     counter = Observation()
     written = stored(df.observe(counter, F.count(F.lit(1)).alias("rows")), path)
-    return written, counter.get["rows"]
+    return written, observed_rows(counter)
 
 
 def append_delta(delta: DataFrame, path: str) -> int:
     """Append a delta unless it is empty, and return its row count.
 
     The delta is staged first: its source is read once, and the count belongs to the very rows
-    that are appended even when the source changes meanwhile.
+    that are appended even when the source changes meanwhile. The staged copy is deleted afterwards.
     """
-    staged, rows = stored_counted(delta)
+    staging = scratch_path(delta.sparkSession, "delta")
+    staged, rows = stored_counted(delta, staging)
     if rows:
         append(staged, path)
+    delete_folder(delta.sparkSession, staging)
     return rows
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making, in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_csv_counted(df: DataFrame, path: str) -> int:
+    """``write_csv``, and the number of rows that its tasks have written."""
+    counter = Observation()
+    write_csv(df.observe(counter, F.count(F.lit(1)).alias("rows")), path)
+    return observed_rows(counter)
+
+
 def write_csv(df: DataFrame, path: str, line_sep: str = "\r\n") -> None:
     """Bronze extract: header, doubled quotes, untrimmed text, nulls and empty text left blank."""
     (

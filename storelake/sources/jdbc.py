@@ -21,13 +21,16 @@ def read_options(
     query: str | None = None,
     partitioning: Partitioning | None = None,
     fetch_rows: int = 10000,
+    one_task: bool = False,
 ) -> dict[str, str]:
     """``connection`` holds url, user, password and driver.
 
-    A query is passed as a derived table, since Spark partitions reads of tables only.
+    Name a partitioning; a table small enough for a single task has to be read with ``one_task``. A query is passed as a derived table, since Spark partitions reads of tables only.
     """
     if (table is None) == (query is None):
         raise ValueError("name either a table or a query")
+    if (partitioning is None) != one_task:
+        raise ValueError("name a partitioning, or read in one_task")
     options = {**connection, "dbtable": table or f"({query}) extracted", "fetchsize": str(fetch_rows)}
     if partitioning:
         options.update(
@@ -45,5 +48,7 @@ def read_jdbc(
     table: str | None = None,
     query: str | None = None,
     partitioning: Partitioning | None = None,
+    one_task: bool = False,
 ) -> DataFrame:
-    return spark.read.format("jdbc").options(**read_options(connection, table, query, partitioning)).load()
+    options = read_options(connection, table, query, partitioning, one_task=one_task)
+    return spark.read.format("jdbc").options(**options).load()

@@ -7,10 +7,13 @@ from pyspark.sql.streaming import StreamingQuery
 from storelake.functions.keys import hour_parts
 from storelake.functions.text import to_number
 from storelake.schemas import LANDED, STREAM_TXN
+from storelake.sources.files import read_csv
 
 # The change types that carry a new row.
 NEW_ROW_CHANGES = ["INSERT", "MODIFY"]
 
+LANDED_COUNTER = "landed"
+
 
 def with_new_row(changes: DataFrame) -> DataFrame:
     """Keep inserts and modifications that bring a non-empty image."""
@@ -45,24 +48,34 @@ def by_hour(rows: DataFrame, landed_at: Column) -> DataFrame:
 def start_landing(
     changes: DataFrame, path: str, checkpoint: str, landed_at: Column | None = None, **trigger
 ) -> StreamingQuery:
-    """Land each micro-batch under the hour it is processed in. The file sink commits every batch once."""
+    """Land each micro-batch under the hour it is processed in. The file sink commits every batch once.
+
+    The rows of each batch are counted as they are written; see ``landed_counts``.
+    """
     landed_at = F.current_timestamp() if landed_at is None else landed_at
-    writer = (
-        by_hour(decode_changes(changes), landed_at)
-        .writeStream.format("csv")
-        .option("header", True)
-        .option("escape", '"')
-        .option("lineSep", "\n")
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .partitionBy("year", "month", "day", "hour")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+    rows = by_hour(decode_changes(changes), landed_at).observe(LANDED_COUNTER, F.count(F.lit(1)).alias("rows"))
+    writer = hourly(rows.writeStream.format("csv")).option("path", path).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed rows with the hour they arrived in."""
-    return spark.read.schema(LANDED).option("header", True).option("escape", '"').csv(path)
+def hourly(writer):
+    """The layout of landed rows, for the writer of a batch or of a stream."""
+    options = {"header": True, "escape": '"', "lineSep": "\n", "emptyValue": ""}
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return writer.options(**options, **spaces).partitionBy("year", "month", "day", "hour")
+
+
+def land(changes: DataFrame, path: str, landed_at: Column) -> None:
+    """Land one batch of changes under one hour."""
+    hourly(by_hour(decode_changes(changes), landed_at).write).csv(path)
+
+
+def landed_counts(running: StreamingQuery) -> dict[int, int]:
+    """Rows landed by each of the query's recent batches."""
+    seen = ((p.batchId, p.observedMetrics.get(LANDED_COUNTER)) for p in running.recentProgress)
+    return {batch: row["rows"] for batch, row in seen if row is not None}
+
+
+def read_landed(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed rows with the hour they arrived in. With line breaks in the text, ``multi_line`` reads each file as a whole."""
+    return read_csv(spark, path, LANDED, multi_line)

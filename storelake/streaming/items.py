@@ -108,12 +108,12 @@ def batch_writer(
     """
 
     def write(keyed: DataFrame, batch_id: int) -> None:
-        if keyed.isEmpty():
-            return
         now = F.current_timestamp() if ingested_at is None else ingested_at
         items, written = stored_counted(
             store_items(decode_records(keyed), now), f"{log_path}/batch_id={batch_id}"
         )
+        if not written:
+            return
         counter = Observation()
         messages = alerts(items, threshold).observe(counter, F.count(F.lit(1)).alias("alerted"))
         messages.write.mode("overwrite").option("ignoreNullFields", False).json(

@@ -1,30 +1,100 @@
-"""Requests to keyed stream messages."""
+"""Requests to keyed stream messages, and messages to the records of the store."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import logging
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import ArrayType
 
 from storelake.operators import ingest
-from storelake.schemas import TEXT, columns
+from storelake.operators.validation import MAX_REQUEST_SIZE, PAYMENT_METHODS
+from storelake.schemas import INT, LONG, TEXT, columns
 from storelake.sources.requests import decode_requests
 
-MESSAGE = columns(key=TEXT, value=TEXT)
+log = logging.getLogger(__name__)
+
+# Request ids are ascending numbers; with the place in the request they order the records of a key.
+MESSAGE = columns(request_id=LONG, index=INT, key=TEXT, value=TEXT)
+REJECTION = columns(
+    request_id=LONG, error=TEXT, errors=ArrayType(columns(index=INT, messages=ArrayType(TEXT))), batch_id=LONG
+)
 
 
-def messages(requests: DataFrame, now: Column) -> DataFrame:
+def messages(
+    requests: DataFrame,
+    now: Column,
+    methods: list[str] = PAYMENT_METHODS,
+    flag_threshold: float = ingest.FLAG_THRESHOLD,
+    hex_digits: int | None = None,
+) -> DataFrame:
     """Keyed messages of the requests that pass every rule. The same for a batch and a stream."""
-    checked = ingest.check(decode_requests(requests))
-    return ingest.to_keyed_json(ingest.build(ingest.accepted(checked), now))
+    checked = ingest.check(decode_requests(requests), methods)
+    return keyed_messages(checked, now, flag_threshold, hex_digits)
+
+
+def keyed_messages(
+    checked: DataFrame, now: Column, flag_threshold: float = ingest.FLAG_THRESHOLD, hex_digits: int | None = None
+) -> DataFrame:
+    built = ingest.build(ingest.accepted(checked), now, flag_threshold, hex_digits, keep=["request_id", "index"])
+    record = [c for c in built.columns if c not in ("request_id", "index")]
+    return ingest.to_keyed_json(built, record, keep=["request_id", "index"])
+
+
+def batch_writer(
+    path: str,
+    now: Column | None = None,
+    methods: list[str] = PAYMENT_METHODS,
+    flag_threshold: float = ingest.FLAG_THRESHOLD,
+    hex_digits: int | None = None,
+    on_counted: Callable[[int, dict[str, int]], None] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function with two outputs: messages, and rejected requests with their reasons.
+
+    Both overwrite the batch's own folder, so that a replayed batch changes nothing. Requests, rejected and sent are
+    counted by the tasks that write the messages; they are logged, and handed to ``on_counted``.
+    """
+
+    def write(requests: DataFrame, batch_id: int) -> None:
+        counter = Observation()
+        checked = ingest.check(decode_requests(requests), methods)
+        counted = checked.observe(counter, *[c.alias(n) for n, c in ingest.request_metrics(checked).items()])
+        today = F.current_timestamp() if now is None else now
+        sent = keyed_messages(counted, today, flag_threshold, hex_digits)
+        sent.write.mode("overwrite").json(f"{path}/messages/batch_id={batch_id}")
+        ingest.rejections(checked).write.mode("overwrite").json(f"{path}/rejections/batch_id={batch_id}")
+        log.info("batch %s: %s", batch_id, counter.get)
+        if on_counted:
+            on_counted(batch_id, counter.get)
+
+    return write
 
 
 def start_publish(
-    requests: DataFrame, path: str, checkpoint: str, now: Column | None = None, **trigger
+    requests: DataFrame, path: str, checkpoint: str, now: Column | None = None, trigger: dict | None = None, **options
 ) -> StreamingQuery:
-    """Publish a stream of requests as files of key and value. The file sink commits every batch once."""
-    keyed = messages(requests, F.current_timestamp() if now is None else now)
-    writer = keyed.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    """Publish a stream of requests as messages and rejections; ``options`` are those of ``batch_writer``."""
+    writer = requests.writeStream.foreachBatch(batch_writer(path, now, **options))
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MESSAGE).json(path)
+    return spark.read.schema(MESSAGE).json(f"{path}/messages").select(MESSAGE.names)
+
+
+def read_rejections(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REJECTION).json(f"{path}/rejections")
+
+
+def to_records(published: DataFrame) -> DataFrame:
+    """Records for the store: ``key``, ``seq`` and base64 ``data``. ``seq`` orders all records by request and place."""
+    seq = F.col("request_id") * MAX_REQUEST_SIZE + F.col("index")
+    return published.select("key", seq.alias("seq"), F.base64(F.col("value").cast("binary")).alias("data"))
+
+
+def from_kafka(frame: DataFrame) -> DataFrame:
+    """Records for the store from a Kafka frame: a key has one partition, so the offset orders its records."""
+    return frame.select(
+        F.col("key").cast("string").alias("key"), F.col("offset").alias("seq"), F.base64("value").alias("data")
+    )

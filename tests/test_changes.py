@@ -101,3 +101,10 @@ def test_landing_under_the_processing_hour(spark, tmp_path):
     row = changes.read_landed(spark, str(tmp_path / "out")).first()
     hours = {f"{t:%Y%m%d%H}" for t in (before, datetime.now(timezone.utc))}
     assert row.year + row.month + row.day + row.hour in hours
+
+
+def test_line_breaks_in_landed_text(spark, tmp_path, run_ts):
+    out = str(tmp_path / "out")
+    changes.land(feed(spark, tmp_path, change(device_type={"S": "we\nb"})), out, F.lit(run_ts))
+    (row,) = changes.read_landed(spark, out, multi_line=True).collect()
+    assert (row.device_type, row.shipping_delay_days, row.hour) == ("we\nb", 3, "12")

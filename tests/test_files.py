@@ -90,7 +90,7 @@ def test_scratch_folder_is_the_checkpoint_folder_or_below_the_warehouse():
 
 
 def test_jdbc_read_options():
-    whole = read_options(CONNECTION, table="shop.customers")
+    whole = read_options(CONNECTION, table="shop.customers", one_task=True)
     assert whole["dbtable"] == "shop.customers" and "numPartitions" not in whole
     ranges = Partitioning("id", "0", "1000000", 64)
     split = read_options(CONNECTION, query="select * from shop.customers", partitioning=ranges)
@@ -103,7 +103,14 @@ def test_jdbc_read_options():
 def test_jdbc_read_needs_a_table_or_a_query():
     for given in ({}, {"table": "t", "query": "q"}):
         with pytest.raises(ValueError):
-            read_options(CONNECTION, **given)
+            read_options(CONNECTION, one_task=True, **given)
+
+
+def test_jdbc_read_is_parallel_unless_one_task_is_asked_for():
+    with pytest.raises(ValueError, match="partitioning"):
+        read_options(CONNECTION, table="t")
+    with pytest.raises(ValueError, match="partitioning"):
+        read_options(CONNECTION, table="t", partitioning=Partitioning("id", "0", "9", 2), one_task=True)
 
 
 def test_jdbc_reload_options():

@@ -21,7 +21,7 @@ def test_text_order_puts_c9_above_c10(spark):
 
 def test_numeric_order_compares_the_digits(spark):
     existing = keys(spark, "C9", "C10")
-    assert found(newer_than(keys(spark, "C10", "C9", "C11", "C91", "none"), existing, "k", "numeric")) == [
+    assert found(newer_than(keys(spark, "C10", "C9", "C11", "C91"), existing, "k", "numeric")) == [
         "C11", "C91",
     ]
 
@@ -91,3 +91,12 @@ def test_hot_incoming_key_is_split(spark, conf):
     plan = fresh._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "SortMergeJoin(skew=true)" in plan
     assert fresh.count() == incoming.filter("k not in ('C1', 'C2')").count()
+
+
+def test_keys_without_digits_are_an_error(spark):
+    keys = lambda *names: spark.createDataFrame([(n,) for n in names], "key string")
+    with pytest.raises(ValueError, match="numeric"):
+        newer_than(keys("C1"), keys("x"), "key", "numeric")
+    with pytest.raises(Exception, match="without digits"):
+        newer_than(keys("x"), keys("C1"), "key", "numeric").collect()
+    assert newer_than(keys("x"), keys("x").limit(0), "key", "numeric").count() == 1

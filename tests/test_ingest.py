@@ -10,7 +10,9 @@ from storelake.operators import ingest
 from storelake.operators import validation as rules
 from storelake.operators.lateral import computed_once
 from storelake.sources.requests import decode_requests
-from storelake.streaming.publish import read_published, start_publish
+from storelake.plans import retail_views as views
+from storelake.streaming import publish
+from storelake.streaming.publish import batch_writer, from_kafka, read_published, read_rejections, start_publish
 
 GOOD = {"customer_id": "C1", "product_id": "P1", "order_value": 10, "payment_method": "UPI"}
 
@@ -136,7 +138,7 @@ def test_defaults_of_a_built_record(spark, run_ts):
     (row,) = built(spark, run_ts, {**GOOD, "transaction_id": "", "order_date": ""})
     assert row.order_date == "2024-07-01"
     assert (row.device_type, row.discount_applied, row.shipping_delay_days) == ("Unknown", 0.0, 0)
-    assert row.transaction_id.startswith("TXN") and len(row.transaction_id) == 9
+    assert row.transaction_id.startswith("TXN") and len(row.transaction_id) == 67
     assert row.transaction_id == row.transaction_id.upper()
 
 
@@ -150,12 +152,12 @@ def test_given_values_are_kept(spark, run_ts):
     assert (row.device_type, row.discount_applied, row.shipping_delay_days) == ("", 0.25, 3)
 
 
-def test_generated_ids_are_stable_and_widen(spark, run_ts):
+def test_generated_ids_are_stable_and_may_be_shortened(spark, run_ts):
     rows = [GOOD, {**GOOD, "customer_id": "C2"}]
     first, again = (sorted(r.transaction_id for r in built(spark, run_ts, *rows)) for _ in range(2))
     assert first == again and len(set(first)) == 2
-    wide = built(spark, run_ts, *rows, hex_digits=32)
-    assert {len(r.transaction_id) for r in wide} == {35}
+    short = built(spark, run_ts, *rows, hex_digits=32)
+    assert {len(r.transaction_id) for r in short} == {35}
 
 
 @pytest.mark.parametrize(
@@ -216,10 +218,36 @@ def test_a_stream_publishes_what_a_batch_does(spark, run_ts, tmp_path):
     out = str(tmp_path / "out")
     for _ in range(2):  # the second start publishes nothing
         start_publish(stream, out, str(tmp_path / "ck"), F.lit(run_ts)).awaitTermination()
-    batch = ingest.to_keyed_json(ingest.build(ingest.accepted(ingest.check(decode_requests(frame))), F.lit(run_ts)))
-    wanted = sorted(map(tuple, batch.collect()))
+    wanted = sorted(map(tuple, publish.messages(frame, F.lit(run_ts)).collect()))
     assert len(wanted) == 2 * 29
     assert sorted(map(tuple, read_published(spark, out).collect())) == wanted
+    rejected = read_rejections(spark, out).collect()
+    assert len(rejected) == 4 and {r.error for r in rejected} == {"Validation failed", "Invalid JSON in request body"}
+
+
+def test_a_replayed_batch_is_counted_and_changes_nothing(spark, run_ts, tmp_path):
+    frame = requests(spark, {"transactions": [GOOD, GOOD]}, {"transactions": [{**GOOD, "order_value": -1}]}, "{")
+    counted = {}
+    write = batch_writer(str(tmp_path), F.lit(run_ts), on_counted=counted.__setitem__)
+    for _ in range(2):
+        write(frame, 7)
+    assert counted == {7: {"requests": 3, "rejected": 2, "sent": 2}}
+    assert read_published(spark, str(tmp_path)).count() == 2
+    errors = {r.error: r.errors for r in read_rejections(spark, str(tmp_path)).collect()}
+    assert errors["Invalid JSON in request body"] is None
+    assert [tuple(e) for e in errors["Validation failed"]] == [(0, ["order_value must be greater than 0"])]
+
+
+def test_generated_ids_are_distinct(spark, run_ts):
+    frame = views.requests(spark, "/root/testdata/sf0.1")
+    built = ingest.build(ingest.accepted(ingest.check(decode_requests(frame))), F.lit(run_ts))
+    made = built.filter("transaction_id like 'TXN%'").select("transaction_id")
+    assert made.count() == made.distinct().count() > 10_000
+
+
+def test_kafka_frames_keep_the_order_of_a_key(spark):
+    frame = spark.createDataFrame([(b"C1", b"{}", 0, 5)], "key binary, value binary, partition int, offset long")
+    assert from_kafka(frame).collect() == [("C1", 5, "e30=")]
 
 
 def test_orders_without_a_date_take_the_day_of_the_stream(spark, tmp_path):

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from storelake.functions.keys import hour_parts, iso_timestamp
 from storelake.schemas import KEYED_RECORD, STORE_ITEM
 from storelake.streaming import items
 
@@ -133,8 +134,8 @@ def test_last_batch_wins_and_replay_changes_nothing(spark, run_ts, tmp_path):
 
 
 def test_empty_batch_writes_nothing(spark, run_ts, tmp_path):
-    write_batch(spark, run_ts, tmp_path, 0)
-    assert list(tmp_path.iterdir()) == []
+    log, alerts = write_batch(spark, run_ts, tmp_path, 0)
+    assert items.read_log(spark, log).isEmpty() and not (tmp_path / "alerts").exists()
 
 
 def test_compacted_log_takes_later_batches(spark, run_ts, tmp_path):
@@ -190,3 +191,12 @@ def test_ingestion_time_of_a_running_stream(spark, tmp_path):
     (row,) = items.current_items(spark, log).collect()
     after = datetime.now(timezone.utc).replace(tzinfo=None)
     assert before <= datetime.fromisoformat(row.ingested_at) <= after
+
+
+@pytest.mark.parametrize("instant", ["2024-03-10T02:30:00.000001", "2024-11-03T06:30:00.000000", "1969-12-31T23:59:59.999999"])
+def test_utc_text_where_the_session_zone_switches(spark, conf, instant):
+    conf(spark__sql__session__timeZone="America/New_York")
+    at = spark.range(1).select(F.lit(instant + "Z").cast("timestamp").alias("at"))
+    row = at.select(iso_timestamp(F.col("at")).alias("text"), *[c.alias(n) for n, c in hour_parts(F.col("at")).items()]).first()
+    assert row.text == instant
+    assert f"{row.year}-{row.month}-{row.day}T{row.hour}" == instant[:13]

@@ -4,6 +4,7 @@ import pytest
 
 from storelake.plans import loads
 from storelake.schemas import BATCH_TABLES, GOLD_COLUMNS, GOLD_TABLES
+from storelake.sinks.files import stored
 
 CUSTOMERS = [("C1", 30, "F", "FR", "2024-01-05", 1.5, 2.5, 0), ("C2", 40, "M", "DE", "2024-01-06", 1.5, 2.5, 1)]
 PRODUCTS = [("P1", "toys", 9.5, 0.5, 1.0)]
@@ -138,3 +139,14 @@ def test_watermark_order_of_an_increment(spark, tmp_path, run_ts):
         loads.run(spark, "initial", lake, sources(spark, customers=[("C9", *one)]), run_ts)
         incoming = sources(spark, customers=[("C9", *one), ("C10", *ten)])
         assert loads.incremental_load(spark, lake, incoming, run_ts, key_order=order)["customers"] == wanted
+
+
+def test_rows_cut_by_line_breaks_are_an_error(spark, tmp_path, run_ts):
+    lake = loads.Lake(str(tmp_path / "cut"))
+    tables = {name: stored(spark.createDataFrame([], schema)) for name, schema in BATCH_TABLES.items()}
+    tables["customers"] = spark.createDataFrame(
+        [("C1", 30, "F", "x\ny", "2020-01-01", 1.0, 2.0, 0)], BATCH_TABLES["customers"]
+    )
+    with pytest.raises(ValueError, match="customers were extracted"):
+        loads.run(spark, "initial", lake, tables, run_ts)
+    assert loads.run(spark, "initial", lake, tables, run_ts, multi_line=["customers"])["customers"] == 1

@@ -141,25 +141,25 @@ def test_hot_keys_are_split(skewed, run_ts, conf):
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10MB"])
-def test_large_dimensions_give_the_same_fact(skewed, run_ts, conf, monkeypatch, threshold):
+def test_the_join_strategy_does_not_change_the_fact(skewed, run_ts, conf, threshold):
     conf(spark__sql__autoBroadcastJoinThreshold=threshold)
     txn, keyed = skewed
     nulls = txn.limit(5).withColumns({"customer_id": F.lit(None).cast("string"), "product_id": F.lit("gone")})
-    txn = stored(txn.union(nulls))
-    joined = facts.fact_transactions(txn, *keyed, "INITIAL", run_ts)
-    monkeypatch.setattr(facts, "SMALL_DIMENSION", 0)
-    derived = facts.fact_transactions(txn, *keyed, "INITIAL", run_ts)
-    assert derived.columns == joined.columns
-    assert derived.count() == joined.count() == 60005
-    assert derived.exceptAll(joined).isEmpty() and joined.exceptAll(derived).isEmpty()
-    assert joined.filter("customer_key is null").count() > 5
-
-
-def test_large_dimensions_do_not_shuffle_the_fact(skewed, run_ts, monkeypatch):
-    txn, keyed = skewed
-    monkeypatch.setattr(facts, "SMALL_DIMENSION", 0)
-    plan = final_plan(facts.fact_transactions(txn, *keyed, "INITIAL", run_ts))
-    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
+    fact = stored(facts.fact_transactions(stored(txn.union(nulls)), *keyed, "INITIAL", run_ts))
+    assert fact.count() == 60005
+    for name, key in (("customer_id", "customer_key"), ("product_id", "product_key")):
+        assert fact.filter(f"{key} is null").count() > 5
+        assert fact.filter(f"{key} <> sha2({name}, 256)").isEmpty()
+
+
+@pytest.mark.parametrize("rows", [50_000, 50_001])
+def test_the_size_of_a_dimension_does_not_change_the_join(spark, rows):
+    ids = F.concat(F.lit("C"), F.col("id"))
+    dim = stored(spark.range(rows - 1).select(ids.alias("customer_id"), F.lit("k").alias("customer_key")))
+    twice = stored(dim.union(spark.createDataFrame([("C1", "k2")], dim.schema)))
+    fact = spark.createDataFrame([("C1",), ("gone",), (None,)], "customer_id string")
+    found = facts.add_key(fact, twice, "customer_id", "customer_key").collect()
+    assert sorted((r.customer_id or "", r.customer_key or "") for r in found) == [("", ""), ("C1", "k"), ("C1", "k2"), ("gone", "")]
 
 
 def test_small_dimensions_are_broadcast_by_size(spark, run_ts):
