@@ -21,7 +21,7 @@ MAX_BITS = 3
 BLOCKS = (13, 13, 13, 13, 12)  # bits; two of five blocks agree wherever at most three bits differ
 PAIRS = list(combinations(range(len(BLOCKS)), len(BLOCKS) - MAX_BITS))
 TILE = 2048  # lines of one bucket compared with each other at once
-SLICE = 256
+SLICE = 1024  # documents cut into lines at a time
 
 _SHIFTS = [sum(BLOCKS[:k]) for k in range(len(BLOCKS))]
 # For each set of blocks that agree (as bits), the first pair of them: only its bucket owns the two lines.
@@ -44,7 +44,7 @@ def line_hashes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 row = np.repeat(np.arange(len(split)), [len(x) for x in split])
                 number = np.concatenate([np.arange(len(x)) for x in split]) if split else np.empty(0)
                 forms = normal_forms(pa.array([line for x in split for line in x], type=pa.large_string()))
-                index, distinct, starts = words_of(forms)
+                index, distinct, starts = words_of(forms, single_spaced=True)
                 sizes = np.diff(starts)
                 hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
                 codes = majority_bits(bit_counts(hashes[index], starts), sizes)
@@ -150,35 +150,66 @@ def _members(number_of_pair, tile: int):
     return run
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance; columns of the table are bits of whole numbers (Myers' method)."""
-    while a and b and a[0] == b[0]:
-        same = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-        a, b = a[same:], b[same:]
-    while a and b and a[-1] == b[-1]:
-        same = next((k for k, (x, y) in enumerate(zip(reversed(a), reversed(b))) if x != y), min(len(a), len(b)))
-        a, b = a[: len(a) - same], b[: len(b) - same]
+def _same_start(a: str, b: str) -> int:
+    """Length of the longest common start, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _unlike_middles(a: str, b: str) -> tuple[str, str]:
+    """Two texts without their common start and end, which no edit has to touch."""
+    start = _same_start(a, b)
+    a, b = a[start:], b[start:]
+    end = _same_start(a[::-1], b[::-1])
+    return a[: len(a) - end], b[: len(b) - end]
+
+
+def edit_distance(a: str, b: str, most: int | None = None) -> int:
+    """Levenshtein distance; columns of the table are bits of whole numbers (Myers' method).
+
+    Where it exceeds ``most``, any number beyond ``most`` may be given.
+    """
+    a, b = _unlike_middles(a, b)
     if not a or not b:
         return len(a) + len(b)
     where: dict[str, int] = {}
     for k, letter in enumerate(a):
         where[letter] = where.get(letter, 0) | 1 << k
     mask, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    up, down, distance = mask, 0, len(a)
+    up, down, distance, left = mask, 0, len(a), len(b)
     for letter in b:
         match = where.get(letter, 0)
         diagonal = (((match & up) + up) ^ up) | match | down
         gain, loss = down | (mask & ~(diagonal | up)), up & diagonal
         distance += bool(gain & top) - bool(loss & top)
+        left -= 1
+        if most is not None and distance - left > most:  # each letter left can take back one at best
+            return distance - left
         gain, loss = gain << 1 | 1, loss << 1
         up, down = (loss | ~(diagonal | gain)) & mask, gain & diagonal & mask
     return distance
 
 
 def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
-    """Whether one less the edit distance over the longer length is at least ``least``."""
-    longer, shorter = max(len(a), len(b)), min(len(a), len(b))
-    return longer == 0 or (shorter >= least * longer and longer - edit_distance(a, b) >= least * longer)
+    """Whether one less the edit distance over the longer length is at least ``least``.
+
+    Two upper bounds settle most pairs that are: exchanging the words that differ, and replacing all that lies between the
+    common start and end.
+    """
+    longer = max(len(a), len(b))
+    most = int(longer - least * longer + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return False
+    words = a.split(" "), b.split(" ")
+    if len(words[0]) == len(words[1]) and sum(max(len(x), len(y)) for x, y in zip(*words) if x != y) <= most:
+        return True
+    return max(map(len, _unlike_middles(a, b))) <= most or edit_distance(a, b, most) <= most
 
 
 def _verified(batches: Batches) -> Batches:
@@ -238,7 +269,7 @@ def _near_links(docs: DataFrame, distinct: DataFrame, tile: int) -> DataFrame:
     wanted = stored(members.select("line_id").distinct())
     places = distinct.join(wanted, "line_id").select("line_id", "first.id", "first.h", "first.line_no")
     per_doc = stored(places.groupBy("id", "h").agg(F.collect_list(F.struct("line_no", "line_id")).alias("chosen")))
-    once = docs.join(per_doc, ["id", "h"]).select("text", "chosen")
+    once = docs.join(per_doc.hint("merge"), ["id", "h"]).select("text", "chosen")
     forms = _forms(once).dropDuplicates(["line_id"])  # a row listed twice gives its lines twice
     texts = members.join(forms, "line_id").repartition("bucket").sortWithinPartitions("bucket", "line_id")
     return map_batches(texts.select("bucket", "pair", "line_id", "code", "form"), _verified, "a long, b long")
@@ -283,7 +314,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, tile: int = TILE) -
         lambda x: F.array_join(F.transform(x["at"], lambda i: F.get(x["lines"], i)), "\n"),
     )[0]
     repeats = Window.partitionBy("__id", "__h").orderBy(F.lit(0))
-    once = rows.join(per_doc, ["__id", "__h"], "left").withColumn("__n", F.row_number().over(repeats)).filter("__n = 1")
+    once = rows.join(per_doc.hint("merge"), ["__id", "__h"], "left").withColumn("__n", F.row_number().over(repeats)).filter("__n = 1")
     text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(left).alias("text")
     return once.select(
         *[text if c == "text" else F.col(c) for c in kept],
