@@ -2,6 +2,7 @@
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -10,56 +11,89 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks
 # Unicode white space, as the tokenizers' patterns understand it.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
-# Where a text can be cut without changing its ids, by the kind of pre-tokenizer.
+_LETTERS = "A-Za-zß-öø-ÿ"  # Latin letters that no normalisation but that of A-Z changes
+
+# Where a text can be cut without changing its ids, by the kind of pre-tokenizer. A run of letters ends before a
+# comma or full stop, so such a run is cut off, which leaves fewer distinct chunks.
 CHUNKS = {
     # White space is dropped and always ends a word.
-    "word": re.compile(r"[^\t-\r ]+"),
+    "word": re.compile(rf"[{_LETTERS}]+(?=[.,](?:[\t-\r ]|\Z))|[^\t-\r ]+"),
     # A word takes one space before it along; of a longer run of white space the last one stays with the word.
-    "byte": re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"),
+    "byte": re.compile(
+        rf" ?[{_LETTERS}]+(?=[.,](?:[\t-\r ]|\Z))| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+    ),
 }
-MAX_CHUNKS = 400_000  # distinct chunks remembered by a worker before it starts anew
+_PLAIN = re.compile(rf" ?[{_LETTERS}]+")
+
+# Byte-level vocabularies write a byte as a printable character: itself, or else the next one from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_AS_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+MAX_CHUNKS = 1_000_000  # distinct chunks remembered by a worker before it starts anew
+
+
+class _Known(dict):
+    """Chunks by number; a new one is encoded when it is first asked for."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.learn(chunk)
+        return number
 
 
 class Encoder:
-    """Ids of texts, the same as those of the tokenizer itself.
+    """Ids of texts, the same as those of the tokenizer itself, which encodes each distinct chunk once.
 
-    Texts that may hold a special token are encoded whole, since such a token also cuts white space.
+    A chunk of plain letters is one word to every pre-tokenizer, and goes to the tokenizer's model straight away. Texts
+    that may hold a special token are encoded whole, since such a token also cuts white space.
     """
 
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks = CHUNKS[kind]
+        self.model = self.tokenizer.model
+        self.chunks, self.lower = CHUNKS[kind], kind == "word"
         tokens = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = sorted({token[:2] for token in tokens})
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.empty(0, dtype=np.int32)
-        self.ends = np.zeros(1, dtype=np.int64)
-
-    def _learn(self, chunks: set[str]) -> None:
-        new = list(chunks)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        ids = np.fromiter((i for own in found for i in own), dtype=np.int32, count=int(sizes.sum()))
-        self.flat = np.concatenate([self.flat, ids])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.known = _Known(self._learn)
+        self.new_ids: list[int] = []
+        self.new_ends: list[int] = []
+        self.flat, self.ends = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+
+    def _learn(self, chunk: str) -> None:
+        if _PLAIN.fullmatch(chunk):
+            word = chunk.encode().decode("latin-1").translate(_AS_LETTERS)
+            self.new_ids += [token.id for token in self.model.tokenize(word)]
+        else:
+            self.new_ids += self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        self.new_ends.append(len(self.new_ids))
+
+    def _keep_new(self) -> None:
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.array(self.new_ends, dtype=np.int64)])
+        self.flat = np.concatenate([self.flat, np.array(self.new_ids, dtype=np.int32)])
+        self.new_ids, self.new_ends = [], []
 
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids (int32) of the texts in order, each text closed by ``end_id``, and where each text begins."""
         plain = ["" if t is None or any(s in t for s in self.special) else t for t in texts]
-        split = [self.chunks.findall(t) for t in plain]
+        if self.lower:  # only A-Z: what else the tokenizer lower-cases it does itself
+            split = [self.chunks.findall(t.encode().lower().decode()) for t in plain]
+        else:
+            split = [self.chunks.findall(t) for t in plain]
         if len(self.known) > MAX_CHUNKS:
             self._forget()
-        if missing := set().union(*split).difference(self.known):
-            self._learn(missing)
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-        get = self.known.__getitem__
-        index = np.fromiter((get(c) for own in split for c in own), dtype=np.int64, count=int(counts.sum()))
+        index = np.fromiter(
+            map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum())
+        )
+        self._keep_new()
         sizes = self.ends[index + 1] - self.ends[index]
         after = np.cumsum(sizes)
         flat = self.flat[np.arange(after[-1] if len(after) else 0) + np.repeat(self.ends[index] - (after - sizes), sizes)]
