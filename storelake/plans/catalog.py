@@ -6,7 +6,7 @@ Queries that write do so under the scratch folder and return what a reader finds
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelake.functions.keys import iso_timestamp, lineage
@@ -406,12 +406,10 @@ def ingest_publish(spark, folder):
 
 @query
 def run_metrics(spark, folder):
-    counters = Observation("requests")
-    checked = checked_requests(spark, folder)
-    counted = checked.observe(counters, *[c.alias(n) for n, c in ingest.request_metrics(checked).items()])
-    path = scratch_path(spark, "published")
-    ingest.to_keyed_json(ingest.build(ingest.accepted(counted), F.lit(RUN_TS))).write.json(path)
-    return spark.createDataFrame([counters.get], "requests bigint, rejected bigint, sent bigint")
+    counted = {}
+    write = publish.batch_writer(scratch_path(spark, "published"), F.lit(RUN_TS), on_counted=counted.__setitem__)
+    write(views.requests(spark, folder), 0)
+    return spark.createDataFrame([counted[0]], "requests bigint, rejected bigint, sent bigint")
 
 
 # Streams
