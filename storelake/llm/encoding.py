@@ -29,7 +29,7 @@ _PLAIN = re.compile(rf" ?[{_LETTERS}]+")
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _AS_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
-MAX_CHUNKS = 1_000_000  # distinct chunks remembered by a worker before it starts anew
+MAX_CHUNKS = 690_000  # distinct chunks remembered by a worker before it starts anew; with more, its table doubles
 
 
 class _Known(dict):
