@@ -200,7 +200,7 @@ def test_licenses(spark):
     mit, apache = license_texts.TEMPLATES["MIT"], license_texts.TEMPLATES["Apache-2.0"]
     rows = awkward() + [
         (30, prose(5, 400) + "\nReleased under the MIT License.\n" + prose(6, 400), "a"),
-        (31, prose(5, 300) + mit.replace("obtaining", "getting", 1) + "\n" + prose(6, 20) + " " + apache, "a"),
+        (31, prose(5, 300) + " " + mit.replace("obtaining", "getting", 1) + "\n" + prose(6, 20) + " " + apache, "a"),
         (32, "Licensed under CC BY-NC 4.0. Licensed under CC BY-NC 4.0.", "a"),
         (33, "the license of the work is under discussion", "a"),
     ]
