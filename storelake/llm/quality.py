@@ -5,6 +5,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelake.operators.lateral import computed_once
+
 WHITE = " \t\n\u000b\f\r"
 WHITE_RUN = "[\\x20\\x09-\\x0D]+"
 
@@ -80,7 +82,8 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """The frame with one struct column ``measures`` of counts (all long) for each whole text.
 
     A null text counts as an empty one. Words are runs of anything but ASCII white space. A line is a
-    duplicate if it holds a word and equals an earlier line of the same text.
+    duplicate if it holds a word and equals an earlier line of the same text. The counts are fixed once for each row: a
+    filter on them would otherwise move below and take copies of all these expressions along.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     stops = sorted({word for words in STOP_WORDS.values() for word in words.split()})
@@ -103,7 +106,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     bound = F.transform(
         F.array(F.struct(words.alias("words"), lines.alias("lines"))), lambda x: counted(x["words"], x["lines"])
     )
-    return docs.withColumn("measures", bound[0])
+    return computed_once(docs.drop("measures"), measures=bound[0])
 
 
 def failed_rules(measured: Column, rules: tuple[Rule, ...] = RULES) -> Column:
