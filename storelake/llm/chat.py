@@ -23,10 +23,12 @@ def maximal_conversations(turns: DataFrame) -> DataFrame:
     of its prefixes. The hash of a whole conversation is then sought among those of the proper prefixes of all others.
     Both sides are first reduced to distinct hashes, so that turns that open very many conversations count once.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text_hash", "role_hash")
-    placed = turns.select(
-        "conv_id", "turn", _role().alias("role"), F.xxhash64(_text()).alias("text_hash"), F.xxhash64(_text(), _role()).alias("role_hash")
-    ).withColumn("place", F.row_number().over(order))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")  # as rendered: equal turns go by their texts
+    whole_rows = turns.select("conv_id", "turn", _role().alias("role"), _text().alias("text"))
+    placed = whole_rows.withColumn("place", F.row_number().over(order)).select(
+        "conv_id", "place", F.xxhash64("text").alias("text_hash"), F.xxhash64("text", "role").alias("role_hash")
+    )
+    order = Window.partitionBy("conv_id").orderBy("place")
     ahead = order.rowsBetween(Window.unboundedPreceding, 0)
     each = [F.xxhash64("place", "role_hash", "text_hash"), F.xxhash64("text_hash", "place", "role_hash")]
     prefixes = stored(

@@ -236,6 +236,19 @@ def test_snapshots_collapse(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_equal_turns_go_by_their_texts(spark):
+    draw, rows = random.Random(6), []
+    for k in range(0, 40, 2):
+        texts = sorted("".join(draw.choice("abcdef") for _ in range(4)) for _ in range(3))
+        turn = None if k % 4 else 1
+        rows += [(k, turn, "user", texts[0]), *[(k + 1, turn, "user", t) for t in reversed(texts)]]  # a true prefix
+        rows += [(100 + k, turn, "user", texts[2]), (100 + k, turn, "user", texts[2] + "z")]  # opens no other conversation
+        rows += [(101 + k, turn, "user", texts[2] + "z")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = [r.conv_id for r in chat.render(table).collect()]
+    assert sorted(found) == [*range(1, 40, 2), *range(100, 140)]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
