@@ -1,4 +1,4 @@
-"""Fuzzy line deduplication: SimHash of normal forms, pigeonhole blocks, verified edit similarity, one line per group."""
+"""Fuzzy line deduplication: sketches of normal forms, buckets, verified edit similarity, one line per group."""
 
 from collections.abc import Iterator
 from itertools import combinations
@@ -20,6 +20,9 @@ SIMILARITY = 0.8
 MAX_BITS = 3
 BLOCKS = (13, 13, 13, 13, 12)  # bits; two of five blocks agree wherever at most three bits differ
 PAIRS = list(combinations(range(len(BLOCKS)), len(BLOCKS) - MAX_BITS))
+GRAM = 5  # letters
+BANDS, ROWS = 12, 4  # in letters: lines meet where all minima of a band agree
+RADIUS = 24  # bits, of SimHashes over letters; unlike lines are about 31 bits apart
 TILE = 2048  # lines of one bucket compared with each other at once
 SLICE = 1024  # documents cut into lines at a time
 
@@ -27,14 +30,56 @@ _SHIFTS = [sum(BLOCKS[:k]) for k in range(len(BLOCKS))]
 # For each set of blocks that agree (as bits), the first pair of them: only its bucket owns the two lines.
 _OWNER = np.array([next((n for n, p in enumerate(PAIRS) if all(s >> b & 1 for b in p)), -1) for s in range(1 << len(BLOCKS))])
 
+_FACTORS = np.random.default_rng(1).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_MASKS = np.random.default_rng(2).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+KEYS = [f"k{n}" for n in range(BANDS // 2)]  # two keys of 32 bits each
+
 
 def normal_forms(lines: pa.Array) -> pa.Array:
     """Lower case, with every run of anything but letters, marks and digits as one space, none at the ends."""
     return pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(lines), r"[^\pL\pM\pN]+", " "), characters=" ")
 
 
-def line_hashes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each line of at least ``min_words`` words: id, h, line_no, 128-bit hash (h1, h2) and SimHash."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def letter_sketches(forms: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """SimHash, packed MinHash band keys and number of letters of each form, over its runs of ``GRAM`` letters.
+
+    Every letter begins a run; behind the last letter a run is filled up.
+    """
+    sizes = np.array([len(f) for f in forms], dtype=np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    letters = np.frombuffer("".join(forms).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    place = np.repeat(starts[1:], sizes) - np.arange(len(letters))  # letters left in the form
+    grams = np.zeros(len(letters), dtype=np.uint64)
+    for k in range(GRAM):
+        grams = grams * np.uint64(0x9E3779B97F4A7C15)
+        grams[: len(letters) - k] += np.where(place[: len(letters) - k] > k, letters[k:] + np.uint64(1), np.uint64(0))
+    hashes = _mixed(grams)
+    codes = majority_bits(bit_counts(hashes, starts), sizes)
+    small = (hashes >> np.uint64(32)).astype(np.uint32)
+    full = sizes > 0
+    keys = []
+    for band in range(BANDS):
+        key = np.full(len(forms), band, dtype=np.uint64)
+        for n in range(band * ROWS, (band + 1) * ROWS):
+            if full.any():
+                least = np.minimum.reduceat((small ^ _MASKS[n]) * _FACTORS[n], starts[:-1][full])
+                key[full] = _mixed(key[full] * np.uint64(0x9E3779B97F4A7C15) + least)
+        keys.append(key >> np.uint64(32))
+    packed = [(keys[n] << np.uint64(32) | keys[n + 1]).view(np.int64) for n in range(0, BANDS, 2)]
+    return codes, packed, sizes
+
+
+def line_hashes(docs: DataFrame, min_words: int = MIN_WORDS, letters: bool = False) -> DataFrame:
+    """A row for each line of at least ``min_words`` words: id, h, line_no, 128-bit hash (h1, h2), SimHash and letters.
+
+    With ``letters`` the SimHash is over letters, and band keys follow.
+    """
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
@@ -46,10 +91,15 @@ def line_hashes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 forms = normal_forms(pa.array([line for x in split for line in x], type=pa.large_string()))
                 index, distinct, starts = words_of(forms, single_spaced=True)
                 sizes = np.diff(starts)
-                hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
-                codes = majority_bits(bit_counts(hashes[index], starts), sizes)
                 keep = np.flatnonzero(sizes >= min_words)
-                digests = [xxhash.xxh3_128_digest(form) for form in forms.take(pa.array(keep)).to_pylist()]
+                chosen = forms.take(pa.array(keep)).to_pylist()
+                if letters:
+                    codes, keys, n_letters = letter_sketches(chosen)
+                else:
+                    hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
+                    codes = majority_bits(bit_counts(hashes[index], starts), sizes)[keep]
+                    keys, n_letters = [], np.array([len(form) for form in chosen], dtype=np.int64)
+                digests = [xxhash.xxh3_128_digest(form) for form in chosen]
                 halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
                 of = pa.array(row[keep])
                 yield pa.RecordBatch.from_arrays(
@@ -59,12 +109,15 @@ def line_hashes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                         pa.array(number[keep].astype(np.int32)),
                         pa.array(halves[:, 0]),
                         pa.array(halves[:, 1]),
-                        pa.array(codes[keep].view(np.int64)),
+                        pa.array(codes.view(np.int64)),
+                        pa.array(n_letters.astype(np.int32)),
+                        *[pa.array(key) for key in keys],
                     ],
-                    names=["id", "h", "line_no", "h1", "h2", "code"],
+                    names=["id", "h", "line_no", "h1", "h2", "code", "size", *(KEYS if letters else [])],
                 )
 
-    return map_batches(docs, run, "id long, h long, line_no int, h1 long, h2 long, code long")
+    more = "".join(f", {k} long" for k in KEYS) if letters else ""
+    return map_batches(docs, run, f"id long, h long, line_no int, h1 long, h2 long, code long, size int{more}")
 
 
 def _block_keys(code: Column) -> Column:
@@ -77,6 +130,11 @@ def _block_keys(code: Column) -> Column:
     return F.array(*keys)
 
 
+def _band_keys() -> Column:
+    halves = [half for k in KEYS for half in (F.shiftrightunsigned(F.col(k), 32), F.col(k).bitwiseAND(F.lit(0xFFFFFFFF)))]
+    return F.array(*[F.lit(band << 32) + half for band, half in enumerate(halves)])
+
+
 def _grouped(batches: Batches, key: str, most: int | None = None) -> Iterator[pa.RecordBatch]:
     """Batches of rows sorted by a key, cut so that no bucket is divided unless it alone has more than ``most`` rows."""
     rest: list[pa.RecordBatch] = []
@@ -109,24 +167,39 @@ def _close(left: np.ndarray, right: np.ndarray, pair: np.ndarray) -> np.ndarray:
     return (np.bitwise_count(differ) <= MAX_BITS) & (_OWNER[agree] == pair)
 
 
-def _linked(codes: np.ndarray, pair: int) -> np.ndarray:
-    """Which codes of one bucket have another one close to them."""
-    found = np.zeros(len(codes), dtype=bool)
-    for at in range(0, len(codes), 512):
-        close = _close(codes[at : at + 512, None], codes[None, :], np.int64(pair))
-        close[np.arange(close.shape[0]), np.arange(close.shape[0]) + at] = False
-        found[at : at + 512] = close.any(axis=1)
+def _closeness(batch: pa.RecordBatch, pairs: np.ndarray, letters: bool):
+    """Which rows of a batch (as places, broadcast against each other) are worth a verification."""
+    codes, sizes = batch.column("code").to_numpy().view(np.uint64), batch.column("size").to_numpy().astype(np.int64)
+
+    def close(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not letters:
+            return _close(codes[left], codes[right], pairs[left])
+        one, two = sizes[left], sizes[right]
+        alike = np.abs(one - two) <= (1 - SIMILARITY) * np.maximum(one, two) + 1e-9  # the edit similarity implies it
+        return alike & (np.bitwise_count(codes[left] ^ codes[right]) <= RADIUS)
+
+    return close
+
+
+def _linked(close, first: int, last: int) -> np.ndarray:
+    """Which rows of one bucket have another one close to them."""
+    found = np.zeros(last - first, dtype=bool)
+    for at in range(first, last, 512):
+        own = np.arange(at, min(at + 512, last))
+        near = close(own[:, None], np.arange(first, last)[None, :])
+        near[np.arange(len(own)), own - first] = False
+        found[own - first] = near.any(axis=1)
     return found
 
 
-def _members(number_of_pair, tile: int):
+def _members(number_of_pair, tile: int, letters: bool):
     """Rows of buckets with a close neighbour; buckets beyond two tiles are passed on whole, marked as large."""
 
     def run(batches: Batches) -> Batches:
         last_large = None
         for batch in _grouped(batches, "bucket", 2 * tile):
-            keys, codes = batch.column("bucket").to_numpy(), batch.column("code").to_numpy().view(np.uint64)
-            pairs = number_of_pair(batch)
+            keys, pairs = batch.column("bucket").to_numpy(), number_of_pair(batch)
+            close = _closeness(batch, pairs, letters)
             edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
             sizes = np.diff(edges)
             keep = np.zeros(len(keys), dtype=bool)
@@ -134,15 +207,14 @@ def _members(number_of_pair, tile: int):
             large = np.repeat(beyond, sizes)
             last_large = keys[edges[:-1][beyond][-1]] if beyond.any() else last_large
             two = edges[:-1][sizes == 2]  # most buckets with more than one row have two
-            both = _close(codes[two], codes[two + 1], pairs[two])
-            keep[two] = keep[two + 1] = both
+            keep[two] = keep[two + 1] = close(two, two + 1)
             for k in np.flatnonzero((sizes > 2) & ~beyond):
-                keep[edges[k] : edges[k + 1]] = _linked(codes[edges[k] : edges[k + 1]], int(pairs[edges[k]]))
+                keep[edges[k] : edges[k + 1]] = _linked(close, int(edges[k]), int(edges[k + 1]))
             found = np.flatnonzero(keep | large)
             if len(found):
                 at = pa.array(found)
-                names = ["bucket", "pair", "line_id", "code"]
-                columns = [batch.column("bucket"), pa.array(pairs), batch.column("line_id"), batch.column("code")]
+                names = ["bucket", "pair", "line_id", "code", "size"]
+                columns = [batch.column("bucket"), pa.array(pairs), *[batch.column(c) for c in names[2:]]]
                 yield pa.RecordBatch.from_arrays(
                     [*[c.take(at) for c in columns], pa.array(large[found])], names=[*names, "large"]
                 )
@@ -212,24 +284,27 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return max(map(len, _unlike_middles(a, b))) <= most or edit_distance(a, b, most) <= most
 
 
-def _verified(batches: Batches) -> Batches:
-    """Links of similar lines, as few as join the lines of each bucket that such links join."""
-    for batch in _grouped(batches, "bucket"):
-        keys, codes = batch.column("bucket").to_numpy(), batch.column("code").to_numpy().view(np.uint64)
-        pairs, lines = batch.column("pair").to_numpy(), batch.column("line_id").to_numpy()
-        forms = batch.column("form").to_pylist()
-        edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
-        links = []
-        for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            label = np.arange(first, last)
-            for i in range(first, last - 1):
-                close = _close(codes[i], codes[i + 1 : last], np.int64(pairs[first]))
-                for j in (np.flatnonzero(close & (label[i + 1 - first :] != label[i - first])) + i + 1).tolist():
-                    if label[j - first] != label[i - first] and similar(forms[i], forms[j]):
-                        label[label == label[j - first]] = label[i - first]
-                        links.append((lines[i], lines[j]))
-        if links:
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links]) for k in (0, 1)], names=["a", "b"])
+def _verified(letters: bool):
+    def run(batches: Batches) -> Batches:
+        """Links of similar lines, as few as join the lines of each bucket that such links join."""
+        for batch in _grouped(batches, "bucket"):
+            keys, pairs, lines = (batch.column(c).to_numpy() for c in ("bucket", "pair", "line_id"))
+            forms = batch.column("form").to_pylist()
+            close = _closeness(batch, pairs, letters)
+            edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
+            links = []
+            for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                label = np.arange(first, last)
+                for i in range(first, last - 1):
+                    near = close(np.array([i]), np.arange(i + 1, last))
+                    for j in (np.flatnonzero(near & (label[i + 1 - first :] != label[i - first])) + i + 1).tolist():
+                        if label[j - first] != label[i - first] and similar(forms[i], forms[j]):
+                            label[label == label[j - first]] = label[i - first]
+                            links.append((lines[i], lines[j]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links]) for k in (0, 1)], names=["a", "b"])
+
+    return run
 
 
 def _forms(docs: DataFrame) -> DataFrame:
@@ -250,21 +325,23 @@ def _forms(docs: DataFrame) -> DataFrame:
     return map_batches(docs, run, "line_id long, form string")
 
 
-def _near_links(docs: DataFrame, distinct: DataFrame, tile: int) -> DataFrame:
-    keyed = distinct.select("line_id", "code", F.explode(_block_keys(F.col("code"))).alias("bucket"))
+def _near_links(docs: DataFrame, distinct: DataFrame, tile: int, letters: bool) -> DataFrame:
+    buckets = _band_keys() if letters else _block_keys(F.col("code"))
+    keyed = distinct.select("line_id", "code", "size", F.explode(buckets).alias("bucket"))
     sorted_rows = keyed.repartition("bucket").sortWithinPartitions("bucket")
-    by_bucket = "bucket long, pair long, line_id long, code long, large boolean"
-    found = stored(map_batches(sorted_rows, _members(lambda batch: batch.column("bucket").to_numpy() >> 26, tile), by_bucket))
+    by_bucket = "bucket long, pair long, line_id long, code long, size int, large boolean"
+    number_of_pair = lambda batch: batch.column("bucket").to_numpy() >> (32 if letters else 26)
+    found = stored(map_batches(sorted_rows, _members(number_of_pair, tile, letters), by_bucket))
     # A large bucket is cut into tiles by hash, and each two of its tiles are a bucket of their own.
     large = found.filter("large")
     tiles = stored(large.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles")))
     part = F.pmod(F.xxhash64("line_id"), F.col("tiles"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
-    dealt = large.join(tiles, "bucket").select("pair", "line_id", "code", "bucket", part.alias("part"), other)
+    dealt = large.join(tiles, "bucket").select("pair", "line_id", "code", "size", "bucket", part.alias("part"), other)
     two = F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other"))
-    redealt = dealt.select(two.alias("bucket"), "pair", "line_id", "code").repartition("bucket").sortWithinPartitions("bucket")
-    cut = stored(map_batches(redealt, _members(lambda batch: batch.column("pair").to_numpy(), 2 * tile), by_bucket))
-    members = found.filter("not large").union(cut).select("bucket", "pair", "line_id", "code")
+    redealt = dealt.select(two.alias("bucket"), "pair", "line_id", "code", "size").repartition("bucket").sortWithinPartitions("bucket")
+    cut = stored(map_batches(redealt, _members(lambda batch: batch.column("pair").to_numpy(), 2 * tile, letters), by_bucket))
+    members = found.filter("not large").union(cut).select("bucket", "pair", "line_id", "code", "size")
 
     wanted = stored(members.select("line_id").distinct())
     places = distinct.join(wanted, "line_id").select("line_id", "first.id", "first.h", "first.line_no")
@@ -272,14 +349,15 @@ def _near_links(docs: DataFrame, distinct: DataFrame, tile: int) -> DataFrame:
     once = docs.join(per_doc.hint("merge"), ["id", "h"]).select("text", "chosen")
     forms = _forms(once).dropDuplicates(["line_id"])  # a row listed twice gives its lines twice
     texts = members.join(forms, "line_id").repartition("bucket").sortWithinPartitions("bucket", "line_id")
-    return map_batches(texts.select("bucket", "pair", "line_id", "code", "form"), _verified, "a long, b long")
+    return map_batches(texts.select("bucket", "pair", "line_id", "code", "size", "form"), _verified(letters), "a long, b long")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, tile: int = TILE) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, tile: int = TILE, letters: bool = False) -> DataFrame:
     """All documents with one occurrence of each group of alike lines; with ``n_lines`` and ``n_dropped``.
 
-    Lines whose normal forms are equal are alike, and so are lines whose SimHashes (of the words) differ in at most
-    three bits and whose edit similarity is 0.8 or more; groups are what such links connect. The occurrence kept is the
+    Lines whose normal forms are equal are alike, and so are lines whose edit similarity is 0.8 or more and that meet:
+    with ``letters`` in one of twelve MinHash bands over letters (README has the recall), else where the SimHashes of
+    their words differ in at most three bits, which loses most changed words. Groups are what such links connect. The occurrence kept is the
     first by doc_id (null last), hash of the text and line number. Lines of fewer than ``min_words`` words always stay.
     A document may be left with an empty text. Null texts stay null. A row that repeats both doc_id and text comes back
     once. Other columns pass through, but for ``n_lines`` and ``n_dropped``, which are replaced.
@@ -288,14 +366,14 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, tile: int = TILE) -
     key = {"__id": F.coalesce("doc_id", F.lit((1 << 63) - 1)), "__h": F.xxhash64("text", F.col("doc_id").isNull())}
     rows = docs.select(*kept).withColumns(key)
     texts = rows.select(F.col("__id").alias("id"), F.col("__h").alias("h"), "text")
-    lines = stored(line_hashes(texts, min_words))
+    lines = stored(line_hashes(texts, min_words, letters))
     place = F.struct("id", "h", "line_no")
     distinct = stored(
         lines.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), F.min("code").alias("code"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(place).alias("first"), *[F.min(c).alias(c) for c in ("code", "size", *(KEYS if letters else []))], F.count(F.lit(1)).alias("n"))
         .withColumn("line_id", F.monotonically_increasing_id())
     )
-    groups = components(_near_links(texts, distinct, tile))
+    groups = components(_near_links(texts, distinct, tile, letters))
     grouped = stored(distinct.join(groups, distinct["line_id"] == groups["node"], "left").select("h1", "h2", "first", "n", "component"))
     keep = stored(grouped.filter("component is not null").groupBy("component").agg(F.min("first").alias("keep")))
     alike = stored(
@@ -325,5 +403,5 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, tile: int = TILE) -
 
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the lines it keeps."""
-    kept = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    kept = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), letters=True)
     return kept.select("doc_id", "n_lines", "n_dropped", "text")

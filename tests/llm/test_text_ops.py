@@ -167,6 +167,24 @@ def test_lines_match_brute_force(spark, tile):
     assert all(r.n_lines == 5 for r in found.values()) and sum(r.n_dropped for r in found.values()) > 100
 
 
+@pytest.mark.parametrize("tile", [2, 2048])
+def test_changed_words_are_found_by_letters(spark, tile):
+    draw, rows, asked = random.Random(8), [], []
+    for k in range(150):
+        words = prose(1000 + k, draw.randint(8, 40)).split()
+        rows.append((2 * k, " ".join(words), "a"))
+        words[draw.randrange(len(words))] = draw.choice(["changed", "lokemi", "another"])
+        rows.append((2 * k + 1, " ".join(words), "a"))
+        if line_dedup.similar(rows[-2][1], rows[-1][1]):
+            asked.append(2 * k + 1)
+    links = [(a, b) for a, _, _ in rows for b in range(a) if line_dedup.similar(rows[a][1], rows[b][1])]
+    root = components(range(len(rows)), links)
+    kept = line_dedup.dedup_lines(documents(spark, rows), tile=tile, letters=True).collect()
+    gone = {r.doc_id for r in kept if r.n_dropped}
+    assert len(kept) == len(rows) and gone <= {k for k in root if root[k] != k}
+    assert len(asked) > 120 and len(gone & set(asked)) >= 0.95 * len(asked)
+
+
 def test_lines_of_awkward_documents(spark):
     kept = line_dedup.dedup_lines(documents(spark, awkward()))
     assert set(documents(spark, []).columns) <= set(kept.columns)
