@@ -1,4 +1,4 @@
-"""Best-fit packing of documents into sequences, in rounds over ever fewer partitions."""
+"""Best-fit packing of documents into sequences, in rounds over as many partitions as the leftovers need."""
 
 import zlib
 
@@ -15,7 +15,7 @@ from storelake.sinks.files import stored, stored_counted
 CAPACITY = 2048
 SLACK = 4  # a sequence with so few places left is emitted before the last round
 ROWS = 32_768  # items packed by one task
-FAN_IN = 4  # partitions merged into one between rounds
+LEAST = 32  # a round that joins less than one in so many of its items is the last, which bounds the rounds
 SLICE = 256
 
 MEMBER = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint>"
@@ -113,7 +113,7 @@ def _round(capacity: int, number: int):
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "offset"]
         packed = pa.StructArray.from_arrays([*fields, pa.array(offset)], names=names)
         fill = np.bincount(own, weights=sizes, minlength=bins).astype(np.int64)
-        first = (number << 56) + (TaskContext.get().partitionId() << 32)
+        first = (number << 54) + (TaskContext.get().partitionId() << 32)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(first + np.arange(bins)),
@@ -129,24 +129,33 @@ def _round(capacity: int, number: int):
 def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, rows: int = ROWS) -> DataFrame:
     """``sequence_id`` and ``offset`` for pieces (doc_id, piece, start, length, ids_crc32), gapless from offset 0.
 
-    Each partition is packed by best fit, largest piece first. Sequences with at most ``slack`` places left are done;
-    the others become the items of the next round, over a quarter of the partitions, until one partition is left,
-    whose sequences are all done. A round is written before it is divided, so that a repeated task cannot pack a piece
+    Each partition is packed by best fit, largest piece first. Sequences with at most ``slack`` places left are done, and
+    so are those with less room than the smallest leftover fills; the others become the items of the next round, over one
+    partition for each ``rows`` of them. Once there is one partition, or a round has joined less than one in 32 of its items, all
+    are done. A round is written before it is divided, so that a repeated task cannot pack a piece
     twice. Lengths must lie between 1 and the capacity. Repeated rows are packed each; an empty table gives no rows.
     """
     item, total = stored_counted(items)
     member = F.struct(*[c for c in item.columns], F.lit(0).cast("long").alias("offset"))
     left = item.select(F.col("length").alias("fill"), F.array(member).alias("members"))
-    done, number, parts = [], 0, max(1, -(-total // rows))
+    done, number, parts, before = [], 0, max(1, -(-total // rows)), total
     while True:
         schema = f"sequence_id long, fill long, members array<{MEMBER}>"
         packed = stored(map_batches(left.repartition(parts), _round(capacity, number), schema))
         if parts == 1:
             done.append(packed)
             break
-        done.append(packed.filter(F.col("fill") >= capacity - slack))
-        left = packed.filter(F.col("fill") < capacity - slack).select("fill", "members")
-        number, parts = number + 1, -(-parts // FAN_IN)
+        # The smallest sequence with room decides which of them anything can still be put into.
+        open_ones = packed.filter(F.col("fill") < capacity - slack)
+        smallest = open_ones.agg(F.min("fill")).first()[0]
+        most = -1 if smallest is None else min(capacity - slack - 1, capacity - smallest)
+        count = packed.agg(F.count(F.when(F.col("fill") <= most, 1)), F.count(F.lit(1))).first()
+        if count[0] < 2 or before - count[1] < before / LEAST:
+            done.append(packed)
+            break
+        done.append(packed.filter(F.col("fill") > most))
+        left = packed.filter(F.col("fill") <= most).select("fill", "members")
+        number, parts, before = number + 1, -(-count[0] // rows), count[0]
     whole = done[0]
     for more in done[1:]:
         whole = whole.union(more)

@@ -92,6 +92,20 @@ def test_packing_is_whole_and_tight(spark, rows_per_task):
     assert packing.pack(packing.pieces(documents(spark, []))).count() == 0
 
 
+@pytest.mark.parametrize("low, high, joined", [(270, 500, False), (2, 500, True)])
+def test_packing_bounds_every_task(spark, monkeypatch, low, high, joined):
+    asked, plain = [], packing.map_batches
+    monkeypatch.setattr(packing, "map_batches", lambda df, run, schema: asked.append((df.count(), df.rdd.getNumPartitions())) or plain(df, run, schema))
+    draw = random.Random(9)
+    rows = [(k, 0, 0, draw.randint(low, high), 0) for k in range(2000)]
+    items = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    packed = packing.pack(items, 512, rows=100).toPandas()
+    assert sorted(packed["doc_id"]) == list(range(2000)) and packed.groupby("sequence_id")["length"].sum().max() <= 512
+    assert all(count <= 100 * parts for count, parts in asked) and len(asked) < 40
+    total = packed["length"].sum()
+    assert packed["sequence_id"].nunique() <= total / 512 * 1.1 if joined else packed["sequence_id"].nunique() == 2000
+
+
 def test_best_fit_takes_the_tightest_bin():
     own, bins = packing.best_fit(np.array([3, 7, 5, 5, 10]), 10)
     assert bins == 3 and own[4] != own[1] and own[0] == own[1] and own[2] == own[3]
