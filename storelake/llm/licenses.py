@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from storelake.llm.license_texts import COMMON, TEMPLATES
+from storelake.llm.license_texts import COMMON, REQUIRED, TEMPLATES
 from storelake.llm.line_dedup import normal_forms
 from storelake.llm.text import words_of
 from storelake.llm.workers import Batches, map_batches
@@ -74,6 +74,11 @@ def _drawn_together(pairs: list[tuple[int, int]], text: list[int]) -> list[tuple
     return pairs
 
 
+def _holds(words: list[int], phrase: list[int]) -> bool:
+    """Whether a list of words has a phrase word for word."""
+    return any(words[k : k + len(phrase)] == phrase for k, w in enumerate(words) if w == phrase[0])
+
+
 class Scanner:
     """Templates as lists of word numbers, and which words of a template a search may begin at."""
 
@@ -83,6 +88,9 @@ class Scanner:
         words = [form.split() for form in forms]
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for own in words for w in own}))}
         self.words = [[self.vocabulary[w] for w in own] for own in words]
+        known = self.vocabulary
+        phrases = [REQUIRED.get(n, []) if templates[n] == TEMPLATES.get(n) else [] for n in self.names]
+        self.required = [[[known[w] for w in phrase.split()] for phrase in own] for own in phrases]
         common = {self.vocabulary[w] for w in COMMON.split() if w in self.vocabulary}
         self.rare = [frozenset(own) - common or frozenset(own) for own in self.words]
         self.counts = np.stack([np.bincount(own, minlength=len(self.vocabulary)) for own in self.words])
@@ -101,9 +109,13 @@ class Scanner:
             window = text[begin : int(hit) + span]
             if len(window) < need or sum((Counter(window) & Counter(template)).values()) < need:
                 continue
+            if not all(_holds(window, phrase) for phrase in self.required[k]):
+                continue
             pairs = align(window, template)
             if len(pairs) >= need:
                 first, last = begin + pairs[0][0], begin + pairs[-1][0]
+                if not all(_holds(text[first : last + 1], phrase) for phrase in self.required[k]):
+                    continue
                 yield k, len(pairs), first, last
                 behind = last + 1
 
@@ -139,7 +151,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float
     """A row for each license text found in whole texts: doc_id, license_id, coverage, first_word, last_word, n_matched.
 
     Words are lower-case runs of letters and digits, numbered from 0 in the text. A match covers at least ``coverage`` of a
-    template's words in order; of matches that overlap only the one with most words is given (ties: higher coverage,
+    template's words in order and holds the phrases that tell it from others (``REQUIRED``); of matches that overlap only the one with most words is given (ties: higher coverage,
     then the first name). Null and empty texts hold none, and documents without a match give no row. Rows that repeat
     are scanned each. A document may hold a license more than once.
     """

@@ -231,6 +231,25 @@ def test_licenses(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
 
 
+def test_close_licenses_are_told_apart(spark):
+    gpl = license_texts.TEMPLATES["GPL-3.0-or-later"]
+    second = gpl.replace("version 3", "version 2")
+    lesser, affero = gpl.replace("GNU General", "GNU Lesser General"), gpl.replace("GNU\nGeneral", "GNU Affero General").replace("GNU General", "GNU Affero General")
+    lesser = lesser.replace("GNU\nGeneral", "GNU Lesser General")
+    two = license_texts.TEMPLATES["BSD-2-Clause"]
+    three = two + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    texts = {
+        "GPL-3.0-or-later": gpl, "GPL-2.0-or-later": second, "LGPL-3.0-or-later": lesser, "AGPL-3.0-or-later": affero,
+        "BSD-2-Clause": two, "BSD-3-Clause": three, "CC-BY-NC-SA-4.0-notice": "Licensed under CC BY-NC-SA 4.0.",
+        "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.", "CC-BY-SA-3.0-notice": "Licensed under CC BY-SA 3.0.",
+        "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    }
+    rows = [(k, prose(k, 30) + "\n" + text + "\n" + prose(50 + k, 30), "a") for k, text in enumerate(texts.values())]
+    rows.append((99, "Released under the ISC License.", "a"))
+    found = {(r.doc_id, r.license_id) for r in licenses.scan(documents(spark, rows)).collect()}
+    assert found == set(enumerate(texts))
+
+
 def test_alignment_is_a_common_subsequence():
     draw = random.Random(7)
     for _ in range(300):
