@@ -294,7 +294,7 @@ def test_pipeline_of_awkward_documents(spark):
     assert empty.count() == 0
 
 
-@pytest.mark.parametrize("name", ["op7_quality", "op9_chat"])
+@pytest.mark.parametrize("name", ["op7_quality", "op9_chat", "op11_negatives", "op13_contamination"])
 def test_queries_match_their_sql(spark, name):
     from oracle_check import compare, connect
 
@@ -304,7 +304,7 @@ def test_queries_match_their_sql(spark, name):
     assert problem is None and rows > 0
 
 
-@pytest.mark.parametrize("name", ["op1_lines", "op2_tokens", "op3_mixing", "op4_toxicity", "op5_licenses", "op6_ann", "op8_packing", "op10_simhash"])
+@pytest.mark.parametrize("name", ["op1_lines", "op2_tokens", "op3_mixing", "op4_toxicity", "op5_licenses", "op6_ann", "op8_packing", "op10_simhash", "op12_runs"])
 def test_queries_return_whole_tables(spark, name):
     from storelake.llm.registry import QUERIES
 
