@@ -6,6 +6,7 @@ Queries that write do so under the scratch folder and return what a reader finds
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -454,7 +455,15 @@ def cdc_decode(spark, folder):
 @query
 def cdc_filter(spark, folder):
     kept = changes.with_new_row(change_feed(spark, folder))
-    return kept.select("eventName", F.col("dynamodb.NewImage")["transaction_id"]["S"].alias("transaction_id"))
+    return kept.select("eventName", changes.attribute_text(F.col("dynamodb.NewImage"), "transaction_id").alias("transaction_id"))
+
+
+@query
+def cdc_other_tags(spark, folder):
+    """An attribute under every tag there is, in turn."""
+    records = views.any_tag_records(spark, folder)
+    decoded = computed_once(records, change=F.from_json("value", CHANGE_RECORD)).select("change.*")
+    return changes.decode_changes(decoded).select("transaction_id", "device_type", "shipping_delay_days")
 
 
 def run_upsert_stream(spark, folder) -> tuple[str, str]:
@@ -519,6 +528,101 @@ def items_compacted(spark, folder):
     return current.withColumn("discount_applied", F.col("discount_applied").cast("double"))
 
 
+def input_files(spark, folder, root: str, cuts: int) -> list[str]:
+    """The keyed records as so many Parquet files, cut by their sequence number, not yet where the stream looks."""
+    records, paths = views.keyed_records(spark, folder), []
+    last = records.agg(F.max("seq")).first()[0]
+    for n in range(cuts):
+        part = records.filter((F.col("seq") * cuts >= n * (last + 1)) & (F.col("seq") * cuts < (n + 1) * (last + 1)))
+        sinks.overwrite(part.coalesce(1), f"{root}/spare/{n}")
+        paths.append(f"{root}/spare/{n}")
+    return paths
+
+
+@query
+def stream_upsert_folded(spark, folder):
+    """Four batches, with the log folded after the first, second and third; what then comes from the base and one open batch."""
+    root = scratch_path(spark, "folded")
+    sinks.make_folder(spark, f"{root}/input")
+    keyed = spark.readStream.schema(KEYED_RECORD).parquet(f"{root}/input/*")
+    log_path, alerts_path = f"{root}/log", f"{root}/alerts"
+    for n, path in enumerate(input_files(spark, folder, root, 4)):
+        sinks.move_folder(spark, path, f"{root}/input/{n}")
+        items.start_upsert(keyed, log_path, alerts_path, f"{root}/checkpoint", F.lit(RUN_TS)).awaitTermination()
+        if n < 3:
+            items.fold_items(spark, log_path)
+    current = items.current_items(spark, log_path)
+    return current.withColumn("discount_applied", F.col("discount_applied").cast("double"))
+
+
+@query
+def stream_replay(spark, folder):
+    """A stream whose second file first holds unreadable records: it fails, is mended and restarted. Log rows and alerts."""
+    root = scratch_path(spark, "replay")
+    paths = input_files(spark, folder, root, 3)
+    broken = f"{root}/broken"
+    whole = spark.read.schema(KEYED_RECORD).parquet(paths[1])
+    sinks.overwrite(whole.withColumn("data", F.when(F.col("seq") % 1000 == 7, F.base64(F.lit("{").cast("binary"))).otherwise(F.col("data"))).coalesce(1), broken)
+    sinks.make_folder(spark, f"{root}/input")
+    keyed = spark.readStream.schema(KEYED_RECORD).parquet(f"{root}/input/*")
+    log_path, alerts_path = f"{root}/log", f"{root}/alerts"
+
+    def run():
+        items.start_upsert(keyed, log_path, alerts_path, f"{root}/checkpoint", F.lit(RUN_TS)).awaitTermination()
+
+    sinks.move_folder(spark, paths[0], f"{root}/input/0")
+    run()
+    sinks.move_folder(spark, broken, f"{root}/input/1")
+    try:
+        run()
+        raise AssertionError("unreadable records went through")
+    except StreamingQueryException:
+        sinks.replace_files(spark, paths[1], f"{root}/input/1")  # under the names that the failed batch asks for
+    sinks.move_folder(spark, paths[2], f"{root}/input/2")
+    run()
+    run()
+    stored = items.read_log(spark, log_path).select(F.lit("item").alias("kind"), "transaction_id", F.col("order_value").cast("double"))
+    raised = items.read_alerts(spark, alerts_path).select(F.lit("alert"), "transaction_id", "order_value")
+    return stored.union(raised)
+
+
+@query
+def stream_empty_batch(spark, folder):
+    """Empty batches among others, to both stores: what folders there are, and the rows in them."""
+    root = scratch_path(spark, "sparse")
+    records, requests = views.keyed_records(spark, folder), views.requests(spark, folder)
+    upsert = items.batch_writer(f"{root}/log", f"{root}/alerts", F.lit(RUN_TS))
+    send = publish.batch_writer(f"{root}/out", F.lit(RUN_TS))
+    for batch, keep in enumerate((F.lit(False), F.lit(True), F.lit(False))):
+        upsert(records.filter(keep), batch)
+        send(requests.filter(keep), batch)
+        send(requests.filter(keep), batch)
+    paths = {name: f"{root}/{name}" for name in ("log", "alerts", "out/messages", "out/rejections")}
+    seen = [(name, int(batch)) for name, path in paths.items() for batch in sinks.subfolders(spark, path, "batch_id")]
+    rows = items.read_log(spark, paths["log"]).select(F.lit("log").alias("folder"), "batch_id").union(
+        items.read_alerts(spark, paths["alerts"]).select(F.lit("alerts"), F.lit(1))).union(
+        publish.read_published(spark, f"{root}/out").select(F.lit("out/messages"), F.lit(1))).union(
+        publish.read_rejections(spark, f"{root}/out").select(F.lit("out/rejections"), "batch_id"))
+    counted = rows.groupBy("folder", "batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    return spark.createDataFrame(seen, "folder string, batch_id bigint").join(counted, ["folder", "batch_id"], "left")
+
+
+@query
+def kafka_to_items(spark, folder):
+    """The current items of a Kafka frame with two partitions, whose offsets start far apart."""
+    records = views.keyed_records(spark, folder)
+    part = F.pmod(F.crc32(F.col("key").cast("binary")), F.lit(2)).cast("int")
+    frame = records.select(
+        F.col("key").cast("binary").alias("key"),
+        F.unbase64("data").alias("value"),
+        part.alias("partition"),
+        F.when(part == 0, F.col("seq")).otherwise(F.col("seq") + 10**9).alias("offset"),
+    )
+    stored = items.store_items(items.decode_records(publish.from_kafka(frame)), F.lit(RUN_TS))
+    latest = items.latest_per_key(stored, ["seq"]).drop("seq")
+    return latest.withColumn("discount_applied", F.col("discount_applied").cast("double"))
+
+
 @query
 def stream_alerts(spark, folder):
     _, alerts_path = run_upsert_stream(spark, folder)

@@ -78,7 +78,7 @@ def bronze_to_silver(
         bronze = read_csv(spark, f"{lake.bronze}/{name}", BATCH_TABLES[name], name in multi_line)
         parsed = bronze.observe(counter, F.count(F.lit(1)).alias("rows"))
         _, rows = stored_counted(clean(parsed), f"{lake.silver}/{name}")
-        read = observed_rows(counter)
+        read = observed_rows(counter, bronze.count)
         wanted = (extracted or {}).get(name, read)
         if read != wanted:
             raise ValueError(

@@ -581,3 +581,41 @@ ORACLES["initial_behavior"] = with_views(
 for _name, _sql in _LOADED.items():
     ORACLES[f"initial_{_name}"] = with_views(_LOADED_VIEWS, _sql.format(**_KNOWN) if "{" in _sql else _sql)
     ORACLES[f"incremental_{_name}"] = with_views(_LOADED_VIEWS, _sql.format(**_LATER) if "{" in _sql else _sql)
+
+ORACLES["stream_upsert_folded"] = ORACLES["stream_upsert"]
+ORACLES["kafka_to_items"] = ORACLES["stream_upsert"]
+ORACLES["stream_replay"] = with_views(
+    "event_fields streamed",
+    """
+    select 'item' as kind, transaction_id, cast(order_value as double) as order_value from streamed
+    union all
+    select 'alert', transaction_id, cast(order_value as double) from streamed where order_value > 990
+    """,
+)
+ORACLES["stream_empty_batch"] = with_views(
+    "event_fields streamed " + _REQUEST_VIEWS.replace("event_fields ", "") + " built",
+    """
+    select 'log' as folder, cast(1 as bigint) as batch_id, count(*) as rows from streamed
+    union all select 'alerts', 1, count(*) from streamed where order_value > 990
+    union all select 'out/messages', 1, count(*) from built
+    union all select 'out/rejections', 1, (select count(*) from events) - (select count(*) from built) // 2
+    """,
+)
+ORACLES["cdc_other_tags"] = with_views(
+    "event_fields",
+    """
+    select concat('E', cast(event_id as varchar)) as transaction_id,
+           case event_id % 10
+               when 0 then '{"L":[{"S":"' || payment_method || '"},{"N":"' || ts_day || '"}]}'
+               when 1 then '{"M":{"a":{"S":"' || ts_day || '"}}}'
+               when 2 then '{"SS":["a","b c"]}'
+               when 3 then '{"NS":["' || ts_day || '","2"]}'
+               when 4 then '{"B":"aGk="}'
+               when 5 then 'false'
+               when 6 then cast(ts_day as varchar)
+               when 7 then ts_day || '.5'
+               when 8 then payment_method end as device_type,
+           cast(case event_id % 3 when 0 then ts_day when 1 then 7 end as int) as shipping_delay_days
+    from event_fields
+    """,
+)

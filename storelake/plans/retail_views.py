@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelake.schemas import ATTRIBUTE
+from storelake.schemas import TAGS
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -185,7 +185,7 @@ def keyed_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def tagged(name: str, tag: str, value: Column) -> list[Column]:
     """Map entry of an attribute whose value sits under one type tag."""
-    others = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != tag else value.alias(tag) for f in ATTRIBUTE]
+    others = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != tag else value.alias(tag) for f in TAGS]
     return [F.lit(name), F.struct(*others)]
 
 
@@ -209,3 +209,28 @@ def change_records(spark: SparkSession, folder: str) -> DataFrame:
     carried = F.struct(F.when(kind != "signup", image).alias("NewImage"))
     change = F.struct(event_name.alias("eventName"), carried.alias("dynamodb"))
     return table(spark, folder, "events").select(F.to_json(change).alias("value"))
+
+
+def any_tag_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Change feed from events, as JSON lines, whose device type is tagged in ten ways and whose delay in three."""
+    day, pay = F.day("ts").cast("string"), event_payment()
+    kinds = [
+        F.concat(F.lit('{"L":[{"S":"'), pay, F.lit('"},{"N":"'), day, F.lit('"}]}')),
+        F.concat(F.lit('{"M":{"a":{"S":"'), day, F.lit('"}}}')),
+        F.lit('{"SS":["a","b c"]}'),
+        F.concat(F.lit('{"NS":["'), day, F.lit('","2"]}')),
+        F.lit('{"B":"aGk="}'),
+        F.lit('{"BOOL":false}'),
+        F.concat(F.lit('{"N":"'), day, F.lit('"}')),
+        F.concat(F.lit('{"N":"'), day, F.lit('.50"}')),
+        F.concat(F.lit('{"N":"1","S":"'), pay, F.lit('"}')),
+        F.lit('{"NULL":true}'),
+    ]
+    delays = [F.concat(F.lit('{"N":"'), day, F.lit('"}')), F.lit('{"S":"7"}'), F.lit('{"BS":["aGk="]}')]
+    device = F.element_at(F.array(*kinds), (F.col("event_id") % 10 + 1).cast("int"))
+    delay = F.element_at(F.array(*delays), (F.col("event_id") % 3 + 1).cast("int"))
+    value = F.concat(
+        F.lit('{"eventName":"INSERT","dynamodb":{"NewImage":{"transaction_id":{"S":"E'), F.col("event_id"),
+        F.lit('"},"device_type":'), device, F.lit(',"shipping_delay_days":'), delay, F.lit("}}}"),
+    )
+    return table(spark, folder, "events").select(value.alias("value"))

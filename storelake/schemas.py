@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    VariantType,
 )
 
 TEXT, INT, LONG, FLOAT, DOUBLE, BOOL = (
@@ -151,9 +152,9 @@ ALERT = columns(
     transaction_id=TEXT, customer_id=TEXT, order_value=DOUBLE, payment_method=TEXT, order_date=TEXT
 )
 
-# Change record of the keyed store: each attribute carries its value under a type tag.
-ATTRIBUTE = columns(S=TEXT, N=TEXT, BOOL=BOOL, NULL=BOOL)
-CHANGE_RECORD = columns(eventName=TEXT, dynamodb=columns(NewImage=MapType(TEXT, ATTRIBUTE)))
+# Change record of the keyed store: each attribute carries its value under a type tag, which may be any.
+TAGS = columns(S=TEXT, N=TEXT, BOOL=BOOL, NULL=BOOL)
+CHANGE_RECORD = columns(eventName=TEXT, dynamodb=columns(NewImage=MapType(TEXT, VariantType())))
 
 # Landed change rows with the hour they arrived in.
 LANDED = columns(**{f.name: f.dataType for f in STREAM_TXN}, year=TEXT, month=TEXT, day=TEXT, hour=TEXT)

@@ -20,10 +20,31 @@ def with_new_row(changes: DataFrame) -> DataFrame:
     return changes.filter(F.col("eventName").isin(NEW_ROW_CHANGES) & (F.size("dynamodb.NewImage") > 0))
 
 
+def number_text(text: Column) -> Column:
+    """A number as it is written again: whole without a point, else a double. Other text stays as it is."""
+    whole = text.try_cast("decimal(38,0)").cast("string")
+    return F.coalesce(F.when(text.contains("."), text.try_cast("double").cast("string")).otherwise(whole), text)
+
+
 def attribute_text(image: Column, name: str) -> Column:
-    """Text of a tagged attribute: string, else number, else boolean; null when tagged null or absent."""
+    """Text of a tagged attribute: that of tag S, else N, else BOOL; null when tagged NULL or absent.
+
+    Whatever else the attribute holds (lists, maps, sets, binary) becomes its JSON text.
+    """
     tagged = image[name]
-    return F.coalesce(tagged["S"], tagged["N"], tagged["BOOL"].cast("string"))
+
+    def under(tag: str) -> Column:
+        return F.try_variant_get(tagged, f"$.{tag}", "string")
+
+    def has(tag: str) -> Column:
+        return F.try_variant_get(tagged, f"$.{tag}", "variant").isNotNull()
+
+    return (
+        F.when(has("S"), under("S"))
+        .when(has("N"), number_text(under("N")))
+        .when(has("BOOL"), under("BOOL"))
+        .when(~has("NULL"), F.to_json(tagged))
+    )
 
 
 def attribute(image: Column, name: str, data_type: str) -> Column:

@@ -1,22 +1,23 @@
 """Keyed store of the latest item per transaction, with high-value alerts, fed by a stream.
 
-The store is a log of micro-batches. Each batch overwrites its own ``batch_id`` folder, so a
+The store is a log of micro-batches. Each batch appears whole as its own ``batch_id`` folder, so a
 replayed batch changes nothing, and the stream itself never shuffles. The current items are the
-latest per key over the log, by batch and position in the stream; compaction folds the log.
+latest per key over the log, by batch and position in the stream. Folding moves older batches into a base
+with one row for each key, bucket by bucket, while the stream runs.
 """
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, IntegerType, StructField, StructType
 
 from storelake.functions.keys import iso_timestamp
 from storelake.operators.lateral import computed_once
 from storelake.schemas import ALERT, ITEM_LOG, STORE_ITEM, STREAM_RECORD
-from storelake.sinks.files import stored_counted
+from storelake.sinks.files import delete_folder, folder_exists, make_folder, subfolders, write_whole
 
 log = logging.getLogger(__name__)
 
@@ -26,6 +27,7 @@ UNKNOWN = "UNKNOWN"
 
 ITEM_KEY = "transaction_id"
 BASE_BATCH = -1
+BUCKETS = 8  # of keys; fixed for a log
 
 
 def decode_records(keyed: DataFrame) -> DataFrame:
@@ -74,25 +76,95 @@ def latest_per_key(items: DataFrame, order: list[str]) -> DataFrame:
     return items.groupBy(ITEM_KEY).agg(last).select(ITEM_KEY, "last.*")
 
 
+def bucket_of(key: Column) -> Column:
+    return F.pmod(F.hash(key), F.lit(BUCKETS)).alias("bucket")
+
+
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    return spark.read.schema(ITEM_LOG).parquet(log_path)
+    return _log_rows(spark, log_path).select(ITEM_LOG.names)
+
+
+def _log_rows(spark: SparkSession, log_path: str) -> DataFrame:
+    schema = StructType([*ITEM_LOG.fields, StructField("bucket", IntegerType())])
+    return spark.read.schema(schema).parquet(log_path)
 
 
 def read_alerts(spark: SparkSession, alerts_path: str) -> DataFrame:
     return spark.read.schema(ALERT).json(alerts_path).select(ALERT.names)
 
 
+def base_path(log_path: str, bucket: int) -> str:
+    """Folder of the folded items of a bucket, beside the log: one subfolder for each fold that is still kept."""
+    return f"{log_path.rstrip('/')}-base/bucket={bucket}"
+
+
+def folded_up_to(spark: SparkSession, log_path: str) -> list[int]:
+    """The last batch folded into the base, by bucket; one below the first where none is."""
+    found = (subfolders(spark, base_path(log_path, b), "upto") for b in range(BUCKETS))
+    return [max(map(int, upto), default=BASE_BATCH - 1) for upto in found]
+
+
+def _read_base(spark: SparkSession, log_path: str, folded: list[int], buckets: Iterable[int]) -> DataFrame | None:
+    paths = [f"{base_path(log_path, b)}/upto={folded[b]}" for b in buckets if folded[b] >= BASE_BATCH]
+    return spark.read.schema(ITEM_LOG).parquet(*paths) if paths else None
+
+
 def current_items(spark: SparkSession, log_path: str) -> DataFrame:
-    return latest_per_key(read_log(spark, log_path), ["batch_id", "seq"]).select(STORE_ITEM.names)
+    """The latest item of each key: of the folded base, and of the batches that a bucket's base does not hold yet."""
+    folded = folded_up_to(spark, log_path)
+    own = F.element_at(F.array(*map(F.lit, folded)), F.col("bucket") + 1)
+    rows = _log_rows(spark, log_path).filter((F.col("batch_id") > min(folded)) & (F.col("batch_id") > own))
+    rows, base = rows.select(ITEM_LOG.names), _read_base(spark, log_path, folded, range(BUCKETS))
+    return latest_per_key(rows if base is None else rows.union(base), ["batch_id", "seq"]).select(STORE_ITEM.names)
+
+
+def fold_items(spark: SparkSession, log_path: str, buckets: Iterable[int] = range(BUCKETS)) -> int:
+    """Fold the batches of a log into its base, a bucket at a time, while the stream goes on. Returns the last batch folded.
+
+    A batch that can be seen is whole and is never written again, so all batches seen at the start are folded. Each
+    bucket gets a new folder, which appears whole; readers take the newest. The folder before it and the batches that the
+    fold before had reached stay until the next fold, for readers that have just listed them. A fold that fails is run again.
+    """
+    before = folded_up_to(spark, log_path)
+    last = max(map(int, subfolders(spark, log_path, "batch_id")), default=min(before))
+    for b in buckets:
+        if before[b] >= last:
+            continue
+        fresh = _log_rows(spark, log_path).filter(
+            (F.col("bucket") == b) & (F.col("batch_id") > before[b]) & (F.col("batch_id") <= last)
+        )
+        base = _read_base(spark, log_path, before, [b])
+        rows = fresh.select(ITEM_LOG.names)
+        folded = latest_per_key(rows if base is None else rows.union(base), ["batch_id", "seq"])
+        write_whole(folded.select(ITEM_LOG.names), f"{base_path(log_path, b)}/upto={last}", _parquet, keep_empty=True)
+        for upto in subfolders(spark, base_path(log_path, b), "upto"):
+            if int(upto) < before[b]:
+                delete_folder(spark, f"{base_path(log_path, b)}/upto={upto}")
+    for batch in subfolders(spark, log_path, "batch_id"):
+        if int(batch) <= min(before):
+            delete_folder(spark, f"{log_path}/batch_id={batch}")
+    return last
+
+
+def _parquet(writer: DataFrameWriter, path: str) -> None:
+    writer.parquet(path)
+
+
+def _by_bucket(writer: DataFrameWriter, path: str) -> None:
+    writer.partitionBy("bucket").parquet(path)
+
+
+def _json(writer: DataFrameWriter, path: str) -> None:
+    writer.option("ignoreNullFields", False).json(path)
 
 
 def compact_items(spark: SparkSession, log_path: str, new_log_path: str) -> None:
-    """Fold a log into a new one with a single base batch.
+    """Fold a log, with its base, into a new log with a single base batch.
 
     Run it while the stream is stopped, then restart the stream on the new log with its old checkpoint.
     """
-    folded = latest_per_key(read_log(spark, log_path), ["batch_id", "seq"])
-    folded.drop("batch_id").write.mode("errorifexists").parquet(f"{new_log_path}/batch_id={BASE_BATCH}")
+    folded = current_items(spark, log_path).withColumns({"seq": F.lit(0).cast("long"), "bucket": bucket_of(F.col(ITEM_KEY))})
+    folded.write.mode("errorifexists").partitionBy("bucket").parquet(f"{new_log_path}/batch_id={BASE_BATCH}")
 
 
 def batch_writer(
@@ -103,23 +175,25 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function with two outputs: the items, then the alerts among the written items.
 
-    The input is read and decoded once, and nothing is cached. Both outputs are overwritten when
-    the batch replays.
+    The input is read and decoded once, and nothing is cached. Each output appears whole, under the batch's number, or not at
+    all; without rows there is none. A replayed batch only adds what is missing. Items are laid out by the hash of their key.
     """
 
     def write(keyed: DataFrame, batch_id: int) -> None:
+        spark = keyed.sparkSession
+        make_folder(spark, log_path)
+        if batch_id <= min(folded_up_to(spark, log_path)):
+            return
         now = F.current_timestamp() if ingested_at is None else ingested_at
-        items, written = stored_counted(
-            store_items(decode_records(keyed), now), f"{log_path}/batch_id={batch_id}"
-        )
-        if not written:
+        own = f"{log_path}/batch_id={batch_id}"
+        rows = store_items(decode_records(keyed), now).withColumn("bucket", bucket_of(F.col(ITEM_KEY)))
+        written = write_whole(rows, own, _by_bucket)
+        if not folder_exists(spark, own):
             return
-        counter = Observation()
-        messages = alerts(items, threshold).observe(counter, F.count(F.lit(1)).alias("alerted"))
-        messages.write.mode("overwrite").option("ignoreNullFields", False).json(
-            f"{alerts_path}/batch_id={batch_id}"
-        )
-        log.info("batch %s: %s written, %s alerted", batch_id, written, counter.get["alerted"])
+        make_folder(spark, alerts_path)
+        items = spark.read.schema(STORE_ITEM).parquet(own)
+        alerted = write_whole(alerts(items, threshold), f"{alerts_path}/batch_id={batch_id}", _json)
+        log.info("batch %s: %s written, %s alerted", batch_id, written, alerted)
 
     return write
 

@@ -60,6 +60,21 @@ def test_whole_numbers(spark, tmp_path):
     assert (row.shipping_delay_days, row.high_value_flag) == (10, 1)
 
 
+def test_attributes_under_other_tags(spark, tmp_path):
+    tags = {
+        '{"L":[{"S":"a"},{"N":"1"}]}': {"L": [{"S": "a"}, {"N": "1"}]}, '{"M":{"k":{"BOOL":true}}}': {"M": {"k": {"BOOL": True}}},
+        '{"SS":["a","b"]}': {"SS": ["a", "b"]}, '{"NS":["1"]}': {"NS": ["1"]}, '{"B":"aGk="}': {"B": "aGk="},
+        '{"BS":["aGk="]}': {"BS": ["aGk="]}, "{}": {}, "s": {"N": "1", "S": "s"}, "12": {"N": "012"}, "1.5": {"N": "1.50"},
+        "1": {"N": "1", "BOOL": True}, "false": {"BOOL": False, "NULL": True}, "x": {"N": "x"},
+        "12345678901234567890": {"N": "12345678901234567890"},
+    }
+    records = [change(device_type=tag, payment_method={"S": want}) for want, tag in tags.items()]
+    nulls = [change(device_type=tag, payment_method={"S": "none"}) for tag in ({"NULL": True}, {"NULL": False}, {"S": None, "N": "1"})]
+    rows = changes.decode_changes(feed(spark, tmp_path, *records, *nulls)).collect()
+    assert len(rows) == len(tags) + 3
+    assert all((r.device_type or "none") == r.payment_method for r in rows)
+
+
 def test_landing_by_hour(spark, tmp_path, run_ts):
     records = [change(), change("REMOVE"), change("MODIFY", device_type={"NULL": True}, order_value={"S": "7"})]
     feed(spark, tmp_path, *records)

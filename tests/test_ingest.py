@@ -248,6 +248,22 @@ def test_generated_ids_are_distinct(spark, run_ts):
 def test_kafka_frames_keep_the_order_of_a_key(spark):
     frame = spark.createDataFrame([(b"C1", b"{}", 0, 5)], "key binary, value binary, partition int, offset long")
     assert from_kafka(frame).collect() == [("C1", 5, "e30=")]
+    rows = [(b"C1", b"{}", 1, 5), (b"C2", b"{}", 0, 7), (b"C1", b"{}", 1, 2), (b"C2", b"{}", 0, 1 << 40)]
+    two = spark.createDataFrame(rows, "key binary, value binary, partition int, offset long")
+    assert [r.key for r in from_kafka(two).orderBy("seq").collect()] == ["C2", "C2", "C1", "C1"]
+
+
+def test_a_reader_of_published_folders_sees_no_file_twice(spark, run_ts, tmp_path):
+    one = requests(spark, {"transactions": [GOOD]}, "{")
+    write = batch_writer(str(tmp_path), F.lit(run_ts))
+    write(one, 0)
+    seen = sorted(str(p) for p in tmp_path.rglob("*.json"))
+    write(one, 0)
+    write(one.limit(0), 1)
+    write(requests(spark, "{"), 2)
+    assert sorted(str(p) for p in tmp_path.rglob("*.json") if "batch_id=0" in str(p)) == seen
+    assert [p.name for p in (tmp_path / "messages").iterdir()] == ["batch_id=0"]
+    assert sorted(p.name for p in (tmp_path / "rejections").iterdir()) == ["batch_id=0", "batch_id=2"]
 
 
 def test_orders_without_a_date_take_the_day_of_the_stream(spark, tmp_path):

@@ -1,6 +1,8 @@
 import base64
 import json
 import random
+import shutil
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -136,6 +138,85 @@ def test_last_batch_wins_and_replay_changes_nothing(spark, run_ts, tmp_path):
 def test_empty_batch_writes_nothing(spark, run_ts, tmp_path):
     log, alerts = write_batch(spark, run_ts, tmp_path, 0)
     assert items.read_log(spark, log).isEmpty() and not (tmp_path / "alerts").exists()
+    assert list((tmp_path / "log").iterdir()) == [] and items.current_items(spark, log).isEmpty()
+    write_batch(spark, run_ts, tmp_path, 1, record(order_value=1))
+    assert [p.name for p in (tmp_path / "log").iterdir()] == ["batch_id=1"] and list((tmp_path / "alerts").iterdir()) == []
+
+
+def test_a_batch_that_fails_leaves_nothing_to_see(spark, run_ts, tmp_path):
+    with pytest.raises(Exception):
+        write_batch(spark, run_ts, tmp_path, 0, record(), "{")
+    assert all(p.name.startswith("_") for p in (tmp_path / "log").iterdir())
+    log, _ = write_batch(spark, run_ts, tmp_path, 0, record(order_value=4))
+    assert values(spark, log) == {"T1": "4"}
+
+
+def test_replay_adds_lost_alerts_only(spark, run_ts, tmp_path):
+    log, alerts = write_batch(spark, run_ts, tmp_path, 0, record(order_value=2000))
+    files = sorted(p for p in (tmp_path / "log").rglob("*.parquet"))
+    shutil.rmtree(f"{alerts}/batch_id=0")
+    write_batch(spark, run_ts, tmp_path, 0, record(order_value=2000))
+    assert items.read_alerts(spark, alerts).count() == 1
+    assert sorted(p for p in (tmp_path / "log").rglob("*.parquet")) == files
+
+
+def test_a_log_is_folded_while_it_grows(spark, run_ts, tmp_path):
+    draw, wanted, first = random.Random(5), {}, 0
+    log = str(tmp_path / "log")
+    for batch in range(9):
+        records = [record(transaction_id=f"T{draw.choice([0, 0, draw.randrange(60)])}", order_value=first + n) for n in range(25)]
+        write_batch(spark, run_ts, tmp_path, batch, *records, first=first)
+        first += len(records)
+        wanted.update({r["transaction_id"]: str(r["order_value"]) for r in records})
+        if batch in (2, 4, 7):
+            some = range(0, items.BUCKETS, 2) if batch == 4 else range(items.BUCKETS)  # half a fold, as after a failure
+            assert items.fold_items(spark, log, some) == batch
+        assert values(spark, log) == wanted
+        write_batch(spark, run_ts, tmp_path, 0, *records, first=first)  # a late replay of a folded batch
+        assert values(spark, log) == wanted
+    assert sorted(int(p.name.split("=")[1]) for p in (tmp_path / "log").glob("batch_id=*")) == [3, 4, 5, 6, 7, 8]
+    assert items.folded_up_to(spark, log) == [7] * items.BUCKETS
+    plan = items.current_items(spark, log)._jdf.queryExecution().executedPlan().toString()
+    assert "(batch_id#" in plan and "> 7)" in plan
+    assert len(list((tmp_path / "log-base" / "bucket=0").glob("upto=*"))) <= 2
+    items.compact_items(spark, log, str(tmp_path / "new"))
+    assert values(spark, str(tmp_path / "new")) == wanted
+    assert items.fold_items(spark, log) == 8 and items.fold_items(spark, log) == 8
+    assert values(spark, log) == wanted
+
+
+def test_a_stream_restarts_after_an_unreadable_record(spark, run_ts, tmp_path):
+    """The second of three files cannot be read at first."""
+    source, spare = tmp_path / "in", tmp_path / "spare"
+    records = [record(transaction_id=f"T{n % 11}", order_value=960 + n) for n in range(90)]
+    for n in range(3):
+        part = records[30 * n : 30 * n + 30]
+        keyed(spark, *part, first=30 * n).coalesce(1).write.parquet(str(spare / str(n)))
+    keyed(spark, *records[30:45], '{"order_value": ', first=30).coalesce(1).write.parquet(str(spare / "bad"))
+    source.mkdir()
+
+    def put(name, into):
+        shutil.copy(next((spare / name).glob("*.parquet")), source / f"{into}.parquet")
+
+    for name, into in (("0", "0"), ("bad", "1"), ("2", "2")):
+        put(name, into)
+        time.sleep(0.02)
+    stream = spark.readStream.schema(KEYED_RECORD).option("maxFilesPerTrigger", 1).parquet(str(source))
+    log, alerts = str(tmp_path / "log"), str(tmp_path / "alerts")
+
+    def run():
+        items.start_upsert(stream, log, alerts, str(tmp_path / "ck"), F.lit(run_ts)).awaitTermination()
+
+    for _ in range(2):  # the same batch fails again
+        with pytest.raises(Exception):
+            run()
+        assert values(spark, log) == {r["transaction_id"]: str(r["order_value"]) for r in records[:30]}
+    put("1", "1")
+    for _ in range(2):  # nothing is repeated
+        run()
+    assert values(spark, log) == {r["transaction_id"]: str(r["order_value"]) for r in records}
+    assert items.read_log(spark, log).count() == 90
+    assert items.read_alerts(spark, alerts).count() == sum(r["order_value"] > 990 for r in records)
 
 
 def test_compacted_log_takes_later_batches(spark, run_ts, tmp_path):
