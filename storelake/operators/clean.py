@@ -5,7 +5,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, StringType, StructType
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, StringType, StructField, StructType
+
+CORRUPT = "_corrupt_record"  # Spark's own name for it
 
 
 def normalize_names(df: DataFrame) -> DataFrame:
@@ -23,13 +25,30 @@ def complete(df: DataFrame) -> DataFrame:
     Spelt per column, so that the null checks reach the Parquet scan.
     """
 
-    def present(field) -> Column:
-        filled = F.col(field.name).isNotNull()
-        if isinstance(field.dataType, (FloatType, DoubleType)):
-            filled = filled & ~F.isnan(field.name)
-        return filled
+    return df.filter(reduce(Column.__and__, map(_present, df.schema)))
+
+
+def _present(field: StructField) -> Column:
+    filled = F.col(field.name).isNotNull()
+    if isinstance(field.dataType, (FloatType, DoubleType)):
+        filled = filled & ~F.isnan(field.name)
+    return filled
+
+
+def with_corrupt(schema: StructType) -> StructType:
+    """A file schema with the column that holds a line which does not fit it."""
+    return StructType([*schema.fields, StructField(CORRUPT, StringType())])
+
 
-    return df.filter(reduce(Column.__and__, map(present, df.schema)))
+def drop_counts(schema: StructType) -> dict[str, Column]:
+    """Counters over rows read ``with_corrupt``: all rows, and those that ``complete`` drops, by reason."""
+    full = reduce(Column.__and__, map(_present, schema))
+    malformed = F.col(CORRUPT).isNotNull()
+    return {
+        "rows": F.count(F.lit(1)),
+        "malformed": F.count_if(~full & malformed),
+        "nulls": F.count_if(~full & ~malformed),
+    }
 
 
 def clean(df: DataFrame) -> DataFrame:

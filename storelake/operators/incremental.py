@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from storelake.sinks.files import stored
 
+BITS = 1 << 26  # of a bitmap of keys: 8 MB
+
 
 def key_rank(key: str, order: str) -> Column:
     if order == "lexicographic":
@@ -33,7 +35,11 @@ def newer_than(df: DataFrame, existing: DataFrame, key: str, order: str = "lexic
     seen. The watermark enters the filter as a literal, so in text order it is pushed into a Parquet
     or JDBC scan.
     """
-    watermark = high_watermark(existing, key, order)
+    return above(df, key, high_watermark(existing, key, order), order)
+
+
+def above(df: DataFrame, key: str, watermark, order: str = "lexicographic") -> DataFrame:
+    """Rows above a known watermark, as ``newer_than`` has them; all rows where it is None."""
     if watermark is None:
         return df
     rank = key_rank(key, order)
@@ -47,7 +53,44 @@ def newer_than(df: DataFrame, existing: DataFrame, key: str, order: str = "lexic
 def not_in(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not stored yet; copies within ``df`` and null keys stay.
 
-    The stored keys are reduced to distinct ones first, which removes a hot key before the
-    shuffle, and are written out, so that a hot key of ``df`` can be split in the join.
+    A bitmap of the hashes of the stored keys settles most rows: where the bit of a key is not set, the row is new. The others
+    meet the stored keys, and of these only such as a bitmap of the doubtful rows lets through; they are distinct and written, so
+    that a hot key of ``df`` can be split in the join. Both bitmaps are broadcast and hold ``BITS`` bits at most.
+    ``df`` is read once and staged. Both keys have to be of one type, since their hashes are compared.
     """
-    return df.join(stored(existing.select(key).distinct()), key, "left_anti")
+    kinds = df.schema[key].dataType, existing.schema[key].dataType
+    if kinds[0] != kinds[1]:
+        raise ValueError(f"{key} is of type {kinds[0].simpleString()} here and {kinds[1].simpleString()} there")
+    mark = "maybe_stored"
+    while mark in df.columns:
+        mark += "_"
+    flagged = stored(_with_mark(df, key, key_bits(existing, key), mark))
+    doubtful = flagged.filter(mark)
+    wanted = _with_mark(existing.select(key), key, key_bits(doubtful, key), mark).filter(mark)
+    known = stored(wanted.select(key).distinct())
+    checked = doubtful.join(known, key, "left_anti").select(df.columns)
+    return flagged.filter(~F.col(mark)).select(df.columns).union(checked)
+
+
+def _bit(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
+
+
+def key_bits(df: DataFrame, key: str) -> DataFrame:
+    """Bitmap of the hashes of all keys: ``part`` and ``bits``, of at most ``BITS`` bits in all.
+
+    Every task combines its keys into one bitmap before the shuffle, so repeated keys cost nothing.
+    """
+    place = _bit(key)
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(place))
+    return df.filter(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(place).alias("part")).agg(bits.alias("bits"))
+
+
+def _with_mark(df: DataFrame, key: str, bits: DataFrame, mark: str) -> DataFrame:
+    """The frame with a column that tells whether the bit of the key is set; false for a null key."""
+    own = bits.select(F.col("part").alias(f"{mark}_part"), F.col("bits").alias(f"{mark}_bits"))
+    at = F.bitmap_bit_position(_bit(key))
+    byte = F.conv(F.hex(F.substring(f"{mark}_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0
+    met = df.join(F.broadcast(own), F.bitmap_bucket_number(_bit(key)) == F.col(f"{mark}_part"), "left")
+    return met.select(*df.columns, F.coalesce(is_set & F.col(key).isNotNull(), F.lit(False)).alias(mark))

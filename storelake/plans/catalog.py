@@ -4,14 +4,14 @@ Queries that write do so under the scratch folder and return what a reader finds
 """
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelake.functions.keys import iso_timestamp, lineage
-from storelake.operators import clean, dims, facts, incremental, ingest, validation
+from storelake.operators import clean, dims, facts, incremental, ingest, validation, watermarks
 from storelake.operators.lateral import computed_once
 from storelake.plans import loads
 from storelake.plans import retail_views as views
@@ -206,6 +206,18 @@ def incr_watermark_numeric(spark, folder):
     return incremental.newer_than(products, products.filter("price < 950"), "product_id", "numeric")
 
 
+@query
+def incr_watermark_marked(spark, folder):
+    """Products above the watermark kept by two appends; the stored table is not read for it."""
+    path = scratch_path(spark, "marked")
+    products = views.products(spark, folder)
+    sinks.overwrite(products.filter("price < 920"), path)
+    for limit in (935, 950):
+        watermarks.append_newer(products.filter(F.col("price") < limit), read_table(spark, path), path, "product_id")
+    (mark,) = watermarks.read_mark(spark, path, "product_id", "lexicographic")
+    return incremental.above(products, "product_id", mark)
+
+
 @query
 def incr_anti_behavior(spark, folder):
     return incremental.not_in(views.customers(spark, folder), views.behavior(spark, folder), "customer_id")
@@ -629,6 +641,22 @@ def stream_alerts(spark, folder):
     return items.read_alerts(spark, alerts_path)
 
 
+@query
+def cdc_two_hours(spark, folder):
+    """Changes landed in two hours by one stream; the first is merged and the second still as it landed."""
+    root = scratch_path(spark, "feed")
+    records = views.change_records(spark, folder)
+    even = F.get_json_object("value", "$.dynamodb.NewImage.transaction_id.S").rlike("[02468]$")
+    sinks.make_folder(spark, f"{root}/input")
+    feed = spark.readStream.schema(CHANGE_RECORD).json(f"{root}/input")
+    for hour, part in enumerate((F.coalesce(even, F.lit(False)), F.coalesce(~even, F.lit(False)))):
+        records.filter(part).write.mode("append").text(f"{root}/input")
+        at = F.lit(RUN_TS + timedelta(hours=hour))
+        changes.start_landing(feed, f"{root}/bronze", f"{root}/checkpoint", at).awaitTermination()
+    changes.merge_hours(spark, f"{root}/bronze", f"{root}/merged", RUN_TS + timedelta(hours=1))
+    return changes.read_merged(spark, f"{root}/bronze", f"{root}/merged")
+
+
 @query
 def cdc_landing(spark, folder):
     root = scratch_path(spark, "feed")
@@ -641,6 +669,21 @@ def cdc_landing(spark, folder):
 # Loads
 
 
+@query
+def clean_drops(spark, folder):
+    """Products with unreadable, empty and repeated prices, cleaned from CSV: the rows kept, and dropped by reason."""
+    lake = loads.Lake(scratch_path(spark, "lake"))
+    tables = views.retail_tables(spark, folder)
+    number = F.col("product_id").cast("int")
+    price = F.when(number % 7 == 0, "n/a").when(number % 5 != 0, F.col("price").cast("string"))
+    products = tables["products"].withColumn("price", price)
+    tables["products"] = products.union(products.filter(number % 3 == 0)).union(products.filter(number % 4 == 0))
+    extracted = loads.extract(spark, tables, lake)
+    refined = loads.bronze_to_silver(spark, lake, extracted=extracted)
+    rows = [(name, *[counts[c] for c in ("kept", "malformed", "nulls", "repeated")]) for name, counts in refined.items()]
+    return spark.createDataFrame(rows, "table_name string, kept bigint, malformed bigint, nulls bigint, repeated bigint")
+
+
 @query
 def bulk_extract(spark, folder):
     lake = loads.Lake(scratch_path(spark, "lake"))

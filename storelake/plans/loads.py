@@ -10,13 +10,21 @@ from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from storelake.operators import dims, facts
-from storelake.operators.clean import cast_to, clean
-from storelake.operators.incremental import newer_than, not_in
+from storelake.operators.clean import CORRUPT, cast_to, clean, drop_counts, with_corrupt
+from storelake.operators.incremental import not_in
+from storelake.operators.watermarks import append_newer
 from storelake.schemas import BATCH_TABLES, GOLD_TABLES
-from storelake.sinks.files import append_delta, observed_rows, overwrite, stored, stored_counted, write_csv_counted
+from storelake.sinks.files import (
+    append_delta,
+    folder_exists,
+    observed,
+    overwrite,
+    stored,
+    stored_counted,
+    write_csv_counted,
+)
 from storelake.sources.files import read_csv, read_table
 
 log = logging.getLogger(__name__)
@@ -66,26 +74,32 @@ def extract(spark: SparkSession, sources: Mapping[str, DataFrame], lake: Lake) -
 
 def bronze_to_silver(
     spark: SparkSession, lake: Lake, multi_line: Collection[str] = (), extracted: Mapping[str, int] | None = None
-) -> dict[str, int]:
-    """Clean the Bronze files into Silver and return the rows kept per table.
+) -> dict[str, dict[str, int]]:
+    """Clean the Bronze files into Silver and return, per table, the rows kept and those dropped by reason.
+
+    Reasons are ``malformed`` (a cell is missing or cannot be read, which leaves a null), ``nulls`` (an empty cell or NaN) and
+    ``repeated``. They are counted by the tasks that clean.
 
     Name the tables whose text holds line breaks in ``multi_line``; their files are not split. Given the
     rows that were extracted, a table read with another number of rows is an error: a line break has cut a row.
     """
 
-    def refine(name: str) -> int:
+    def refine(name: str) -> dict[str, int]:
         counter = Observation()
-        bronze = read_csv(spark, f"{lake.bronze}/{name}", BATCH_TABLES[name], name in multi_line)
-        parsed = bronze.observe(counter, F.count(F.lit(1)).alias("rows"))
-        _, rows = stored_counted(clean(parsed), f"{lake.silver}/{name}")
-        read = observed_rows(counter, bronze.count)
+        bronze = read_csv(spark, f"{lake.bronze}/{name}", with_corrupt(BATCH_TABLES[name]), name in multi_line)
+        counts = [c.alias(n) for n, c in drop_counts(BATCH_TABLES[name]).items()]
+        _, kept = stored_counted(clean(bronze.observe(counter, *counts).drop(CORRUPT)), f"{lake.silver}/{name}")
+        found = observed(counter, lambda: bronze.agg(*counts).first().asDict())
+        read = found["rows"]
         wanted = (extracted or {}).get(name, read)
         if read != wanted:
             raise ValueError(
                 f"{wanted} rows of {name} were extracted, but {read} read; "
                 "name the table in multi_line if its text holds line breaks"
             )
-        return rows
+        dropped = {reason: found[reason] for reason in ("malformed", "nulls")}
+        log.info("%s: %s kept of %s, %s", name, kept, read, dropped)
+        return {"kept": kept, **dropped, "repeated": read - kept - sum(dropped.values())}
 
     return together(spark, **{name: partial(refine, name) for name in BATCH_TABLES})
 
@@ -98,20 +112,31 @@ def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 
 def build_gold(
-    spark: SparkSession, lake: Lake, load_type: str, run_ts: datetime, warehouse: Warehouse | None = None
+    spark: SparkSession,
+    lake: Lake,
+    load_type: str,
+    run_ts: datetime,
+    warehouse: Warehouse | None = None,
+    unchanged: Collection[str] = (),
 ) -> None:
-    """Rebuild the star from Silver, each table computed once.
+    """Rebuild the star from Silver, each table computed once, but for dimensions named as ``unchanged`` that are there.
 
     Facts join the written dimensions, and the warehouse is loaded from the written tables, so
     every consumer sees the same rows.
     """
     silver = read_silver(spark, lake)
+
+    def made(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        path = f"{lake.gold}/{name}"
+        kept = name in unchanged and folder_exists(spark, f"{path}/_SUCCESS")
+        return read_table(spark, path) if kept else stored(build(), path)
+
     gold = together(
         spark,
-        customers=lambda: stored(dims.dim_customer(silver["customers"]), f"{lake.gold}/dim_customer"),
-        products=lambda: stored(dims.dim_product(silver["products"]), f"{lake.gold}/dim_product"),
-        payments=lambda: stored(dims.dim_payment(silver["transactions"]), f"{lake.gold}/dim_payment"),
-        dates=lambda: stored(dims.dim_date(silver["transactions"]), f"{lake.gold}/dim_date"),
+        customers=lambda: made("dim_customer", lambda: dims.dim_customer(silver["customers"])),
+        products=lambda: made("dim_product", lambda: dims.dim_product(silver["products"])),
+        payments=lambda: made("dim_payment", lambda: dims.dim_payment(silver["transactions"])),
+        dates=lambda: made("dim_date", lambda: dims.dim_date(silver["transactions"])),
     )
     sales = facts.fact_transactions(
         silver["transactions"], gold["customers"], gold["products"], gold["payments"], load_type, run_ts
@@ -137,9 +162,9 @@ def initial_load(
     extracted: Mapping[str, int] | None = None,
 ) -> dict[str, int]:
     """Bronze to Silver to Gold, then the warehouse. Returns the Silver rows per table."""
-    kept = bronze_to_silver(spark, lake, multi_line, extracted)
+    refined = bronze_to_silver(spark, lake, multi_line, extracted)
     build_gold(spark, lake, "INITIAL", run_ts, warehouse)
-    return kept
+    return {name: counts["kept"] for name, counts in refined.items()}
 
 
 def incremental_load(
@@ -164,8 +189,7 @@ def incremental_load(
         return clean(cast_to(sources[name], schema)) if cast_then_clean else cast_to(clean(sources[name]), schema)
 
     def above(name: str, key: str) -> int:
-        delta = newer_than(conformed(name), silver[name], key, key_order)
-        return append_delta(delta, f"{lake.silver}/{name}")
+        return append_newer(conformed(name), silver[name], f"{lake.silver}/{name}", key, key_order)
 
     def unseen(name: str, key: str) -> int:
         return append_delta(not_in(conformed(name), silver[name], key), f"{lake.silver}/{name}")
@@ -177,7 +201,8 @@ def incremental_load(
         products=partial(above, "products", "product_id"),
         behavior=partial(unseen, "behavior", "customer_id"),
     )
-    build_gold(spark, lake, "INCREMENTAL", run_ts, warehouse)
+    # An increment brings no transactions, so what is made of them alone stays.
+    build_gold(spark, lake, "INCREMENTAL", run_ts, warehouse, unchanged=("dim_payment", "dim_date"))
     return appended
 
 

@@ -619,3 +619,27 @@ ORACLES["cdc_other_tags"] = with_views(
     from event_fields
     """,
 )
+ORACLES["incr_watermark_marked"] = ORACLES["incr_watermark_products"]
+ORACLES["cdc_two_hours"] = with_views(
+    "event_fields changes",
+    f"""
+    select {ITEM_COLUMNS}, '2024' as year, '07' as month, '01' as day,
+           case when right(transaction_id, 1) in ('0', '2', '4', '6', '8') then '12' else '13' end as hour
+    from changes
+    """,
+)
+ORACLES["clean_drops"] = with_views(
+    "customers products behavior transactions",
+    """
+    select 'products' as table_name, count(*) filter (n % 7 <> 0 and n % 5 <> 0) as kept,
+           coalesce(cast(sum(copies) filter (n % 7 = 0) as bigint), 0) as malformed,
+           coalesce(cast(sum(copies) filter (n % 7 <> 0 and n % 5 = 0) as bigint), 0) as nulls,
+           coalesce(cast(sum(copies - 1) filter (n % 7 <> 0 and n % 5 <> 0) as bigint), 0) as repeated
+    from (select n, 1 + case when n % 3 = 0 then 1 else 0 end + case when n % 4 = 0 then 1 else 0 end as copies
+          from (select cast(product_id as int) as n from products))
+    union all select 'customers', count(*), 0, 0, 0 from customers
+    union all select 'behavior', count(*), 0, 0, 0 from behavior
+    union all select 'transactions', (select count(*) from (select distinct * from transactions)), 0, 0,
+                     count(*) - (select count(*) from (select distinct * from transactions)) from transactions
+    """,
+)

@@ -31,10 +31,16 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
 
 def observed_rows(counter: Observation, count: Callable[[], int]) -> int:
     """The counted rows. Spark drops an observation along with an input that it finds empty; then ``count`` tells."""
+    return observed(counter, lambda: {"rows": count()})["rows"]
+
+
+def observed(counter: Observation, measure: Callable[[], dict]) -> dict:
+    """The observed values, or what ``measure`` finds where Spark has dropped the observation."""
     try:
-        return counter.get["rows"]
-    except (Py4JJavaError, KeyError):
-        return count()
+        found = counter.get
+    except Py4JJavaError:
+        found = {}
+    return found or measure()
 
 
 def stored_counted(df: DataFrame, path: str | None = None) -> tuple[DataFrame, int]:

@@ -1,12 +1,16 @@
 """Change feed of the keyed store, landed as CSV by hour."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import datetime, timezone
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from storelake.functions.keys import hour_parts
 from storelake.functions.text import to_number
 from storelake.schemas import LANDED, STREAM_TXN
+from storelake.sinks.files import folder_size, subfolders, write_whole
 from storelake.sources.files import read_csv
 
 # The change types that carry a new row.
@@ -14,6 +18,18 @@ NEW_ROW_CHANGES = ["INSERT", "MODIFY"]
 
 LANDED_COUNTER = "landed"
 
+HOUR = ("year", "month", "day", "hour")
+FILE_BYTES = 128 << 20  # of a merged file
+
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "lineSep": "\n",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def with_new_row(changes: DataFrame) -> DataFrame:
     """Keep inserts and modifications that bring a non-empty image."""
@@ -81,9 +97,7 @@ def start_landing(
 
 def hourly(writer):
     """The layout of landed rows, for the writer of a batch or of a stream."""
-    options = {"header": True, "escape": '"', "lineSep": "\n", "emptyValue": ""}
-    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    return writer.options(**options, **spaces).partitionBy("year", "month", "day", "hour")
+    return writer.options(**CSV_OPTIONS).partitionBy(*HOUR)
 
 
 def land(changes: DataFrame, path: str, landed_at: Column) -> None:
@@ -97,6 +111,53 @@ def landed_counts(running: StreamingQuery) -> dict[int, int]:
     return {batch: row["rows"] for batch, row in seen if row is not None}
 
 
+def landed_hours(spark: SparkSession, path: str) -> list[tuple[str, ...]]:
+    """The hours, as (year, month, day, hour), for which there are folders. A listing of names alone."""
+    found: list[tuple[str, ...]] = [()]
+    for name in HOUR:
+        found = [(*h, v) for h in found for v in subfolders(spark, hour_folder(path, h), name)]
+    return sorted(found)
+
+
+def hour_folder(path: str, hour: tuple[str, ...]) -> str:
+    return "/".join([path.rstrip("/"), *[f"{name}={value}" for name, value in zip(HOUR, hour)]])
+
+
+def merge_hours(
+    spark: SparkSession, path: str, merged: str, now: datetime, file_bytes: int = FILE_BYTES, multi_line: bool = False
+) -> list[tuple[str, ...]]:
+    """Fold the many small files of each closed hour into few, in a folder of their own. Returns the hours folded.
+
+    Closed are the hours before that of ``now`` (UTC); let ``now`` lag behind the clock by the longest batch, since a batch lands under
+    the hour in which it began. A merged hour appears whole and is not merged again. The landing folder stays as it is, for the
+    stream's own record of its files.
+    """
+    current = tuple(now.astimezone(timezone.utc).strftime("%Y %m %d %H").split())
+    done, folded = set(landed_hours(spark, merged)), []
+    for hour in landed_hours(spark, path):
+        if hour in done or hour >= current:
+            continue
+        _, size = folder_size(spark, hour_folder(path, hour))
+        own = [F.col(name) == value for name, value in zip(HOUR, hour)]
+        rows = read_landed(spark, path, multi_line).filter(reduce(Column.__and__, own)).drop(*HOUR)
+        write_whole(rows.coalesce(max(1, -(-size // file_bytes))), hour_folder(merged, hour), _csv)
+        folded.append(hour)
+    return folded
+
+
+def read_merged(spark: SparkSession, path: str, merged: str, multi_line: bool = False) -> DataFrame:
+    """Landed rows: merged hours from their few files, the others from where they landed."""
+    done = landed_hours(spark, merged)
+    if not done:
+        return read_landed(spark, path, multi_line)
+    known = F.concat_ws("-", *HOUR).isin(["-".join(hour) for hour in done])
+    return read_landed(spark, path, multi_line).filter(~known).union(read_landed(spark, merged, multi_line))
+
+
+def _csv(writer: DataFrameWriter, path: str) -> None:
+    writer.options(**CSV_OPTIONS).csv(path)
+
+
 def read_landed(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Landed rows with the hour they arrived in. With line breaks in the text, ``multi_line`` reads each file as a whole."""
     return read_csv(spark, path, LANDED, multi_line)

@@ -1,6 +1,6 @@
 import csv
 import json
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -123,3 +123,36 @@ def test_line_breaks_in_landed_text(spark, tmp_path, run_ts):
     changes.land(feed(spark, tmp_path, change(device_type={"S": "we\nb"})), out, F.lit(run_ts))
     (row,) = changes.read_landed(spark, out, multi_line=True).collect()
     assert (row.device_type, row.shipping_delay_days, row.hour) == ("we\nb", 3, "12")
+
+
+def test_closed_hours_are_merged(spark, tmp_path, run_ts):
+    source, out, merged = tmp_path / "feed", tmp_path / "out", str(tmp_path / "merged")
+    source.mkdir()
+    stream = spark.readStream.schema(CHANGE_RECORD).option("maxFilesPerTrigger", 1).json(str(source))
+    for hour in range(3):
+        for n in range(4):
+            lines = [json.dumps(change(transaction_id={"S": f"T{hour}{n}{k}"}, device_type={"S": ' a,"b" '})) for k in range(5)]
+            (source / f"{hour}{n}.json").write_text("\n".join(lines))
+        at = F.lit(run_ts + timedelta(hours=hour))
+        changes.start_landing(stream, str(out), str(tmp_path / "ck"), at).awaitTermination()
+    assert changes.landed_hours(spark, str(out)) == [("2024", "07", "01", h) for h in ("12", "13", "14")]
+    before = sorted(map(tuple, changes.read_landed(spark, str(out)).collect()))
+    assert sorted(map(tuple, changes.read_merged(spark, str(out), merged).collect())) == before
+    now = run_ts + timedelta(hours=2)
+    assert [h[3] for h in changes.merge_hours(spark, str(out), merged, now)] == ["12", "13"]
+    assert changes.merge_hours(spark, str(out), merged, now) == []
+    assert len(list((out / "year=2024/month=07/day=01/hour=12").glob("*.csv"))) == 4
+    assert len(list((tmp_path / "merged/year=2024/month=07/day=01/hour=12").glob("*.csv"))) == 1
+    both = changes.read_merged(spark, str(out), merged)
+    assert sorted(map(tuple, both.collect())) == before and len(before) == 60
+    plan = both.filter("hour = '13'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [") == 2 and "hour" in plan.split("PartitionFilters")[1]
+    assert both.filter("hour = '14'").count() == 20
+
+
+def test_a_closed_hour_can_take_several_files(spark, tmp_path, run_ts):
+    records = [change(transaction_id={"S": f"T{n}"}) for n in range(200)]
+    changes.land(feed(spark, tmp_path, *records).repartition(8), str(tmp_path / "out"), F.lit(run_ts))
+    changes.merge_hours(spark, str(tmp_path / "out"), str(tmp_path / "merged"), run_ts + timedelta(hours=1), file_bytes=5000)
+    assert 1 < len(list((tmp_path / "merged").rglob("*.csv"))) < 8
+    assert changes.read_merged(spark, str(tmp_path / "out"), str(tmp_path / "merged")).count() == 200

@@ -1,7 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from storelake.operators import incremental, watermarks
 from storelake.operators.incremental import high_watermark, newer_than, not_in
+from storelake.sinks import files
 from storelake.sinks.files import append_delta, overwrite, stored
 
 
@@ -75,7 +79,7 @@ def test_appending_to_the_table_the_delta_reads(spark, tmp_path):
 
 
 def test_hot_incoming_key_is_split(spark, conf):
-    """A third of the incoming rows share one key."""
+    """A third of the incoming rows share one key, which is stored, so that they have to meet the stored keys."""
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
@@ -86,11 +90,11 @@ def test_hot_incoming_key_is_split(spark, conf):
     n = F.col("id")
     key = F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("C"), n % 1000))
     incoming = stored(spark.range(60000).select(key.alias("k"), F.sha2(n.cast("string"), 256).alias("payload")))
-    fresh = not_in(incoming, keys(spark, "C1", "C2"), "k")
+    fresh = not_in(incoming, keys(spark, "C1", "C2", "hot"), "k")
     fresh.toPandas()
     plan = fresh._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "SortMergeJoin(skew=true)" in plan
-    assert fresh.count() == incoming.filter("k not in ('C1', 'C2')").count()
+    assert fresh.count() == incoming.filter("k not in ('C1', 'C2', 'hot')").count()
 
 
 def test_keys_without_digits_are_an_error(spark):
@@ -100,3 +104,87 @@ def test_keys_without_digits_are_an_error(spark):
     with pytest.raises(Exception, match="without digits"):
         newer_than(keys("x"), keys("C1"), "key", "numeric").collect()
     assert newer_than(keys("x"), keys("x").limit(0), "key", "numeric").count() == 1
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 15, 8])
+def test_bitmaps_of_any_size_change_nothing(spark, monkeypatch, bits):
+    """With eight bits nearly every row is doubtful."""
+    monkeypatch.setattr(incremental, "BITS", bits)
+    draw = random.Random(bits)
+    old = [f"C{draw.randrange(300)}" for _ in range(200)] + [None]
+    new = [f"C{draw.randrange(600)}" for _ in range(400)] + [None, "", "C1", "C1"]
+    incoming = spark.createDataFrame([(n, k, "x") for n, k in enumerate(new)], "n int, k string, maybe_stored string")
+    got = not_in(incoming, keys(spark, *old), "k")
+    assert got.columns == incoming.columns
+    assert sorted(r.n for r in got.collect()) == [n for n, k in enumerate(new) if k is None or k not in old]
+    assert not_in(incoming, keys(spark), "k").count() == len(new) and not_in(incoming.limit(0), keys(spark, "a"), "k").count() == 0
+
+
+def test_settled_rows_do_not_meet_the_stored_keys(spark):
+    written = []
+    plain = incremental.stored
+    incremental.stored = lambda df, path=None: written.append(plain(df, path)) or written[-1]
+    try:
+        not_in(keys(spark, "a", "b", "c"), keys(spark, *[f"old{n}" for n in range(1000)], "b"), "k").collect()
+    finally:
+        incremental.stored = plain
+    flagged, known = written
+    assert flagged.count() == 3 and found(known) == ["b"]
+
+
+def test_keys_of_two_types_are_an_error(spark):
+    with pytest.raises(ValueError, match="int here and string there"):
+        not_in(spark.createDataFrame([(1,)], "k int"), keys(spark, "1"), "k")
+
+
+@pytest.mark.parametrize("order, first, second", [("lexicographic", "C5", "C91"), ("numeric", "C12", "C91")])
+def test_marks_spare_the_scan(spark, tmp_path, monkeypatch, order, first, second):
+    path = str(tmp_path / "silver")
+    overwrite(keys(spark, "C5", "C12"), path)
+    assert watermarks.read_mark(spark, path, "k", order) == []
+    assert watermarks.append_newer(keys(spark, "C4"), spark.read.parquet(path), path, "k", order) == 0
+    (mark,) = watermarks.read_mark(spark, path, "k", order)
+    assert str(mark) == (first if order == "lexicographic" else first[1:])
+    monkeypatch.setattr(watermarks, "high_watermark", None)  # the table is not looked into again
+    for wanted in (1, 0):
+        assert watermarks.append_newer(keys(spark, "C91", "C1", None), spark.read.parquet(path), path, "k", order) == wanted
+    assert found(spark.read.parquet(path)) == ["C12", "C5", second]
+
+
+def test_a_failed_append_leaves_the_old_mark(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    overwrite(keys(spark, "a"), path)
+    existing = spark.read.parquet(path)
+    watermarks.append_newer(keys(spark, "b"), existing, path, "k")
+
+    def broken(df, target):
+        raise OSError("no space")
+
+    monkeypatch.setattr(watermarks, "append", broken)
+    with pytest.raises(OSError):
+        watermarks.append_newer(keys(spark, "c"), existing, path, "k")
+    monkeypatch.undo()
+    assert watermarks.read_mark(spark, path, "k", "lexicographic") == ["b"]
+    append_delta(keys(spark, "d"), path)  # behind the mark's back
+    assert watermarks.read_mark(spark, path, "k", "lexicographic") == []
+    assert watermarks.append_newer(keys(spark, "c", "e"), spark.read.parquet(path), path, "k") == 1
+    assert found(spark.read.parquet(path)) == ["a", "b", "d", "e"]
+
+
+def test_marks_of_empty_tables(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    overwrite(keys(spark), path)
+    assert watermarks.append_newer(keys(spark), spark.read.parquet(path), path, "k") == 0
+    assert watermarks.read_mark(spark, path, "k", "lexicographic") == [None]
+    assert watermarks.append_newer(keys(spark, "a"), spark.read.parquet(path), path, "k") == 1
+
+
+def test_a_lost_observation_loses_no_row(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    overwrite(keys(spark, "a"), path)
+    monkeypatch.setattr(files, "observed", lambda counter, measure: measure())
+    assert append_delta(keys(spark, "b", "c"), path) == 2 and found(spark.read.parquet(path)) == ["a", "b", "c"]
+    target = str(tmp_path / "whole")
+    assert files.write_whole(keys(spark, "a", "b"), target, lambda w, p: w.json(p)) == 2
+    assert files.write_whole(keys(spark), str(tmp_path / "none"), lambda w, p: w.json(p)) == 0 and not (tmp_path / "none").exists()
+    assert files.write_whole(keys(spark, "z"), target, lambda w, p: w.json(p)) == 0 and found(spark.read.json(target)) == ["a", "b"]

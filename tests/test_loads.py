@@ -150,3 +150,19 @@ def test_rows_cut_by_line_breaks_are_an_error(spark, tmp_path, run_ts):
     with pytest.raises(ValueError, match="customers were extracted"):
         loads.run(spark, "initial", lake, tables, run_ts)
     assert loads.run(spark, "initial", lake, tables, run_ts, multi_line=["customers"])["customers"] == 1
+
+
+def test_dropped_rows_are_counted_by_reason(spark, tmp_path):
+    lake = loads.Lake(str(tmp_path))
+    lines = {
+        "products": "product_id,category,price,margin_percentage,popularity_score\n"
+        "a,x,1.5,1,1\na,x,1.5,1,1\nb,x,bad,1,1\nc,x,,1,1\nd,x,NaN,1,1\ne,x\nf,x,1,1,1,more\n,x,1,1,1\na,x,1.5,1,1\n",
+        "customers": "h\n", "behavior": "h\n", "transactions": "h\n",
+    }
+    for name, text in lines.items():
+        (tmp_path / "bronze" / name).mkdir(parents=True)
+        (tmp_path / "bronze" / name / "a.csv").write_text(text)
+    found = loads.bronze_to_silver(spark, lake)
+    assert found["products"] == {"kept": 2, "malformed": 2, "nulls": 3, "repeated": 2}
+    assert found["customers"] == {"kept": 0, "malformed": 0, "nulls": 0, "repeated": 0}
+    assert sorted(r.product_id for r in spark.read.parquet(f"{lake.silver}/products").collect()) == ["a", "f"]
