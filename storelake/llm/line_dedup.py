@@ -1,38 +1,29 @@
-"""Fuzzy line deduplication: sketches of normal forms, buckets, verified edit similarity, one line per group."""
+"""Fuzzy line deduplication: SimHashes of normal forms, pigeonhole blocks, verified edit similarity, one line per group."""
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelake.llm.components import components
-from storelake.llm.text import bit_counts, majority_bits, words_of
+from storelake.llm.components import components, spanning_links
+from storelake.llm.scratch import Scratch
+from storelake.llm.text import bit_counts, majority_bits
 from storelake.llm.workers import Batches, map_batches
-from storelake.sinks.files import stored
 
-MIN_WORDS = 5
+MIN_LETTERS = 16  # of a normal form; shorter lines stay
 SIMILARITY = 0.8
-MAX_BITS = 3
-BLOCKS = (13, 13, 13, 13, 12)  # bits; two of five blocks agree wherever at most three bits differ
-PAIRS = list(combinations(range(len(BLOCKS)), len(BLOCKS) - MAX_BITS))
-GRAM = 5  # letters
-BANDS, ROWS = 12, 4  # in letters: lines meet where all minima of a band agree
-RADIUS = 24  # bits, of SimHashes over letters; unlike lines are about 31 bits apart
+GRAM = 4  # letters
+WORDS, PER_WORD, BLOCK_BITS = 4, 5, 12  # a SimHash is four words of 64 bits, each with five blocks of twelve
+# Largest share of differing bits that is worth a verification: longer lines have more in common by chance.
+RADII = ((100, 0.28), (250, 0.25), (None, 0.20))  # (up to this many letters, share)
 TILE = 2048  # lines of one bucket compared with each other at once
 SLICE = 1024  # documents cut into lines at a time
 
-_SHIFTS = [sum(BLOCKS[:k]) for k in range(len(BLOCKS))]
-# For each set of blocks that agree (as bits), the first pair of them: only its bucket owns the two lines.
-_OWNER = np.array([next((n for n, p in enumerate(PAIRS) if all(s >> b & 1 for b in p)), -1) for s in range(1 << len(BLOCKS))])
-
-_FACTORS = np.random.default_rng(1).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_MASKS = np.random.default_rng(2).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
-KEYS = [f"k{n}" for n in range(BANDS // 2)]  # two keys of 32 bits each
+CODES = [f"k{n}" for n in range(WORDS)]
 
 
 def normal_forms(lines: pa.Array) -> pa.Array:
@@ -46,8 +37,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def letter_sketches(forms: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """SimHash, packed MinHash band keys and number of letters of each form, over its runs of ``GRAM`` letters.
+def simhashes(forms: list[str]) -> np.ndarray:
+    """A SimHash of each form, over its runs of ``GRAM`` letters: one row of ``WORDS`` unsigned words.
 
     Every letter begins a run; behind the last letter a run is filled up.
     """
@@ -59,27 +50,13 @@ def letter_sketches(forms: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.
     for k in range(GRAM):
         grams = grams * np.uint64(0x9E3779B97F4A7C15)
         grams[: len(letters) - k] += np.where(place[: len(letters) - k] > k, letters[k:] + np.uint64(1), np.uint64(0))
-    hashes = _mixed(grams)
-    codes = majority_bits(bit_counts(hashes, starts), sizes)
-    small = (hashes >> np.uint64(32)).astype(np.uint32)
-    full = sizes > 0
-    keys = []
-    for band in range(BANDS):
-        key = np.full(len(forms), band, dtype=np.uint64)
-        for n in range(band * ROWS, (band + 1) * ROWS):
-            if full.any():
-                least = np.minimum.reduceat((small ^ _MASKS[n]) * _FACTORS[n], starts[:-1][full])
-                key[full] = _mixed(key[full] * np.uint64(0x9E3779B97F4A7C15) + least)
-        keys.append(key >> np.uint64(32))
-    packed = [(keys[n] << np.uint64(32) | keys[n + 1]).view(np.int64) for n in range(0, BANDS, 2)]
-    return codes, packed, sizes
-
-
-def line_hashes(docs: DataFrame, min_words: int = MIN_WORDS, letters: bool = False) -> DataFrame:
-    """A row for each line of at least ``min_words`` words: id, h, line_no, 128-bit hash (h1, h2), SimHash and letters.
-
-    With ``letters`` the SimHash is over letters, and band keys follow.
-    """
+    seeds = np.random.default_rng(7).integers(0, 1 << 63, WORDS, dtype=np.uint64)
+    words = [majority_bits(bit_counts(_mixed(grams + seed), starts), sizes) for seed in seeds]
+    return np.column_stack(words)
+
+
+def line_hashes(docs: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
+    """A row for each line of at least ``min_letters`` letters: id, h, line_no, 128-bit hash (h1, h2), letters and SimHash."""
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
@@ -89,18 +66,13 @@ def line_hashes(docs: DataFrame, min_words: int = MIN_WORDS, letters: bool = Fal
                 row = np.repeat(np.arange(len(split)), [len(x) for x in split])
                 number = np.concatenate([np.arange(len(x)) for x in split]) if split else np.empty(0)
                 forms = normal_forms(pa.array([line for x in split for line in x], type=pa.large_string()))
-                index, distinct, starts = words_of(forms, single_spaced=True)
-                sizes = np.diff(starts)
-                keep = np.flatnonzero(sizes >= min_words)
-                chosen = forms.take(pa.array(keep)).to_pylist()
-                if letters:
-                    codes, keys, n_letters = letter_sketches(chosen)
-                else:
-                    hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
-                    codes = majority_bits(bit_counts(hashes[index], starts), sizes)[keep]
-                    keys, n_letters = [], np.array([len(form) for form in chosen], dtype=np.int64)
-                digests = [xxhash.xxh3_128_digest(form) for form in chosen]
-                halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+                sizes = pc.utf8_length(forms).to_numpy(zero_copy_only=False)
+                keep = np.flatnonzero(sizes >= min_letters)
+                coded = forms.take(pa.array(keep)).dictionary_encode()
+                distinct, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+                codes = simhashes(distinct)[index]
+                digests = b"".join(xxhash.xxh3_128_digest(form) for form in distinct)
+                halves = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)[index]
                 of = pa.array(row[keep])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -109,30 +81,26 @@ def line_hashes(docs: DataFrame, min_words: int = MIN_WORDS, letters: bool = Fal
                         pa.array(number[keep].astype(np.int32)),
                         pa.array(halves[:, 0]),
                         pa.array(halves[:, 1]),
-                        pa.array(codes.view(np.int64)),
-                        pa.array(n_letters.astype(np.int32)),
-                        *[pa.array(key) for key in keys],
+                        pa.array(sizes[keep].astype(np.int32)),
+                        *[pa.array(codes[:, n].view(np.int64)) for n in range(WORDS)],
                     ],
-                    names=["id", "h", "line_no", "h1", "h2", "code", "size", *(KEYS if letters else [])],
+                    names=["id", "h", "line_no", "h1", "h2", "size", *CODES],
                 )
 
-    more = "".join(f", {k} long" for k in KEYS) if letters else ""
-    return map_batches(docs, run, f"id long, h long, line_no int, h1 long, h2 long, code long, size int{more}")
-
+    more = "".join(f", {k} long" for k in CODES)
+    return map_batches(docs, run, f"id long, h long, line_no int, h1 long, h2 long, size int{more}")
 
-def _block_keys(code: Column) -> Column:
-    def block(b: int) -> Column:
-        return F.shiftrightunsigned(code, _SHIFTS[b]).bitwiseAND(F.lit((1 << BLOCKS[b]) - 1))
 
-    keys = []
-    for number, (a, b) in enumerate(PAIRS):
-        keys.append(F.lit(number << 26) + F.shiftleft(block(a), 13) + block(b))
-    return F.array(*keys)
-
-
-def _band_keys() -> Column:
-    halves = [half for k in KEYS for half in (F.shiftrightunsigned(F.col(k), 32), F.col(k).bitwiseAND(F.lit(0xFFFFFFFF)))]
-    return F.array(*[F.lit(band << 32) + half for band, half in enumerate(halves)])
+def _buckets() -> Column:
+    """One entry for each block: its number and bits, and two words of the SimHash that hold none of it."""
+    entries = []
+    for number in range(WORDS * PER_WORD):
+        word, place = divmod(number, PER_WORD)
+        bits = F.shiftrightunsigned(CODES[word], place * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+        one, two = (F.col(CODES[(word + n) % WORDS]) for n in (1, 2))
+        bucket = (F.lit(number << BLOCK_BITS) + bits).cast("long")
+        entries.append(F.struct(bucket.alias("bucket"), one.alias("one"), two.alias("two")))
+    return F.array(*entries)
 
 
 def _grouped(batches: Batches, key: str, most: int | None = None) -> Iterator[pa.RecordBatch]:
@@ -158,153 +126,108 @@ def _grouped(batches: Batches, key: str, most: int | None = None) -> Iterator[pa
         yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
 
 
-def _close(left: np.ndarray, right: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    """Which codes (unsigned, broadcast against each other) lie within the radius and belong to this pair of blocks."""
-    differ = left ^ right
-    agree = np.zeros(differ.shape, dtype=np.int8)
-    for b, (shift, width) in enumerate(zip(_SHIFTS, BLOCKS)):
-        agree |= (((differ >> np.uint64(shift)) & np.uint64((1 << width) - 1)) == 0).astype(np.int8) << b
-    return (np.bitwise_count(differ) <= MAX_BITS) & (_OWNER[agree] == pair)
+def radius(size: np.ndarray) -> np.ndarray:
+    """Differing bits of two words (128 bits) that are worth a verification, by the letters of the longer line."""
+    bounds = [up_to for up_to, _ in RADII[:-1]]
+    return np.array([int(128 * share) for _, share in RADII])[np.searchsorted(bounds, size, side="left")]
 
 
-def _closeness(batch: pa.RecordBatch, pairs: np.ndarray, letters: bool):
-    """Which rows of a batch (as places, broadcast against each other) are worth a verification."""
-    codes, sizes = batch.column("code").to_numpy().view(np.uint64), batch.column("size").to_numpy().astype(np.int64)
+class _Bucket:
+    """Lines that agree in one block, by number of letters."""
 
-    def close(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        if not letters:
-            return _close(codes[left], codes[right], pairs[left])
-        one, two = sizes[left], sizes[right]
-        alike = np.abs(one - two) <= (1 - SIMILARITY) * np.maximum(one, two) + 1e-9  # the edit similarity implies it
-        return alike & (np.bitwise_count(codes[left] ^ codes[right]) <= RADIUS)
+    def __init__(self, batch: pa.RecordBatch):
+        self.sizes = batch.column("size").to_numpy().astype(np.int64)
+        self.one, self.two = (batch.column(c).to_numpy() for c in ("one", "two"))
 
-    return close
+    def near(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Which rows (as places, broadcast against each other) are close; similar lines differ little in length."""
+        differ = np.bitwise_count((self.one[left] ^ self.one[right]).view(np.uint64)).astype(np.int16)
+        differ += np.bitwise_count((self.two[left] ^ self.two[right]).view(np.uint64))
+        longer, shorter = np.maximum(self.sizes[left], self.sizes[right]), np.minimum(self.sizes[left], self.sizes[right])
+        return (shorter >= SIMILARITY * longer - 1e-9) & (differ <= radius(longer))
 
+    def pairs(self, first: int, last: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Close rows i before j of a range, some at a time."""
+        if last - first == 2:
+            if self.near(np.array([first]), np.array([first + 1]))[0]:
+                yield np.array([first]), np.array([first + 1])
+            return
+        order = first + np.argsort(self.sizes[first:last], kind="stable")
+        ordered = self.sizes[order]
+        for at in range(0, len(order), 512):
+            own = order[at : at + 512]
+            # Sorted by length: what is too long for the longest of these is too long for all.
+            end = np.searchsorted(ordered, ordered[min(at + 511, len(order) - 1)] / SIMILARITY + 1e-6, side="right")
+            others = order[at:end]
+            i, j = np.nonzero(self.near(own[:, None], others[None, :]))
+            forward = i < j
+            if forward.any():
+                yield own[i[forward]], others[j[forward]]
 
-def _linked(close, first: int, last: int) -> np.ndarray:
-    """Which rows of one bucket have another one close to them."""
-    found = np.zeros(last - first, dtype=bool)
-    for at in range(first, last, 512):
-        own = np.arange(at, min(at + 512, last))
-        near = close(own[:, None], np.arange(first, last)[None, :])
-        near[np.arange(len(own)), own - first] = False
-        found[own - first] = near.any(axis=1)
-    return found
 
+def _edges(keys: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
 
-def _members(number_of_pair, tile: int, letters: bool):
+
+def _members(tile: int):
     """Rows of buckets with a close neighbour; buckets beyond two tiles are passed on whole, marked as large."""
 
     def run(batches: Batches) -> Batches:
         last_large = None
         for batch in _grouped(batches, "bucket", 2 * tile):
-            keys, pairs = batch.column("bucket").to_numpy(), number_of_pair(batch)
-            close = _closeness(batch, pairs, letters)
-            edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
+            keys, bucket = batch.column("bucket").to_numpy(), _Bucket(batch)
+            edges = _edges(keys)
             sizes = np.diff(edges)
             keep = np.zeros(len(keys), dtype=bool)
             beyond = (sizes > 2 * tile) | (keys[edges[:-1]] == last_large)
             large = np.repeat(beyond, sizes)
             last_large = keys[edges[:-1][beyond][-1]] if beyond.any() else last_large
-            two = edges[:-1][sizes == 2]  # most buckets with more than one row have two
-            keep[two] = keep[two + 1] = close(two, two + 1)
+            two = edges[:-1][sizes == 2]
+            keep[two] = keep[two + 1] = bucket.near(two, two + 1)
             for k in np.flatnonzero((sizes > 2) & ~beyond):
-                keep[edges[k] : edges[k + 1]] = _linked(close, int(edges[k]), int(edges[k + 1]))
+                for i, j in bucket.pairs(int(edges[k]), int(edges[k + 1])):
+                    keep[i] = keep[j] = True
             found = np.flatnonzero(keep | large)
             if len(found):
-                at = pa.array(found)
-                names = ["bucket", "pair", "line_id", "code", "size"]
-                columns = [batch.column("bucket"), pa.array(pairs), *[batch.column(c) for c in names[2:]]]
-                yield pa.RecordBatch.from_arrays(
-                    [*[c.take(at) for c in columns], pa.array(large[found])], names=[*names, "large"]
-                )
+                names = ["bucket", "line_id", "size", "one", "two"]
+                columns = [batch.column(c).take(pa.array(found)) for c in names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(large[found])], names=[*names, "large"])
 
     return run
 
 
-def _same_start(a: str, b: str) -> int:
-    """Length of the longest common start, by halving."""
-    low, high = 0, min(len(a), len(b))
-    while low < high:
-        middle = (low + high + 1) // 2
-        if a[low:middle] == b[low:middle]:
-            low = middle
-        else:
-            high = middle - 1
-    return low
-
-
-def _unlike_middles(a: str, b: str) -> tuple[str, str]:
-    """Two texts without their common start and end, which no edit has to touch."""
-    start = _same_start(a, b)
-    a, b = a[start:], b[start:]
-    end = _same_start(a[::-1], b[::-1])
-    return a[: len(a) - end], b[: len(b) - end]
-
-
-def edit_distance(a: str, b: str, most: int | None = None) -> int:
-    """Levenshtein distance; columns of the table are bits of whole numbers (Myers' method).
-
-    Where it exceeds ``most``, any number beyond ``most`` may be given.
-    """
-    a, b = _unlike_middles(a, b)
-    if not a or not b:
-        return len(a) + len(b)
-    where: dict[str, int] = {}
-    for k, letter in enumerate(a):
-        where[letter] = where.get(letter, 0) | 1 << k
-    mask, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    up, down, distance, left = mask, 0, len(a), len(b)
-    for letter in b:
-        match = where.get(letter, 0)
-        diagonal = (((match & up) + up) ^ up) | match | down
-        gain, loss = down | (mask & ~(diagonal | up)), up & diagonal
-        distance += bool(gain & top) - bool(loss & top)
-        left -= 1
-        if most is not None and distance - left > most:  # each letter left can take back one at best
-            return distance - left
-        gain, loss = gain << 1 | 1, loss << 1
-        up, down = (loss | ~(diagonal | gain)) & mask, gain & diagonal & mask
-    return distance
-
-
-def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
-    """Whether one less the edit distance over the longer length is at least ``least``.
-
-    Two upper bounds settle most pairs that are: exchanging the words that differ, and replacing all that lies between the
-    common start and end.
-    """
-    longer = max(len(a), len(b))
-    most = int(longer - least * longer + 1e-9)
-    if abs(len(a) - len(b)) > most:
-        return False
-    words = a.split(" "), b.split(" ")
-    if len(words[0]) == len(words[1]) and sum(max(len(x), len(y)) for x, y in zip(*words) if x != y) <= most:
-        return True
-    return max(map(len, _unlike_middles(a, b))) <= most or edit_distance(a, b, most) <= most
-
-
-def _verified(letters: bool):
-    def run(batches: Batches) -> Batches:
-        """Links of similar lines, as few as join the lines of each bucket that such links join."""
-        for batch in _grouped(batches, "bucket"):
-            keys, pairs, lines = (batch.column(c).to_numpy() for c in ("bucket", "pair", "line_id"))
-            forms = batch.column("form").to_pylist()
-            close = _closeness(batch, pairs, letters)
-            edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
-            links = []
-            for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                label = np.arange(first, last)
-                for i in range(first, last - 1):
-                    near = close(np.array([i]), np.arange(i + 1, last))
-                    for j in (np.flatnonzero(near & (label[i + 1 - first :] != label[i - first])) + i + 1).tolist():
-                        if label[j - first] != label[i - first] and similar(forms[i], forms[j]):
-                            label[label == label[j - first]] = label[i - first]
-                            links.append((lines[i], lines[j]))
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links]) for k in (0, 1)], names=["a", "b"])
-
-    return run
+def _spanning(batches: Batches) -> Batches:
+    """As few links of close lines as join the close lines of each bucket."""
+    for batch in _grouped(batches, "bucket"):
+        keys, lines, bucket, links = batch.column("bucket").to_numpy(), batch.column("line_id").to_numpy(), _Bucket(batch), []
+        edges = _edges(keys)
+        for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            left, right = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+            for i, j in bucket.pairs(first, last):
+                left, right = spanning_links(np.append(left, i - first), np.append(right, j - first), last - first)
+            links.append((lines[left + first], lines[right + first]))
+        yield _pairs(links)
+
+
+def _across(batches: Batches) -> Batches:
+    """All links of close lines that no verified link has joined yet."""
+    for batch in _grouped(batches, "bucket"):
+        keys, lines, bucket, links = batch.column("bucket").to_numpy(), batch.column("line_id").to_numpy(), _Bucket(batch), []
+        joined = batch.column("component").to_numpy()
+        edges = _edges(keys)
+        for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if (joined[first:last] != joined[first]).any():
+                for i, j in bucket.pairs(first, last):
+                    apart = joined[i] != joined[j]
+                    links.append((lines[i[apart]], lines[j[apart]]))
+        yield _pairs(links)
+
+
+def _pairs(links: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    none = np.empty(0, dtype=np.int64)
+    a, b = (np.concatenate([none, *[x[k] for x in links]]) for k in (0, 1))
+    both = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
 def _forms(docs: DataFrame) -> DataFrame:
@@ -325,83 +248,128 @@ def _forms(docs: DataFrame) -> DataFrame:
     return map_batches(docs, run, "line_id long, form string")
 
 
-def _near_links(docs: DataFrame, distinct: DataFrame, tile: int, letters: bool) -> DataFrame:
-    buckets = _band_keys() if letters else _block_keys(F.col("code"))
-    keyed = distinct.select("line_id", "code", "size", F.explode(buckets).alias("bucket"))
+def similar(a: str, b: str, least: float = SIMILARITY) -> Column:
+    """Whether one less the edit distance over the longer length is at least ``least``, for two columns of text."""
+    longer = f"greatest(char_length({a}), char_length({b}))"
+    most = f"cast(floor({longer} - {least} * {longer} + 1e-9) as int)"
+    return F.expr(f"abs(char_length({a}) - char_length({b})) <= {most} and levenshtein({a}, {b}, {most}) >= 0")
+
+
+def _verified(pairs: DataFrame, forms: DataFrame) -> DataFrame:
+    one = forms.select(F.col("line_id").alias("a"), F.col("form").alias("form_a"))
+    two = forms.select(F.col("line_id").alias("b"), F.col("form").alias("form_b"))
+    return pairs.join(one, "a").join(two, "b").filter(similar("form_a", "form_b")).select("a", "b")
+
+
+def near_links(docs: DataFrame, distinct: DataFrame, tile: int, scratch: Scratch) -> DataFrame:
+    """Verified links ``a``, ``b`` between distinct lines, enough to join all lines joined by similar pairs that are close.
+
+    Lines that agree in a block meet. Of the close pairs of a bucket first a spanning set is verified, then all pairs that this has
+    not joined; so a family of n similar lines costs about n verifications in each bucket. A pair is verified once.
+    """
+    keyed = distinct.select("line_id", "size", F.inline(_buckets()))
     sorted_rows = keyed.repartition("bucket").sortWithinPartitions("bucket")
-    by_bucket = "bucket long, pair long, line_id long, code long, size int, large boolean"
-    number_of_pair = lambda batch: batch.column("bucket").to_numpy() >> (32 if letters else 26)
-    found = stored(map_batches(sorted_rows, _members(number_of_pair, tile, letters), by_bucket))
+    by_bucket = "bucket long, line_id long, size int, one long, two long, large boolean"
+    found = scratch.table(map_batches(sorted_rows, _members(tile), by_bucket))
     # A large bucket is cut into tiles by hash, and each two of its tiles are a bucket of their own.
     large = found.filter("large")
-    tiles = stored(large.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles")))
+    tiles = scratch.table(large.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles")))
     part = F.pmod(F.xxhash64("line_id"), F.col("tiles"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
-    dealt = large.join(tiles, "bucket").select("pair", "line_id", "code", "size", "bucket", part.alias("part"), other)
-    two = F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other"))
-    redealt = dealt.select(two.alias("bucket"), "pair", "line_id", "code", "size").repartition("bucket").sortWithinPartitions("bucket")
-    cut = stored(map_batches(redealt, _members(lambda batch: batch.column("pair").to_numpy(), 2 * tile, letters), by_bucket))
-    members = found.filter("not large").union(cut).select("bucket", "pair", "line_id", "code", "size")
-
-    wanted = stored(members.select("line_id").distinct())
+    rest = ["line_id", "size", "one", "two"]
+    dealt = large.join(tiles, "bucket").select(*rest, "bucket", part.alias("part"), other)
+    both = F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other"))
+    redealt = dealt.select(both.alias("bucket"), *rest).repartition("bucket").sortWithinPartitions("bucket")
+    cut = scratch.table(map_batches(redealt, _members(1 << 40), by_bucket))
+    members = found.filter("not large").union(cut).select("bucket", *rest)
+
+    wanted = scratch.table(members.select("line_id").distinct())
     places = distinct.join(wanted, "line_id").select("line_id", "first.id", "first.h", "first.line_no")
-    per_doc = stored(places.groupBy("id", "h").agg(F.collect_list(F.struct("line_no", "line_id")).alias("chosen")))
+    per_doc = scratch.table(places.groupBy("id", "h").agg(F.collect_list(F.struct("line_no", "line_id")).alias("chosen")))
     once = docs.join(per_doc.hint("merge"), ["id", "h"]).select("text", "chosen")
-    forms = _forms(once).dropDuplicates(["line_id"])  # a row listed twice gives its lines twice
-    texts = members.join(forms, "line_id").repartition("bucket").sortWithinPartitions("bucket", "line_id")
-    return map_batches(texts.select("bucket", "pair", "line_id", "code", "size", "form"), _verified(letters), "a long, b long")
+    forms = scratch.table(_forms(once).dropDuplicates(["line_id"]))  # a row listed twice gives its lines twice
+
+    by_key = members.repartition("bucket").sortWithinPartitions("bucket")
+    tried = scratch.table(map_batches(by_key, _spanning, "a long, b long").distinct())
+    sure = scratch.table(_verified(tried, forms))
+    joined = components(sure)
+    named = members.join(joined, members["line_id"] == joined["node"], "left").select(
+        "bucket", *rest, F.coalesce("component", "line_id").alias("component")
+    )
+    apart = map_batches(named.repartition("bucket").sortWithinPartitions("bucket"), _across, "a long, b long").distinct()
+    return scratch.table(sure.union(_verified(apart.join(tried, ["a", "b"], "left_anti"), forms)))
+
 
+def _identified(docs: DataFrame) -> DataFrame:
+    """``id`` and ``h`` of each row, its text, and the whole row as a struct, safe from clashing names."""
+    whole = F.struct(*[F.col(c).alias(f"c{n}") for n, c in enumerate(docs.columns)])
+    identity = F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long")
+    return docs.select(identity.alias("id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("h"), F.col("text"), whole.alias("whole"))
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, tile: int = TILE, letters: bool = False) -> DataFrame:
-    """All documents with one occurrence of each group of alike lines; with ``n_lines`` and ``n_dropped``.
 
-    Lines whose normal forms are equal are alike, and so are lines whose edit similarity is 0.8 or more and that meet:
-    with ``letters`` in one of twelve MinHash bands over letters (README has the recall), else where the SimHashes of
-    their words differ in at most three bits, which loses most changed words. Groups are what such links connect. The occurrence kept is the
-    first by doc_id (null last), hash of the text and line number. Lines of fewer than ``min_words`` words always stay.
-    A document may be left with an empty text. Null texts stay null. A row that repeats both doc_id and text comes back
-    once. Other columns pass through, but for ``n_lines`` and ``n_dropped``, which are replaced.
+def dedup_lines(
+    docs: DataFrame, min_letters: int = MIN_LETTERS, tile: int = TILE, counts: tuple[str, ...] = ("n_lines", "n_dropped")
+) -> DataFrame:
+    """All rows with one occurrence of each group of alike lines; ``counts`` names columns for the lines a text had and lost.
+
+    Lines whose normal forms are equal are alike, and so are lines whose edit similarity is 0.8 or more and whose SimHashes over
+    letters agree in one of twenty blocks and lie within the radius (README has the recall). Groups are what such links
+    connect. The occurrence kept is the first by doc_id (null last), hash of the text and line number. Lines of fewer than ``min_letters``
+    letters in normal form always stay. A document may be left with an empty text. Null texts stay null.
+
+    Every row comes back. Of rows that repeat doc_id and text one keeps its lines, the others lose all that are long enough. Other
+    columns pass through whatever their names, but for those of ``counts``, which are replaced; with no names in it,
+    none is added. An empty table gives an empty table.
     """
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    key = {"__id": F.coalesce("doc_id", F.lit((1 << 63) - 1)), "__h": F.xxhash64("text", F.col("doc_id").isNull())}
-    rows = docs.select(*kept).withColumns(key)
-    texts = rows.select(F.col("__id").alias("id"), F.col("__h").alias("h"), "text")
-    lines = stored(line_hashes(texts, min_words, letters))
+    scratch = Scratch(docs.sparkSession)
+    rows = _identified(docs)
+    texts = rows.select("id", "h", "text")
+    lines = scratch.table(line_hashes(texts, min_letters))
     place = F.struct("id", "h", "line_no")
-    distinct = stored(
+    distinct = scratch.table(
         lines.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), *[F.min(c).alias(c) for c in ("code", "size", *(KEYS if letters else []))], F.count(F.lit(1)).alias("n"))
+        .agg(F.min(place).alias("first"), *[F.min(c).alias(c) for c in ("size", *CODES)], F.count(F.lit(1)).alias("n"))
         .withColumn("line_id", F.monotonically_increasing_id())
     )
-    groups = components(_near_links(texts, distinct, tile, letters))
-    grouped = stored(distinct.join(groups, distinct["line_id"] == groups["node"], "left").select("h1", "h2", "first", "n", "component"))
-    keep = stored(grouped.filter("component is not null").groupBy("component").agg(F.min("first").alias("keep")))
-    alike = stored(
+    groups = components(near_links(texts, distinct, tile, scratch))
+    grouped = scratch.table(
+        distinct.join(groups, distinct["line_id"] == groups["node"], "left").select("h1", "h2", "first", "n", "component")
+    )
+    keep = scratch.table(grouped.filter("component is not null").groupBy("component").agg(F.min("first").alias("keep")))
+    alike = scratch.table(
         grouped.filter("n > 1 or component is not null")
         .join(keep, "component", "left")
         .select("h1", "h2", F.coalesce("keep", "first").alias("keep"))
     )
-    dropped = lines.join(alike, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("keep")))
-    per_doc = stored(
-        dropped.groupBy(F.col("id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_set("line_no").alias("__drop"))
-    )
+    kept = Scratch(docs.sparkSession)
+    listed = F.collect_set("line_no").alias("lost")
+    dropped = lines.select("id", "h", "line_no", "h1", "h2").join(alike, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("keep")))
+    per_doc = kept.table(dropped.groupBy("id", "h").agg(listed))
+    # Rows that repeat doc_id and text, told apart by numbers of their own.
+    repeated = kept.table(texts.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", "h"))
+    every = kept.table(lines.join(repeated, ["id", "h"], "left_semi").groupBy("id", "h").agg(listed))
+    again = kept.table(rows.join(repeated, ["id", "h"], "left_semi").withColumn("row", F.monotonically_increasing_id()))
+    first = kept.table(again.groupBy("id", "h").agg(F.min("row").alias("row")).select("row"))
+    scratch.clear()
+    single = rows.join(repeated, ["id", "h"], "left_anti").union(again.join(first, "row", "left_semi").drop("row"))
+    copies = again.join(first, "row", "left_anti").drop("row")
+    cut = single.join(per_doc.hint("merge"), ["id", "h"], "left").union(copies.join(every, ["id", "h"], "left"))
 
     split = F.split("text", "\n", -1)
     left = F.transform(
-        F.array(F.struct(split.alias("lines"), F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "__drop").alias("at"))),
+        F.array(F.struct(split.alias("lines"), F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "lost").alias("at"))),
         lambda x: F.array_join(F.transform(x["at"], lambda i: F.get(x["lines"], i)), "\n"),
     )[0]
-    repeats = Window.partitionBy("__id", "__h").orderBy(F.lit(0))
-    once = rows.join(per_doc.hint("merge"), ["__id", "__h"], "left").withColumn("__n", F.row_number().over(repeats)).filter("__n = 1")
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(left).alias("text")
-    return once.select(
-        *[text if c == "text" else F.col(c) for c in kept],
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(split)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"),
+    text = F.when(F.col("lost").isNull(), F.col("text")).otherwise(left)
+    measured = (
+        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(split)).cast("long"),
+        F.coalesce(F.size("lost"), F.lit(0)).cast("long"),
     )
+    own = [(text if c == "text" else F.col(f"whole.c{n}")).alias(c) for n, c in enumerate(docs.columns) if c not in counts]
+    return cut.select(*own, *[c.alias(name) for c, name in zip(measured, counts)])
 
 
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the lines it keeps."""
-    kept = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), letters=True)
+    kept = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", "text")
