@@ -14,7 +14,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with one occurrence of each group of alike lines; ``n_chars`` follows the text."""
-    cut = line_dedup.dedup_lines(docs, letters=True).select(*docs.columns)
+    cut = line_dedup.dedup_lines(docs, counts=())
     return cut.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
