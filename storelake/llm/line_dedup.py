@@ -16,10 +16,11 @@ from storelake.llm.workers import Batches, map_batches
 
 MIN_LETTERS = 16  # of a normal form; shorter lines stay
 SIMILARITY = 0.8
-GRAM = 4  # letters
+GRAM = 5  # letters
 WORDS, PER_WORD, BLOCK_BITS = 4, 5, 12  # a SimHash is four words of 64 bits, each with five blocks of twelve
 # Largest share of differing bits that is worth a verification: longer lines have more in common by chance.
-RADII = ((100, 0.28), (250, 0.25), (None, 0.20))  # (up to this many letters, share)
+RADII = ((175, 0.28), (250, 0.26), (400, 0.24), (700, 0.20), (None, 0.16))  # (up to this many letters, share)
+ROOM = 0.03  # more than that share may differ in the two words that travel with a block
 TILE = 2048  # lines of one bucket compared with each other at once
 SLICE = 1024  # documents cut into lines at a time
 
@@ -127,9 +128,12 @@ def _grouped(batches: Batches, key: str, most: int | None = None) -> Iterator[pa
 
 
 def radius(size: np.ndarray) -> np.ndarray:
-    """Differing bits of two words (128 bits) that are worth a verification, by the letters of the longer line."""
+    """Differing bits of two words (128 bits) that are worth a look at all four, by the letters of the longer line."""
     bounds = [up_to for up_to, _ in RADII[:-1]]
-    return np.array([int(128 * share) for _, share in RADII])[np.searchsorted(bounds, size, side="left")]
+    return np.array([int(128 * (share + ROOM)) for _, share in RADII])[np.searchsorted(bounds, size, side="left")]
+
+
+_FIRST = int(64 * (RADII[0][1] + 4 * ROOM))  # bits of one word alone: a first look at most of the pairs of a bucket
 
 
 class _Bucket:
@@ -159,10 +163,12 @@ class _Bucket:
             # Sorted by length: what is too long for the longest of these is too long for all.
             end = np.searchsorted(ordered, ordered[min(at + 511, len(order) - 1)] / SIMILARITY + 1e-6, side="right")
             others = order[at:end]
-            i, j = np.nonzero(self.near(own[:, None], others[None, :]))
-            forward = i < j
-            if forward.any():
-                yield own[i[forward]], others[j[forward]]
+            differ = np.bitwise_count((self.one[own][:, None] ^ self.one[others][None, :]).view(np.uint64))
+            i, j = np.nonzero(differ <= _FIRST)
+            i, j = i[i < j], j[i < j]
+            close = self.near(own[i], others[j])
+            if close.any():
+                yield own[i[close]], others[j[close]]
 
 
 def _edges(keys: np.ndarray) -> np.ndarray:
@@ -249,10 +255,29 @@ def _forms(docs: DataFrame) -> DataFrame:
 
 
 def similar(a: str, b: str, least: float = SIMILARITY) -> Column:
-    """Whether one less the edit distance over the longer length is at least ``least``, for two columns of text."""
+    """Whether one less the edit distance over the longer length is at least ``least``, for two columns of text.
+
+    Exchanging the words that differ bounds the distance from above, which settles most pairs that are similar.
+    """
     longer = f"greatest(char_length({a}), char_length({b}))"
     most = f"cast(floor({longer} - {least} * {longer} + 1e-9) as int)"
-    return F.expr(f"abs(char_length({a}) - char_length({b})) <= {most} and levenshtein({a}, {b}, {most}) >= 0")
+    words = f"split({a}, ' '), split({b}, ' ')"
+    cost = f"zip_with({words}, (x, y) -> if(x = y, 0, greatest(char_length(x), char_length(y))))"
+    exchanged = f"coalesce(aggregate({cost}, 0, (s, x) -> s + x), {most} + 1) <= {most}"  # null: not as many words
+    return F.expr(
+        f"abs(char_length({a}) - char_length({b})) <= {most} and ({exchanged} or levenshtein({a}, {b}, {most}) >= 0)"
+    )
+
+
+def _close_codes(pairs: DataFrame, coded: DataFrame) -> DataFrame:
+    """The pairs whose whole SimHashes lie within the radius."""
+    one, two = (coded.select(F.col("line_id").alias(n), *[F.col(c).alias(f"{c}{n}") for c in ("size", *CODES)]) for n in "ab")
+    longer = F.greatest("sizea", "sizeb")
+    share = F.lit(RADII[-1][1])
+    for up_to, own in reversed(RADII[:-1]):
+        share = F.when(longer <= up_to, own).otherwise(share)
+    differ = sum((F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in CODES), F.lit(0))
+    return pairs.join(one, "a").join(two, "b").filter(differ <= F.floor(share * (64 * WORDS))).select("a", "b")
 
 
 def _verified(pairs: DataFrame, forms: DataFrame) -> DataFrame:
@@ -264,12 +289,14 @@ def _verified(pairs: DataFrame, forms: DataFrame) -> DataFrame:
 def near_links(docs: DataFrame, distinct: DataFrame, tile: int, scratch: Scratch) -> DataFrame:
     """Verified links ``a``, ``b`` between distinct lines, enough to join all lines joined by similar pairs that are close.
 
-    Lines that agree in a block meet. Of the close pairs of a bucket first a spanning set is verified, then all pairs that this has
-    not joined; so a family of n similar lines costs about n verifications in each bucket. A pair is verified once.
+    Lines that agree in a block meet. In the blocks of the first word a spanning set of the close pairs of each bucket is verified
+    first, then all close pairs of any bucket that this has not joined; so a family of n similar lines costs a few n
+    verifications. A pair is verified once.
     """
     keyed = distinct.select("line_id", "size", F.inline(_buckets()))
     sorted_rows = keyed.repartition("bucket").sortWithinPartitions("bucket")
     by_bucket = "bucket long, line_id long, size int, one long, two long, large boolean"
+    in_first = (F.col("bucket") < (PER_WORD << BLOCK_BITS)).alias("in_first")
     found = scratch.table(map_batches(sorted_rows, _members(tile), by_bucket))
     # A large bucket is cut into tiles by hash, and each two of its tiles are a bucket of their own.
     large = found.filter("large")
@@ -278,10 +305,12 @@ def near_links(docs: DataFrame, distinct: DataFrame, tile: int, scratch: Scratch
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
     rest = ["line_id", "size", "one", "two"]
     dealt = large.join(tiles, "bucket").select(*rest, "bucket", part.alias("part"), other)
-    both = F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other"))
+    # Buckets of two tiles: negative for blocks of the first word, very large for others.
+    mixed = F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other")).bitwiseAND(F.lit((1 << 62) - 1))
+    both = F.when(in_first, -1 - mixed).otherwise(mixed.bitwiseOR(F.lit(1 << 62)))
     redealt = dealt.select(both.alias("bucket"), *rest).repartition("bucket").sortWithinPartitions("bucket")
     cut = scratch.table(map_batches(redealt, _members(1 << 40), by_bucket))
-    members = found.filter("not large").union(cut).select("bucket", *rest)
+    members = found.filter("not large").union(cut).select("bucket", *rest, in_first)
 
     wanted = scratch.table(members.select("line_id").distinct())
     places = distinct.join(wanted, "line_id").select("line_id", "first.id", "first.h", "first.line_no")
@@ -289,15 +318,17 @@ def near_links(docs: DataFrame, distinct: DataFrame, tile: int, scratch: Scratch
     once = docs.join(per_doc.hint("merge"), ["id", "h"]).select("text", "chosen")
     forms = scratch.table(_forms(once).dropDuplicates(["line_id"]))  # a row listed twice gives its lines twice
 
-    by_key = members.repartition("bucket").sortWithinPartitions("bucket")
-    tried = scratch.table(map_batches(by_key, _spanning, "a long, b long").distinct())
+    coded = scratch.table(distinct.join(wanted, "line_id").select("line_id", "size", *CODES))
+    first = members.filter("in_first").repartition("bucket").sortWithinPartitions("bucket")
+    tried = scratch.table(_close_codes(map_batches(first.drop("in_first"), _spanning, "a long, b long").distinct(), coded))
     sure = scratch.table(_verified(tried, forms))
     joined = components(sure)
     named = members.join(joined, members["line_id"] == joined["node"], "left").select(
         "bucket", *rest, F.coalesce("component", "line_id").alias("component")
     )
     apart = map_batches(named.repartition("bucket").sortWithinPartitions("bucket"), _across, "a long, b long").distinct()
-    return scratch.table(sure.union(_verified(apart.join(tried, ["a", "b"], "left_anti"), forms)))
+    left = scratch.table(_close_codes(apart, coded).join(tried, ["a", "b"], "left_anti"))
+    return scratch.table(sure.union(_verified(left, forms)))
 
 
 def _identified(docs: DataFrame) -> DataFrame:
