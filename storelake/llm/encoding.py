@@ -14,15 +14,16 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _LETTERS = "A-Za-zß-öø-ÿ"  # Latin letters that no normalisation but that of A-Z changes
 
 # Where a text can be cut without changing its ids, by the kind of pre-tokenizer. A run of letters ends before a
-# comma or full stop, so such a run is cut off, which leaves fewer distinct chunks.
+# comma or full stop, so such a run is cut off, which leaves fewer distinct chunks to encode.
 CHUNKS = {
-    # White space is dropped and always ends a word.
-    "word": re.compile(rf"[{_LETTERS}]+(?=[.,](?:[\t-\r ]|\Z))|[^\t-\r ]+"),
+    # White space is dropped and always ends a word; texts are split as bytes, at ASCII white space.
+    "word": None,
     # A word takes one space before it along; of a longer run of white space the last one stays with the word.
     "byte": re.compile(
         rf" ?[{_LETTERS}]+(?=[.,](?:[\t-\r ]|\Z))| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
     ),
 }
+_STOPPED = re.compile(rf"[{_LETTERS}]+[.,]")
 _PLAIN = re.compile(rf" ?[{_LETTERS}]+")
 
 # Byte-level vocabularies write a byte as a printable character: itself, or else the next one from 256 on.
@@ -38,9 +39,11 @@ class _Known(dict):
     def __init__(self, learn):
         self.learn = learn
 
-    def __missing__(self, chunk: str) -> int:
+    def __missing__(self, chunk: str | bytes) -> int:
+        ids = self.learn(chunk)  # may learn parts of it first
         self[chunk] = number = len(self)
-        self.learn(chunk)
+        self.new_ids += ids
+        self.new_ends.append(len(self.new_ids))
         return number
 
 
@@ -63,28 +66,44 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known = _Known(self._learn)
-        self.new_ids: list[int] = []
-        self.new_ends: list[int] = []
+        self.known.new_ids, self.known.new_ends = [], []
+        self.stems: dict[str, list[int]] = {}
         self.flat, self.ends = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
-    def _learn(self, chunk: str) -> None:
+    def _learn(self, chunk: str | bytes) -> list[int]:
+        if isinstance(chunk, bytes):
+            chunk = chunk.decode()
+            if _STOPPED.fullmatch(chunk):
+                return self._stem(chunk[:-1]) + self._stem(chunk[-1])
+        return self._ids(chunk)
+
+    def _stem(self, chunk: str) -> list[int]:
+        """Ids of a chunk that other chunks begin or end with."""
+        own = self.known.get(chunk.encode())
+        if own is not None and own + 1 < len(self.ends):
+            return self.flat[self.ends[own] : self.ends[own + 1]].tolist()
+        if chunk not in self.stems:
+            self.stems[chunk] = self._ids(chunk)
+        return self.stems[chunk]
+
+    def _ids(self, chunk: str) -> list[int]:
         if _PLAIN.fullmatch(chunk):
             word = chunk.encode().decode("latin-1").translate(_AS_LETTERS)
-            self.new_ids += [token.id for token in self.model.tokenize(word)]
-        else:
-            self.new_ids += self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        self.new_ends.append(len(self.new_ids))
+            return [token.id for token in self.model.tokenize(word)]
+        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
 
     def _keep_new(self) -> None:
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.array(self.new_ends, dtype=np.int64)])
-        self.flat = np.concatenate([self.flat, np.array(self.new_ids, dtype=np.int32)])
-        self.new_ids, self.new_ends = [], []
+        known = self.known
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.array(known.new_ends, dtype=np.int64)])
+        self.flat = np.concatenate([self.flat, np.array(known.new_ids, dtype=np.int32)])
+        known.new_ids, known.new_ends = [], []
+        self.stems = {}
 
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids (int32) of the texts in order, each text closed by ``end_id``, and where each text begins."""
         plain = ["" if t is None or any(s in t for s in self.special) else t for t in texts]
         if self.lower:  # only A-Z: what else the tokenizer lower-cases it does itself
-            split = [self.chunks.findall(t.encode().lower().decode()) for t in plain]
+            split = [t.encode().lower().split() for t in plain]
         else:
             split = [self.chunks.findall(t) for t in plain]
         if len(self.known) > MAX_CHUNKS:

@@ -5,7 +5,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelake.llm.components import components, spanning_links
@@ -172,8 +172,8 @@ def one_of_each(
     place = F.struct("__i", "__h")
     best = stored(found.groupBy("class").agg(F.min(place).alias("best")).select("best.__h", "best.__i"))
     kept = rows.join(best, ["__h", "__i"], "left_semi")
-    repeats = Window.partitionBy("__h", "__i").orderBy(F.lit(0))
-    return kept.withColumn("__n", F.row_number().over(repeats)).filter("__n = 1").select(*columns)
+    one = F.first(F.struct(*columns)).alias("__row")  # of equal rows, combined before the shuffle
+    return kept.groupBy("__h", "__i").agg(one).select("__row.*")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

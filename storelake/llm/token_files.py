@@ -58,10 +58,10 @@ def write_tokens(docs: DataFrame, path: str, name: str = "word_bpe_49k.json", ki
                 )
                 before += int(starts[-1])
 
-    source = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    ordered = source.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "h"
-    )
+    # Rows that repeat an id can be dealt over several ranges; equal ones are told apart by a number of their own.
+    place = (F.col("doc_id").asc_nulls_first(), F.col("h").asc(), F.col("salt").asc())
+    source = docs.select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("salt"))
+    ordered = source.repartitionByRange(*place).sortWithinPartitions(*place)
     schema = "doc_id long, part int, first long, n_tokens long, ids array<int>"
     map_batches(ordered.select("doc_id", "text"), run, schema).write.options(**LAYOUT).parquet(path)
 

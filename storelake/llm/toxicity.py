@@ -160,14 +160,17 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = MAX_TOXIC, most_clean: int = MAX_CLEAN) -> Scorer | None:
     """A scorer learnt on the driver from a bounded sample: at most ``most_toxic`` and ``most_clean`` labelled documents.
 
-    Ids with several labels count as toxic if one of them says so; null labels say nothing. None if either kind is missing.
+    Ids with several labels count as toxic if one of them says so; null labels say nothing. Of rows that repeat an id the text with
+    the smallest hash is learnt from. None if either kind is missing.
     """
     told = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     learnt = told.filter(~held_out(F.col("doc_id")))
     order = F.xxhash64("doc_id"), "doc_id"
     toxic = learnt.filter("toxic > 0").orderBy(*order).limit(most_toxic)
     clean = learnt.filter("toxic <= 0").orderBy(*order).limit(most_clean)
-    rows = docs.select("doc_id", "text").join(toxic.union(clean), "doc_id").select("doc_id", "text", "toxic").toPandas()
+    chosen = docs.select("doc_id", "text").join(toxic.union(clean), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic")).alias("one")  # of rows that repeat an id
+    rows = chosen.groupBy("doc_id").agg(one).select("doc_id", "one.text", "one.toxic").toPandas()
     rows = rows[rows["text"].fillna("").str.strip() != ""].sort_values(["doc_id", "text"])
     truth = (rows["toxic"] > 0).to_numpy().astype(int)
     return train(rows["text"].tolist(), truth) if 0 < truth.sum() < len(truth) else None

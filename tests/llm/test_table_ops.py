@@ -67,6 +67,19 @@ def test_token_files_round_trip(spark, tmp_path):
     assert token_files.read_starts(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_tokens_of_a_hot_id_are_dealt_over_tasks(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = [(7 if k % 2 else k, "the same words" if k % 4 == 1 else prose(k % 50, 20), "a") for k in range(4000)]
+    path = str(tmp_path / "tokens")
+    token_files.write_tokens(documents(spark, rows).repartition(8), path)
+    read = token_files.read_tokens(spark, path)
+    sizes = [r[1] for r in read.groupBy("part").agg(F.count(F.lit(1))).collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 1000
+    starts = token_files.read_starts(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in starts] == sorted(i for i, _, _ in rows)
+    assert [r.start for r in starts] == [0, *np.cumsum([r.n_tokens for r in starts])[:-1].tolist()]
+
+
 @pytest.mark.parametrize("rows_per_task", [7, 100_000])
 def test_packing_is_whole_and_tight(spark, rows_per_task):
     draw = random.Random(2)
@@ -294,6 +307,31 @@ def test_pipeline_of_awkward_documents(spark):
     assert empty.count() == 0
 
 
+def test_stages_leave_other_columns_alone(spark):
+    import corpus_pipeline
+
+    good = [(k, "\n".join([prose(k, 60), f"line number {k} that is all alone", prose(k + 500, 60)]), f"s{k % 2}") for k in range(60)]
+    names = ["kept", "measures", "failed", "base_failed", "n_lines", "n_dropped", "whole", "id", "h", "row", "copies", "turn", "fp",
+             "class", "component_id", "size", "target", "__h", "__i", "__n", "__row", "__copy"]
+    docs = documents(spark, good).select("doc_id", "text", "lang", "source", "n_chars").withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, SMALL)
+        assert found.columns == docs.columns, name
+        rows = found.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names), name
+        docs = spark.createDataFrame(rows, docs.schema)
+
+
+def test_one_row_of_a_labelled_id_reaches_the_driver(spark, monkeypatch):
+    rows = [(1, f"{prose(1, 30)} {n}", "a") for n in range(1000)] + [(k, prose(k, 30), "a") for k in range(2, 40)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 40)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, truth: seen.append((texts, truth)))
+    toxicity.fit(documents(spark, rows), labels)
+    ((texts, truth),) = seen
+    assert len(texts) == len(truth) <= 39 and len(set(texts)) == len(texts)
+
+
 @pytest.mark.parametrize("name", ["op7_quality", "op9_chat", "op11_negatives", "op13_contamination"])
 def test_queries_match_their_sql(spark, name):
     from oracle_check import compare, connect
