@@ -35,6 +35,16 @@ def test_chunks_give_the_ids_of_the_tokenizer(name, kind):
         assert ids[starts[1] : starts[2]].tolist() == [7]
 
 
+@pytest.mark.parametrize("name, kind", [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
+def test_ids_stay_right_when_tables_are_full(monkeypatch, name, kind):
+    monkeypatch.setattr(encoding, "MAX_CHUNKS", 60)
+    own, draw = encoding.Encoder(encoding.vocabulary(name), kind), random.Random(4)
+    for k in range(200):
+        text = " ".join(draw.choice(["one", "two,", "three.", f"x{draw.randrange(90)}", f"y{k},"]) for _ in range(20))
+        ids, _ = own.encode([text], 7)
+        assert ids.tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids + [7]
+
+
 def encoded(name, text, end):
     from tokenizers import Tokenizer
 
