@@ -30,7 +30,7 @@ _PLAIN = re.compile(rf" ?[{_LETTERS}]+")
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _AS_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
-MAX_CHUNKS = 690_000  # distinct chunks remembered by a worker, in two tables of half as many; with more, a table doubles
+MAX_CHUNKS = 690_000  # distinct chunks remembered by a worker before it starts anew; with more, its table doubles
 
 
 class _Known(dict):
@@ -62,23 +62,15 @@ class Encoder:
         self.chunks, self.lower = CHUNKS[kind], kind == "word"
         tokens = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = sorted({token[:2] for token in tokens})
-        self.old: tuple[dict, np.ndarray, np.ndarray] = {}, np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
-        self._begin()
+        self._forget()
 
-    def _begin(self) -> None:
-        """A new table of chunks; what is still in use is taken over from the one before, which is kept until the next."""
-        if hasattr(self, "known"):
-            self.old = self.known, self.flat, self.ends
+    def _forget(self) -> None:
         self.known = _Known(self._learn)
         self.known.new_ids, self.known.new_ends = [], []
         self.stems: dict[str, list[int]] = {}
         self.flat, self.ends = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
     def _learn(self, chunk: str | bytes) -> list[int]:
-        known, flat, ends = self.old
-        number = known.get(chunk)
-        if number is not None:
-            return flat[ends[number] : ends[number + 1]].tolist()
         if isinstance(chunk, bytes):
             chunk = chunk.decode()
             if _STOPPED.fullmatch(chunk):
@@ -114,8 +106,8 @@ class Encoder:
             split = [t.encode().lower().split() for t in plain]
         else:
             split = [self.chunks.findall(t) for t in plain]
-        if len(self.known) > MAX_CHUNKS // 2:
-            self._begin()
+        if len(self.known) > MAX_CHUNKS:
+            self._forget()
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         index = np.fromiter(
             map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum())
