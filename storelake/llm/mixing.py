@@ -11,7 +11,7 @@ MOST = 3.0  # times that a document, and so a source, may be taken
 TOLERANCE = 1e-7
 MAX_STEPS = 60  # bisection alone reaches the tolerance within these
 UNITS = 1 << 20  # rates are rounded to these parts, so that their sums are exact in any order
-SPREAD = 32  # parts that documents of about one size are dealt over
+PART_ROWS = 1 << 18  # groups of equal rows whose running sum one task takes
 BINS_PER_OCTAVE = 8
 
 
@@ -97,19 +97,59 @@ def tilts(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
     return state
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, text: str = "text", source: str = "source") -> DataFrame:
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows (``__h``, ``__id``) with a number from 0 among those of one hash, dealt over the tasks that wrote them.
+
+    A task numbers its own rows of a hash, and the counts of the tasks before it are added.
+    """
+    dealt = rows.withColumn("__task", F.shiftrightunsigned("__id", 33))
+    earlier = Window.partitionBy("__h").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("__h", "__task").agg(F.count(F.lit(1)).alias("__rows"))
+    before = stored(counts.select("__h", "__task", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before")))
+    own = F.row_number().over(Window.partitionBy("__h", "__task").orderBy("__id")) - 1
+    placed = dealt.withColumn("__own", own).join(before, ["__h", "__task"])
+    return placed.withColumn("__number", F.col("__before") + F.col("__own")).drop("__task", "__own", "__before")
+
+
+def _running_units(groups: DataFrame, part_rows: int) -> DataFrame:
+    """``__begin``, the units before each group of equal rows (``__n`` of ``__units`` each), by source, size and hash.
+
+    Sums run within narrow cells of size, each dealt by hash over as many parts as its groups need, and over the parts of
+    a source, of which there is one for each ``part_rows`` groups and one more for each cell.
+    """
+    cell = F.floor(F.log2(F.greatest(F.col("size"), F.lit(1)).cast("double")) * BINS_PER_OCTAVE)
+    celled = groups.withColumn("__cell", cell)
+    counts = celled.groupBy(F.col("__source").alias("__s1"), F.col("__cell").alias("__c1"))
+    parts = stored(counts.agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("__parts")))
+    same = F.col("__source").eqNullSafe(F.col("__s1")) & (F.col("__cell") == F.col("__c1"))
+    dealt = celled.join(parts, same).drop("__s1", "__c1").withColumn("__part", F.pmod("__h", "__parts"))
+    total = F.sum(F.col("__units") * F.col("__n"))
+    earlier = Window.partitionBy("__s2").orderBy("__c2", "__p2").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy(F.col("__source").alias("__s2"), F.col("__cell").alias("__c2"), F.col("__part").alias("__p2"))
+    begins = stored(
+        sums.agg(total.alias("__sum")).select("__s2", "__c2", "__p2", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__first"))
+    )
+    at = F.col("__source").eqNullSafe(F.col("__s2")) & (F.col("__cell") == F.col("__c2")) & (F.col("__part") == F.col("__p2"))
+    within = Window.partitionBy("__source", "__cell", "__part").orderBy("size", "__h").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(total.over(within), F.lit(0))
+    return dealt.join(begins, at).withColumn("__begin", F.col("__first") + inside)
+
+
+def mix(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, text: str = "text", source: str = "source", part_rows: int = PART_ROWS
+) -> DataFrame:
     """All rows without their text, with ``size``, ``source_size``, ``target`` and ``copies``.
 
     Copies follow the rates: with the documents of a source in the order of their size, a document gets as many copies
     as whole numbers are passed by the running sum of rates, so that what rounding takes from one it gives to the next
-    of about that size. Running sums are taken within narrow cells of size, dealt over parts by hash, and over the cells
-    of a source, whose number does not grow with its documents. All sums are of whole numbers or decimals, so that
-    reruns agree. Null texts, and texts without words, have size 0 and no copies; null sources are a source;
-    equal rows are told apart by the running sum only. Input columns of these names are replaced.
+    of about that size. Equal rows are one entry of that sum, and each finds its place in it by a number among them, so
+    neither a large cell of sizes nor a large group of equal rows meets in one task. All sums are of whole numbers or
+    decimals, so that reruns agree. Null texts, and texts without words, have size 0 and no copies; null sources are a
+    source. Input columns of these names are replaced.
     """
     kept = [c for c in docs.columns if c not in (text, "size", "source_size", "target", "copies")]
     sized = docs.withColumn("size", word_count(F.col(text))).select(*kept, "size", F.xxhash64(*sorted(kept), text).alias("__h"))
-    rows = stored(sized.withColumn("__source", F.col(source)))
+    rows = stored(sized.withColumns({"__source": F.col(source), "__id": F.monotonically_increasing_id()}))
     sizes = stored(rows.groupBy(F.col("__source").alias("source"), "size").agg(F.count(F.lit(1)).alias("n")))
     totals = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     wanted = stored(targets(totals, weights))
@@ -121,24 +161,20 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, text: str = "text
     )
     rate = F.when(F.col("full"), F.lit(MOST)).otherwise(_rate(F.col("tilt"), F.col("size"), F.col("scale")))
     units = F.when(F.col("size") > 0, F.coalesce(F.round(rate * UNITS), F.lit(0.0))).otherwise(F.lit(0.0)).cast("long")
-    cell = F.floor(F.log2(F.greatest(F.col("size"), F.lit(1)).cast("double")) * BINS_PER_OCTAVE)
-    rated = rows.join(per_source, F.col("__source").eqNullSafe(F.col("__s"))).withColumns(
-        {"__units": units, "__cell": cell, "__part": F.pmod("__h", F.lit(SPREAD))}
-    )
-    cells = rated.groupBy("__source", "__cell", "__part").agg(F.sum("__units").alias("__sum"))
-    earlier = Window.partitionBy("__source").orderBy("__cell", "__part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = stored(
-        cells.select(
-            F.col("__source").alias("__s2"), F.col("__cell").alias("__c2"), F.col("__part").alias("__p2"),
-            F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__begin"),
+    groups = rows.groupBy("__source", "size", "__h").agg(F.count(F.lit(1)).alias("__n"))
+    rated = stored(groups.join(per_source, F.col("__source").eqNullSafe(F.col("__s"))).withColumn("__units", units))
+    begun = stored(
+        _running_units(rated, part_rows).select(
+            F.col("__source").alias("__s3"), F.col("size").alias("__size3"), F.col("__h").alias("__h3"),
+            "source_size", "target", "__units", "__begin",
         )
     )
-    at = F.col("__source").eqNullSafe(F.col("__s2")) & (F.col("__cell") == F.col("__c2")) & (F.col("__part") == F.col("__p2"))
-    within = Window.partitionBy("__source", "__cell", "__part").orderBy("size", "__h").rowsBetween(Window.unboundedPreceding, 0)
-    running = rated.join(begins, at).withColumn("__end", F.col("__begin") + F.sum("__units").over(within))
+    same = (F.col("__h") == F.col("__h3")) & (F.col("size") == F.col("__size3")) & F.col("__source").eqNullSafe(F.col("__s3"))
+    begin = F.col("__begin") + F.col("__number") * F.col("__units")
     passed = lambda x: F.floor((x + UNITS // 2) / UNITS)
-    copies = F.least(F.lit(int(MOST)), passed(F.col("__end")) - passed(F.col("__end") - F.col("__units")))
-    return running.select(*kept, "size", "source_size", "target", copies.cast("int").alias("copies"))
+    copies = F.least(F.lit(int(MOST)), passed(begin + F.col("__units")) - passed(begin))
+    placed = _numbered(rows).join(begun, same)
+    return placed.select(*kept, "size", "source_size", "target", copies.cast("int").alias("copies"))
 
 
 def mix_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:

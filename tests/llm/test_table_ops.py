@@ -170,6 +170,43 @@ def test_mix_meets_its_targets(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_mix_of_equal_rows_is_dealt_over_tasks(spark):
+    rows = [(1, prose(1, 40), "s1")] * 2000 + [(k, prose(k, 3 + k % 90), "s2" if k % 3 else None) for k in range(1500)]
+    docs = documents(spark, rows).repartition(8)
+    found = mixing.mix(docs, part_rows=60).select("doc_id", "source", "size", "source_size", "target", "copies").toPandas()
+    assert len(found) == len(rows) and found["copies"].between(0, 3).all()
+    equal = found[(found["doc_id"] == 1) & (found["source"] == "s1")]
+    assert len(equal) == 2000 and equal["copies"].max() - equal["copies"].min() <= 1  # one rate, carried over
+    for _, own in found.groupby("source", dropna=False):
+        assert (own["copies"] * own["size"]).sum() == pytest.approx(own["target"].iloc[0], rel=0.02)
+    numbered = mixing._numbered(docs.select(F.xxhash64("text").alias("__h"), F.monotonically_increasing_id().alias("__id")))
+    numbers = numbered.groupBy("__h").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("__number").alias("d"), F.max("__number").alias("m"))
+    assert all(r.n == r.d == r.m + 1 for r in numbers.collect())
+    plain = mixing.mix(docs).select("doc_id", "source", "size", "copies").toPandas()
+    for _, own in plain.groupby("source", dropna=False):
+        at = found.loc[found["source"].isna() if own["source"].isna().all() else found["source"] == own["source"].iloc[0]]
+        assert (own["copies"] * own["size"]).sum() == pytest.approx((at["copies"] * at["size"]).sum(), rel=0.02)
+
+
+def test_tilts_match_bisection(spark):
+    draw = np.random.default_rng(5)
+    sizes = {"s": draw.integers(1, 400, 300), "t": draw.integers(1, 40, 200), None: np.array([7])}
+    table = [(s, int(x), 1 + k % 4) for s, own in sizes.items() for k, x in enumerate(own)]
+    wanted = {"s": 0.4, "t": 2.2, None: 1.7}
+    total = {s: sum(x * n for o, x, n in table if o == s) for s in sizes}
+    histogram = spark.createDataFrame(table, "source string, size long, n long")
+    asked = spark.createDataFrame([(s, total[s], wanted[s] * total[s]) for s in sizes], "source string, source_size long, target double")
+    for row in mixing.tilts(histogram, asked).collect():
+        size, n = (np.array([r[k] for r in table if r[0] == row.source], dtype=float) for k in (1, 2))
+        mean = (size * n).sum() / n.sum()
+        mixed = lambda t: (n * size * np.minimum(3.0, np.exp(np.minimum(50.0, t * size / mean)))).sum()  # noqa: E731, B023
+        low, high = -60.0, 60.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (low, middle) if mixed(middle) > wanted[row.source] * total[row.source] else (middle, high)
+        assert row.scale == pytest.approx(mean) and row.tilt == pytest.approx(low, rel=1e-4, abs=1e-5)
+
+
 def test_network_gradients():
     network, draw = Network.fresh(5, 1, 4, np.float64), np.random.default_rng(0)
     inputs, mask, truth = draw.normal(size=(3, 6, 5)), np.ones((3, 6)), np.array([1.0, 0, 1])
