@@ -1,6 +1,7 @@
 """Approximate nearest neighbours: multi-index hashing over learned rotated binary codes, reranked on the vectors."""
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ ITERATIONS = 20
 COVER = 0.985  # share of true neighbours within the sample that the radius must reach
 SHARD = 2048  # vectors of one part of the index
 BLOCK = 1024  # queries sent to a part at once
-_POP = np.array([bin(v).count("1") for v in range(256)], dtype=np.uint8)
+AT_ONCE = 128  # queries that probe together
 
 
 @dataclass(frozen=True)
@@ -54,31 +55,95 @@ def fit(sample: np.ndarray, k: int = 10, rotations: int = ROTATIONS, cover: floa
         far = ((sample - sample[q]) ** 2).sum(axis=1)
         far[q] = np.inf
         near = np.argsort(far)[: min(k, len(sample) - 1)]
-        reach += _POP[codes[near] ^ codes[q]].sum(axis=1).tolist()
+        reach += np.bitwise_count(codes[near] ^ codes[q]).sum(axis=1).tolist()
     radius = int(np.ceil(np.quantile(reach, cover))) if reach else 8 * codes.shape[1]
     return Coder(mean, coder.rotation, radius)
 
 
-def within_radius(queries: np.ndarray, codes: np.ndarray, radius: int) -> np.ndarray:
-    """Which codes lie within the radius of which queries, by the pigeonhole rule over byte-wide substrings.
-
-    Two codes within ``radius`` bits agree up to ``radius // m`` bits in one of the first substrings, or up to one less in
-    one of the others. Each substring's table is probed with all its values so near to the query's, and what
-    is found is held against the radius in full.
-    """
-    parts = codes.shape[1]
-    share, rest = divmod(radius, parts)
-    found = np.zeros((len(queries), len(codes)), dtype=bool)
-    values = np.arange(256, dtype=np.uint8)
-    for part in range(parts):
-        bits = share if part <= rest else share - 1
-        if bits >= 0:
-            probes = _POP[queries[:, part, None] ^ values] <= bits
-            found |= probes[:, codes[:, part]]
-    for row in range(len(queries)):
-        at = np.flatnonzero(found[row])
-        found[row, at] = _POP[codes[at] ^ queries[row]].sum(axis=1) <= radius
-    return found
+class SubstringTables:
+    """Codes with a table for each substring of 16 bits: the values that occur, in order, and the codes that hold each."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = codes
+        self.words = _substrings(codes)
+        self.tables = []
+        for values in self.words.T:
+            order = np.argsort(values, kind="stable")
+            present, starts = np.unique(values[order], return_index=True)
+            self.tables.append((present, np.append(starts, len(order)), order))
+
+    def _probe(self, table: int, asked: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Queries and codes whose substrings differ in ``least`` to ``most`` bits, from one table.
+
+        Where there are fewer values so near than values in the table, each is looked up; else the table's values are gone through.
+        """
+        present, starts, order = self.tables[table]
+        flips = _flips(least, most)
+        if len(flips) < len(present):
+            probes = asked[:, None] ^ flips
+            at = np.minimum(np.searchsorted(present, probes), len(present) - 1)
+            query, hit = np.nonzero(present[at] == probes)
+            value = at[query, hit]
+        else:
+            differ = np.bitwise_count(asked[:, None] ^ present)
+            query, value = np.nonzero((differ >= least) & (differ <= most))
+        sizes = starts[value + 1] - starts[value]
+        inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return np.repeat(query, sizes), order[np.repeat(starts[value], sizes) + inside]
+
+    def within(self, queries: np.ndarray, radius: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Which codes lie within which queries' radius, and how many codes each query met in the tables.
+
+        Two codes within ``radius`` bits agree up to ``radius // m`` bits in one of the first ``radius % m + 1`` of m
+        substrings, or up to one bit less in one of the others. A query that finds fewer than ``least`` codes goes on:
+        its radius is widened bit by bit, and each bit probes one table for the values that have come within reach.
+        """
+        asked, m = _substrings(queries), len(self.tables)
+        met = np.zeros((len(queries), len(self.codes)), dtype=bool)
+        least = min(least, len(self.codes))
+        share, rest = divmod(radius, m)
+        for table in range(m):
+            bits = share if table <= rest else share - 1
+            if bits >= 0:
+                met[self._probe(table, asked[:, table], 0, bits)] = True
+        distance = np.full(met.shape, 16 * m + 1, dtype=np.int32)
+        query, code = np.nonzero(met)
+        distance[query, code] = _distances(queries, self.codes, query, code)
+        found = distance <= radius
+        short = np.flatnonzero(found.sum(axis=1) < least)
+        while short.size:
+            radius += 1
+            share, table = divmod(radius, m)
+            query, code = self._probe(table, asked[short, table], share, share)
+            new = ~met[short[query], code]
+            query, code = short[query[new]], code[new]
+            met[query, code] = True
+            distance[query, code] = _distances(queries, self.codes, query, code)
+            found[short] = distance[short] <= radius
+            short = short[found[short].sum(axis=1) < least]
+        return found, met.sum(axis=1)
+
+
+def _substrings(codes: np.ndarray) -> np.ndarray:
+    """Codes as columns of 16 bits, the last filled up with zeros."""
+    even = np.pad(codes, ((0, 0), (0, codes.shape[1] % 2)))
+    return np.ascontiguousarray(even).view("<u2")
+
+
+@cache
+def _flips(least: int, most: int) -> np.ndarray:
+    """All values of 16 bits with so many bits set."""
+    values = np.arange(1 << 16, dtype=np.uint16)
+    bits = np.bitwise_count(values)
+    return values[(bits >= least) & (bits <= most)]
+
+
+def _distances(queries: np.ndarray, codes: np.ndarray, query: np.ndarray, code: np.ndarray) -> np.ndarray:
+    out = np.empty(len(query), dtype=np.int32)
+    for at in range(0, len(query), 1 << 16):
+        part = slice(at, at + (1 << 16))
+        out[part] = np.bitwise_count(queries[query[part]] ^ codes[code[part]]).sum(axis=1)
+    return out
 
 
 def _usable(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
@@ -117,51 +182,54 @@ def build_index(rows: DataFrame, k: int, seed_rows: int = SAMPLE) -> tuple[DataF
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``id`` and ``score`` (Euclidean distance) of the k nearest found for each query.
 
+    Queries are rows of the same form as ``vectors`` and do not find their own id. Each meets the vectors of its own
+    length; there is one index for each length that queries have. Null, zero and non-finite vectors and vectors without
+    an id take no part. Ties go to smaller ids; rows that repeat id and vector count once. No queries or no vectors: no rows.
+    """
+    usable = _usable(vectors, id_column, vector).withColumn("length", F.size("vector"))
+    asked = stored(_usable(queries, id_column, vector).distinct().withColumn("length", F.size("vector")))
+    lengths = sorted((row["length"], row["n"]) for row in asked.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect())
+    found = vectors.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
+    for length, n in lengths:
+        own = [df.filter(F.col("length") == length).drop("length") for df in (usable, asked)]
+        found = found.union(_search(*own, n, k))
+    return found
+
+
+def _search(usable: DataFrame, asked: DataFrame, n_queries: int, k: int) -> DataFrame:
+    """The search among vectors of one length.
+
     The index is cut into parts of a bounded number of vectors. Every block of queries goes to every part, which probes
     its substring tables, reranks what lies within the radius, and gives at most k for each query; where fewer lie
-    within it the radius is widened. Queries are rows of the same form as ``vectors`` and do not find their own id.
-    Null, zero and non-finite vectors, vectors without an id and those of another length than the first query's
-    take no part. Ties go to smaller ids; equal ids with one vector count once. No queries or no vectors: no rows.
+    within it the radius is widened.
     """
-    usable = _usable(vectors, id_column, vector)
-    asked, n_queries = stored_counted(_usable(queries, id_column, vector).distinct())
-    schema = "query_id long, rank int, id long, score double"
-    spark = vectors.sparkSession
-    first = asked.orderBy("id").select(F.size("vector")).limit(1).collect()
-    if not first:
-        return spark.createDataFrame([], schema)
-    index, total, coder = build_index(usable.filter(F.size("vector") == first[0][0]), k)
+    index, total, coder = build_index(usable, k)
     if not total:
-        return spark.createDataFrame([], schema)
+        return usable.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
     shards, blocks = max(1, -(-total // SHARD)), max(1, -(-n_queries // BLOCK))
     parts = index.select(
         "*", F.pmod(F.xxhash64("vector"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     )
-    sent = asked.filter(F.size("vector") == first[0][0]).select(
-        "id", "vector", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
-    )
+    every_part = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
+    sent = asked.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), every_part)
 
     def near(part: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if part.empty or block.empty:
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
         own, asking = np.stack(part["vector"].to_numpy()), np.stack(block["vector"].to_numpy())
-        codes = np.frombuffer(b"".join(part["code"]), dtype=np.uint8).reshape(len(part), -1)
-        marks, radius = coder.codes(asking), coder.radius
-        found = within_radius(marks, codes, radius)
-        while (short := np.flatnonzero(found.sum(axis=1) < min(k + 1, len(part)))).size:
-            radius += 8
-            found[short] = within_radius(marks[short], codes, radius)
-        ids, out = part["ids"].to_numpy(), []
-        for row, query in enumerate(block["id"].to_numpy()):
-            at = np.flatnonzero(found[row])
-            score = np.sqrt(((own[at] - asking[row]) ** 2).sum(axis=1))
-            best = np.argsort(score, kind="stable")[: k + 1]
-            best = at[score <= score[best[-1]]], score[score <= score[best[-1]]]
-            pairs = sorted((s, int(i)) for p, s in zip(*best) for i in ids[p] if i != query)[:k]
-            out += [(query, i, s) for s, i in pairs]
+        tables = SubstringTables(np.frombuffer(b"".join(part["code"]), dtype=np.uint8).reshape(len(part), -1))
+        marks, ids, names, out = coder.codes(asking), part["ids"].to_numpy(), block["id"].to_numpy(), []
+        for first in range(0, len(block), AT_ONCE):
+            found, _ = tables.within(marks[first : first + AT_ONCE], coder.radius, k + 1)
+            for row, hits in enumerate(found, first):
+                at = np.flatnonzero(hits)
+                score = np.sqrt(((own[at] - asking[row]) ** 2).sum(axis=1))
+                last = np.partition(score, min(k, len(score) - 1))[min(k, len(score) - 1)]
+                pairs = sorted((s, int(i)) for p, s in zip(at[score <= last], score[score <= last]) for i in ids[p] if i != names[row])
+                out += [(names[row], i, s) for s, i in pairs[:k]]
         return pd.DataFrame(out, columns=["query_id", "id", "score"])
 
-    find_package(spark)
+    find_package(usable.sparkSession)
     both = parts.groupBy("shard", "block").cogroup(sent.groupBy("shard", "block"))
     local = both.applyInPandas(near, "query_id long, id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "id")

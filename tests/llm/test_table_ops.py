@@ -285,12 +285,32 @@ def test_neighbours_reach_the_recall(spark):
     assert ann.search(few.limit(0), few.limit(0)).count() == 0
 
 
-def test_probing_finds_all_codes_within_the_radius():
+@pytest.mark.parametrize(("width", "rows"), [(1, 300), (4, 400), (5, 3000)])
+def test_probing_finds_all_codes_within_the_radius(width, rows):
     draw = np.random.default_rng(2)
-    codes, asked = draw.integers(0, 256, (400, 4), dtype=np.uint8), draw.integers(0, 256, (20, 4), dtype=np.uint8)
+    codes, asked = (draw.integers(0, 256, (n, width), dtype=np.uint8) for n in (rows, 20))
+    asked[:10] = codes[:10] ^ draw.integers(0, 2, (10, width), dtype=np.uint8)
     distance = np.unpackbits(codes[None] ^ asked[:, None], axis=2).sum(axis=2)
-    for radius in range(0, 33):
-        assert (ann.within_radius(asked, codes, radius) == (distance <= radius)).all()
+    tables = ann.SubstringTables(codes)
+    for radius in range(8 * width + 1):
+        found, met = tables.within(asked, radius, least=0)
+        assert (found == (distance <= radius)).all() and (met >= found.sum(axis=1)).all()
+        if radius < 2 * ((width + 1) // 2):  # up to one bit in each substring: few codes are looked at
+            assert width == 1 or met.sum() < 0.1 * distance.size
+    # Widened bit by bit to the first radius that holds enough.
+    found, _ = tables.within(asked, 0, least=11)
+    reach = np.sort(distance, axis=1)[:, 10]
+    assert (found == (distance <= reach[:, None])).all()
+    assert tables.within(asked, 0, least=rows + 5)[0].all()
+
+
+def test_neighbours_of_several_lengths(spark):
+    rows = [(k, [float(k), 1.0, 0.0][: 2 + k % 2], 0) for k in range(40)]
+    table = vectors(spark, [*rows, *rows[:3]])
+    found = ann.search(table, table.filter("vec_id in (10, 11)"), k=3).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.id, r.score) for r in found] == [
+        (10, 1, 8, 2.0), (10, 2, 12, 2.0), (10, 3, 6, 4.0), (11, 1, 9, 2.0), (11, 2, 13, 2.0), (11, 3, 7, 4.0)
+    ]
 
 
 def test_snapshots_collapse(spark):
