@@ -64,10 +64,9 @@ class SubstringTables:
     """Codes with a table for each substring of 16 bits: the values that occur, in order, and the codes that hold each."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes = codes
-        self.words = _substrings(codes)
+        self.codes = _columns(codes, "<u8")
         self.tables = []
-        for values in self.words.T:
+        for values in _columns(codes, "<u2").T:
             order = np.argsort(values, kind="stable")
             present, starts = np.unique(values[order], return_index=True)
             self.tables.append((present, np.append(starts, len(order)), order))
@@ -98,7 +97,7 @@ class SubstringTables:
         substrings, or up to one bit less in one of the others. A query that finds fewer than ``least`` codes goes on:
         its radius is widened bit by bit, and each bit probes one table for the values that have come within reach.
         """
-        asked, m = _substrings(queries), len(self.tables)
+        asked, whole, m = _columns(queries, "<u2"), _columns(queries, "<u8"), len(self.tables)
         met = np.zeros((len(queries), len(self.codes)), dtype=bool)
         least = min(least, len(self.codes))
         share, rest = divmod(radius, m)
@@ -108,7 +107,7 @@ class SubstringTables:
                 met[self._probe(table, asked[:, table], 0, bits)] = True
         distance = np.full(met.shape, 16 * m + 1, dtype=np.int32)
         query, code = np.nonzero(met)
-        distance[query, code] = _distances(queries, self.codes, query, code)
+        distance[query, code] = _distances(whole, self.codes, query, code)
         found = distance <= radius
         short = np.flatnonzero(found.sum(axis=1) < least)
         while short.size:
@@ -118,16 +117,16 @@ class SubstringTables:
             new = ~met[short[query], code]
             query, code = short[query[new]], code[new]
             met[query, code] = True
-            distance[query, code] = _distances(queries, self.codes, query, code)
+            distance[query, code] = _distances(whole, self.codes, query, code)
             found[short] = distance[short] <= radius
             short = short[found[short].sum(axis=1) < least]
         return found, met.sum(axis=1)
 
 
-def _substrings(codes: np.ndarray) -> np.ndarray:
-    """Codes as columns of 16 bits, the last filled up with zeros."""
-    even = np.pad(codes, ((0, 0), (0, codes.shape[1] % 2)))
-    return np.ascontiguousarray(even).view("<u2")
+def _columns(codes: np.ndarray, kind: str) -> np.ndarray:
+    """Codes as columns of whole numbers, the last filled up with zeros."""
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.pad(codes, ((0, 0), (0, -codes.shape[1] % width)))).view(kind)
 
 
 @cache
