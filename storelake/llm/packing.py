@@ -35,7 +35,7 @@ def pieces(
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
-                ids, starts = own.encode(batch.column("text").to_pylist(), end_id)
+                ids, starts = own.encode(batch.column("text"), end_id)
                 sizes = np.diff(starts)
                 cuts = -(-sizes // capacity)
                 row = np.repeat(np.arange(len(sizes)), cuts)

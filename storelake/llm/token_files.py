@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storelake.llm.encoding import encoder, vocabulary
-from storelake.llm.workers import Batches, map_batches
+from storelake.llm.workers import Batches, by_size, map_batches
 from storelake.session import scratch_path
 from storelake.sinks.files import stored
 
-SLICE = 256  # texts encoded at a time, which bounds a worker's memory
+MOST = 8 << 20  # bytes of text encoded at a time (a longer text alone), which bounds a worker's memory
 
 # Ids are dictionary-encoded (a vocabulary fits one dictionary page); ascending numbers are delta-encoded. Row groups and
 # pages are small enough to skip, and the writer adds the page index (smallest and largest value of each page).
@@ -42,9 +42,8 @@ def write_tokens(docs: DataFrame, path: str, name: str = "word_bpe_49k.json", ki
 
         own, part, before = encoder(vocabulary(name), kind), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
-                ids, starts = own.encode(batch.column("text").to_pylist(), end_id)
+            for batch in by_size(whole, "text", MOST):
+                ids, starts = own.encode(batch.column("text"), end_id)
                 sizes = np.diff(starts)
                 yield pa.RecordBatch.from_arrays(
                     [
