@@ -12,7 +12,7 @@ from storelake.llm.workers import Batches, by_size, map_batches
 from storelake.session import scratch_path
 from storelake.sinks.files import stored
 
-MOST = 8 << 20  # bytes of text encoded at a time (a longer text alone), which bounds a worker's memory
+MOST = 2 << 20  # bytes of text encoded at a time (a longer text alone), which bounds a worker's memory
 
 # Ids are dictionary-encoded (a vocabulary fits one dictionary page); ascending numbers are delta-encoded. Row groups and
 # pages are small enough to skip, and the writer adds the page index (smallest and largest value of each page).
