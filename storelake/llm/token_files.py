@@ -12,7 +12,8 @@ from storelake.llm.workers import Batches, by_size, map_batches
 from storelake.session import scratch_path
 from storelake.sinks.files import stored
 
-MOST = 2 << 20  # bytes of text encoded at a time (a longer text alone), which bounds a worker's memory
+SLICE = 256  # documents handed back at a time
+MOST = 4 << 20  # bytes of text encoded at a time (a longer text alone), which bounds a worker's memory
 
 # Ids are dictionary-encoded (a vocabulary fits one dictionary page); ascending numbers are delta-encoded. Row groups and
 # pages are small enough to skip, and the writer adds the page index (smallest and largest value of each page).
@@ -45,7 +46,7 @@ def write_tokens(docs: DataFrame, path: str, name: str = "word_bpe_49k.json", ki
             for batch in by_size(whole, "text", MOST):
                 ids, starts = own.encode(batch.column("text"), end_id)
                 sizes = np.diff(starts)
-                yield pa.RecordBatch.from_arrays(
+                rows = pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
                         pa.array(np.full(len(sizes), part, dtype=np.int32)),
@@ -55,6 +56,7 @@ def write_tokens(docs: DataFrame, path: str, name: str = "word_bpe_49k.json", ki
                     ],
                     names=["doc_id", "part", "first", "n_tokens", "ids"],
                 )
+                yield from (rows.slice(at, SLICE) for at in range(0, rows.num_rows, SLICE))
                 before += int(starts[-1])
 
     # Rows that repeat an id can be dealt over several ranges; equal ones are told apart by a number of their own.
