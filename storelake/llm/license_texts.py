@@ -1,4 +1,9 @@
-"""Texts of common license notices, and the words that tell close ones apart. Fixed values."""
+"""Texts of common licenses and notices, and the words that tell close ones apart. Fixed values.
+
+``license_bodies`` holds the whole texts of longer licenses, under the name of the license.
+"""
+
+from importlib.resources import files
 
 TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
@@ -118,5 +123,22 @@ for _kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
         TEMPLATES[f"CC-{_kind}-{_version}-notice"] = f"Licensed under CC {_kind} {_version}."
         REQUIRED[f"CC-{_kind}-{_version}-notice"] = [f"CC {_kind} {_version}".lower().replace("-", " ").replace(".", " ")]
 
+# Whole texts.
+BODIES = {
+    entry.name.removesuffix(".txt"): entry.read_text(encoding="utf-8")
+    for entry in sorted(files(__package__).joinpath("license_bodies").iterdir(), key=lambda e: e.name)
+    if entry.name.endswith(".txt")
+}
+TEMPLATES |= {f"{_id}-text": _text for _id, _text in BODIES.items()}
+
+# Tags that name a license.
+for _id in [
+    "MIT", "ISC", "Unlicense", "Zlib", "BSL-1.0", "CC0-1.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-1.1", "MPL-2.0",
+    "EPL-1.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only",
+    "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later",
+]:
+    TEMPLATES[f"{_id}-tag"] = f"SPDX-License-Identifier: {_id}"
+    REQUIRED[f"{_id}-tag"] = [f"SPDX License Identifier {_id}".lower().replace("-", " ").replace(".", " ")]
+
 # Words too frequent in any text to begin a search at.
 COMMON = "a an and any as at be by can for from if in is it not of on or see shall that the this to under was will with you your work no do so such list use file free more out may"

@@ -13,7 +13,7 @@ from storelake.llm.text import words_of
 from storelake.llm.workers import Batches, map_batches
 
 COVERAGE = 0.8
-SLICE = 512
+SLICE = 256
 
 
 def _increasing(places: list[int]) -> list[int]:
@@ -93,7 +93,9 @@ class Scanner:
         self.required = [[[known[w] for w in phrase.split()] for phrase in own] for own in phrases]
         common = {self.vocabulary[w] for w in COMMON.split() if w in self.vocabulary}
         self.rare = [frozenset(own) - common or frozenset(own) for own in self.words]
-        self.counts = np.stack([np.bincount(own, minlength=len(self.vocabulary)) for own in self.words])
+        self.counts = [Counter(own) for own in self.words]
+        self.columns = [np.array(sorted(own), dtype=np.int64) for own in self.counts]
+        self.numbers = [np.array([own[w] for w in sorted(own)], dtype=np.int64) for own in self.counts]
         self.needed = np.array([int(np.ceil(coverage * len(own) - 1e-9)) for own in self.words])
 
     def _windows(self, text: list[int], k: int, hits: np.ndarray):
@@ -101,13 +103,17 @@ class Scanner:
         template, need = self.words[k], self.needed[k]
         lead = next(i for i, w in enumerate(template) if w in self.rare[k])
         span = len(template) + len(template) // 2 + 4
-        behind = 0
-        for hit in hits:
-            begin = max(behind, int(hit) - lead - 2)
-            if hit < behind:
+        behind = soonest = 0
+        for hit in hits.tolist():
+            begin = max(behind, hit - lead - 2)
+            if hit < behind or hit < soonest:
                 continue
-            window = text[begin : int(hit) + span]
-            if len(window) < need or sum((Counter(window) & Counter(template)).values()) < need:
+            window = text[begin : hit + span]
+            if len(window) < need:
+                return  # those after it are shorter still
+            missing = need - (Counter(window) & self.counts[k]).total()
+            if missing > 0:
+                soonest = hit + missing  # a window gains no more words than it moves on by
                 continue
             if not all(_holds(window, phrase) for phrase in self.required[k]):
                 continue
@@ -140,7 +146,8 @@ class Scanner:
         known = words >= 0
         size = len(self.vocabulary)
         counts = np.bincount(doc[known] * size + words[known], minlength=len(texts) * size).reshape(-1, size)
-        enough = np.stack([np.minimum(counts, own).sum(axis=1) >= need for own, need in zip(self.counts, self.needed)], axis=1)
+        shared = [np.minimum(counts[:, own], most).sum(axis=1) for own, most in zip(self.columns, self.numbers)]
+        enough = np.stack(shared, axis=1) >= self.needed
         out: list[list[tuple[int, int, int, int]]] = [[] for _ in range(len(texts))]
         for row in np.flatnonzero(enough.any(axis=1)):
             out[row] = self.scan(words[starts[row] : starts[row + 1]], np.flatnonzero(enough[row]))

@@ -308,3 +308,47 @@ def test_alignment_is_a_common_subsequence():
     same = list(range(30))
     assert licenses.align(same, same) == [(k, k) for k in range(30)]
     assert len(licenses.align([50, *same[:10], 51, *same[12:], 52], same)) == 28
+
+
+def test_whole_license_texts_go_by_their_own_names(spark):
+    names = sorted(license_texts.BODIES)
+    rows = [(k, prose(k, 60) + "\n" + license_texts.BODIES[n] + "\n" + prose(70 + k, 60), "a") for k, n in enumerate(names)]
+    tags = ["MIT", "GPL-2.0-only", "GPL-2.0-or-later"]
+    rows += [(90 + k, f"// SPDX-License-Identifier: {tag}\n" + prose(3, 20), "a") for k, tag in enumerate(tags)]
+    found = sorted((r.doc_id, r.license_id) for r in licenses.scan(documents(spark, rows)).collect())
+    assert found == [(k, f"{n}-text") for k, n in enumerate(names)] + [(90 + k, f"{tag}-tag") for k, tag in enumerate(tags)]
+
+
+def matches_of_all_windows(scanner, text):
+    """All matches of each template, every window being aligned, and of those that overlap the best."""
+    found = []
+    for k, template in enumerate(scanner.words):
+        lead, behind = next(i for i, w in enumerate(template) if w in scanner.rare[k]), 0
+        for hit in (i for i, w in enumerate(text) if w in scanner.rare[k]):
+            if hit >= behind:
+                begin = max(behind, hit - lead - 2)
+                pairs = licenses.align(text[begin : hit + len(template) + len(template) // 2 + 4], template)
+                if len(pairs) >= scanner.coverage * len(template) - 1e-9:
+                    found.append((k, len(pairs), begin + pairs[0][0], begin + pairs[-1][0]))
+                    behind = begin + pairs[-1][0] + 1
+    kept = []
+    for m in sorted(found, key=lambda m: (-m[1], -m[1] / len(scanner.words[m[0]]), m[0], m[2])):
+        if all(m[3] < other[2] or m[2] > other[3] for other in kept):
+            kept.append(m)
+    return sorted(kept, key=lambda m: m[2])
+
+
+def test_license_windows_match_brute_force():
+    draw, total = random.Random(11), 0
+    for _ in range(150):
+        vocabulary = [f"w{n}" for n in range(draw.randint(4, 30))]
+        templates = {f"t{n}": " ".join(draw.choices(vocabulary, k=draw.randint(3, 25))) for n in range(4)}
+        own, texts = licenses.Scanner(templates), []
+        for _ in range(5):
+            parts = [" ".join(draw.choices(vocabulary, k=draw.randint(0, 15))) for _ in range(3)]
+            texts.append(" ".join([parts[0], draw.choice(list(templates.values())), parts[1], draw.choice(list(templates.values())), parts[2]]))
+        for text, found in zip(texts, own.scan_all(pa.array(texts, type=pa.large_string()))):
+            wanted = matches_of_all_windows(own, [own.vocabulary.get(w, -1) for w in text.split()])
+            assert [tuple(int(x) for x in m) for m in found] == wanted
+            total += len(wanted)
+    assert total > 500
