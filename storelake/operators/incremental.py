@@ -64,33 +64,36 @@ def not_in(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     mark = "maybe_stored"
     while mark in df.columns:
         mark += "_"
-    flagged = stored(_with_mark(df, key, key_bits(existing, key), mark))
+    flagged = stored(with_mark(df, key, key_bits(existing, key), mark))
     doubtful = flagged.filter(mark)
-    wanted = _with_mark(existing.select(key), key, key_bits(doubtful, key), mark).filter(mark)
+    wanted = with_mark(existing.select(key), key, key_bits(doubtful, key), mark).filter(mark)
     known = stored(wanted.select(key).distinct())
     checked = doubtful.join(known, key, "left_anti").select(df.columns)
     return flagged.filter(~F.col(mark)).select(df.columns).union(checked)
 
 
-def _bit(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
+def _place(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BITS))
 
 
 def key_bits(df: DataFrame, key: str) -> DataFrame:
-    """Bitmap of the hashes of all keys: ``part`` and ``bits``, of at most ``BITS`` bits in all.
+    """Bitmap of the hashes of all keys: ``part`` and ``bits``, an array of 64-bit words, of at most ``BITS`` bits in all.
 
     Every task combines its keys into one bitmap before the shuffle, so repeated keys cost nothing.
     """
-    place = _bit(key)
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position(place))
-    return df.filter(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(place).alias("part")).agg(bits.alias("bits"))
+    place = _place(key) + 1
+    made = F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("made")
+    parts = df.filter(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(place).alias("part")).agg(made)
+    word = "transform(sequence(0, 511), i -> cast(conv(hex(substring(made, 8 * i + 1, 8)), 16, -10) as bigint))"
+    return parts.select("part", F.expr(word).alias("bits"))
 
 
-def _with_mark(df: DataFrame, key: str, bits: DataFrame, mark: str) -> DataFrame:
+def with_mark(df: DataFrame, key: str, bits: DataFrame, mark: str) -> DataFrame:
     """The frame with a column that tells whether the bit of the key is set; false for a null key."""
     own = bits.select(F.col("part").alias(f"{mark}_part"), F.col("bits").alias(f"{mark}_bits"))
-    at = F.bitmap_bit_position(_bit(key))
-    byte = F.conv(F.hex(F.substring(f"{mark}_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0
-    met = df.join(F.broadcast(own), F.bitmap_bucket_number(_bit(key)) == F.col(f"{mark}_part"), "left")
+    place = _place(key)
+    word = F.get(f"{mark}_bits", F.shiftright(place, 6).bitwiseAND(511).cast("int"))
+    byte = F.shiftright(place, 3).bitwiseAND(7)  # counted from the high end of the word
+    is_set = F.getbit(word, ((F.lit(7) - byte) * 8 + place.bitwiseAND(7)).cast("int")) == 1
+    met = df.join(F.broadcast(own), F.bitmap_bucket_number(place + 1) == F.col(f"{mark}_part"), "left")
     return met.select(*df.columns, F.coalesce(is_set & F.col(key).isNotNull(), F.lit(False)).alias(mark))
