@@ -7,7 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, StringType, StructField, StructType
 
+from storelake.sinks.files import stored_counted
+
 CORRUPT = "_corrupt_record"  # Spark's own name for it
+MANY = 100_000  # hashes of repeated rows, up to which the others are told from them by a join
 
 
 def normalize_names(df: DataFrame) -> DataFrame:
@@ -56,6 +59,33 @@ def clean(df: DataFrame) -> DataFrame:
     return complete(normalize_names(df)).distinct()
 
 
+def distinct_rows(df: DataFrame, first_pass: DataFrame | None = None) -> DataFrame:
+    """``distinct`` for a frame read from files, of which few rows repeat: the rows themselves are not shuffled.
+
+    A first pass shuffles the hashes of the rows alone. Only rows whose hash comes twice or more are then grouped; where there
+    are more than ``MANY`` such hashes, all are. ``first_pass`` is the same frame for that pass, such as one that is observed.
+    """
+    floats = [f.name for f in df.schema if isinstance(f.dataType, (FloatType, DoubleType))]
+    own = "row_hash"
+    while own in df.columns:
+        own += "_"
+
+    def hashed(rows: DataFrame) -> DataFrame:
+        no_minus = {name: F.col(name) + F.lit(0).cast(rows.schema[name].dataType) for name in floats}  # -0.0 is 0.0
+        rows = rows.withColumns(no_minus) if floats else rows
+        return rows.withColumn(own, F.xxhash64(*df.columns))
+
+    counted = hashed(df if first_pass is None else first_pass).groupBy(own).agg(F.count(F.lit(1)).alias("n"))
+    repeated, many = stored_counted(counted.filter("n > 1").select(own))
+    rows = hashed(df)
+    if many > MANY:
+        return rows.drop(own).distinct()
+    if not many:
+        return rows.drop(own)
+    once = rows.join(repeated, own, "left_anti").drop(own)
+    return once.union(rows.join(repeated, own, "left_semi").drop(own).distinct())
+
+
 def cast_to(df: DataFrame, schema: StructType) -> DataFrame:
     """Project onto a schema; a value that does not convert becomes null.
 

@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from storelake.operators import dims, facts
-from storelake.operators.clean import CORRUPT, cast_to, clean, drop_counts, with_corrupt
+from storelake.operators.clean import CORRUPT, cast_to, clean, complete, distinct_rows, drop_counts, normalize_names, with_corrupt
 from storelake.operators.incremental import not_in
 from storelake.operators.watermarks import append_newer
 from storelake.schemas import BATCH_TABLES, GOLD_TABLES
@@ -78,7 +78,7 @@ def bronze_to_silver(
     """Clean the Bronze files into Silver and return, per table, the rows kept and those dropped by reason.
 
     Reasons are ``malformed`` (a cell is missing or cannot be read, which leaves a null), ``nulls`` (an empty cell or NaN) and
-    ``repeated``. They are counted by the tasks that clean.
+    ``repeated``. They are counted by the tasks that look for repeated rows.
 
     Name the tables whose text holds line breaks in ``multi_line``; their files are not split. Given the
     rows that were extracted, a table read with another number of rows is an error: a line break has cut a row.
@@ -88,7 +88,8 @@ def bronze_to_silver(
         counter = Observation()
         bronze = read_csv(spark, f"{lake.bronze}/{name}", with_corrupt(BATCH_TABLES[name]), name in multi_line)
         counts = [c.alias(n) for n, c in drop_counts(BATCH_TABLES[name]).items()]
-        _, kept = stored_counted(clean(bronze.observe(counter, *counts).drop(CORRUPT)), f"{lake.silver}/{name}")
+        whole, watched = (complete(normalize_names(b.drop(CORRUPT))) for b in (bronze, bronze.observe(counter, *counts)))
+        _, kept = stored_counted(distinct_rows(whole, watched), f"{lake.silver}/{name}")
         found = observed(counter, lambda: bronze.agg(*counts).first().asDict())
         read = found["rows"]
         wanted = (extracted or {}).get(name, read)
