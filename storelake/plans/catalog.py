@@ -5,6 +5,7 @@ Queries that write do so under the scratch folder and return what a reader finds
 
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
+from functools import partial
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -540,14 +541,19 @@ def items_compacted(spark, folder):
     return current.withColumn("discount_applied", F.col("discount_applied").cast("double"))
 
 
-def input_files(spark, folder, root: str, cuts: int) -> list[str]:
-    """The keyed records as so many Parquet files, cut by their sequence number, not yet where the stream looks."""
-    records, paths = views.keyed_records(spark, folder), []
+def input_files(spark, folder, root: str, cuts: int, one_file: bool = False) -> list[str]:
+    """The keyed records as so many Parquet folders, cut by their sequence number, not yet where the stream looks.
+
+    A folder has as many files as are worth a task, since a batch is decoded by a task for each, or else ``one_file``.
+    """
+    records, paths = views.keyed_records(spark, folder), [f"{root}/spare/{n}" for n in range(cuts)]
     last = records.agg(F.max("seq")).first()[0]
-    for n in range(cuts):
+
+    def write(n: int) -> None:
         part = records.filter((F.col("seq") * cuts >= n * (last + 1)) & (F.col("seq") * cuts < (n + 1) * (last + 1)))
-        sinks.overwrite(part.coalesce(1), f"{root}/spare/{n}")
-        paths.append(f"{root}/spare/{n}")
+        sinks.overwrite(part.coalesce(1) if one_file else part.repartition("seq"), paths[n])
+
+    loads.together(spark, **{f"part_{n}": partial(write, n) for n in range(cuts)})
     return paths
 
 
@@ -571,7 +577,7 @@ def stream_upsert_folded(spark, folder):
 def stream_replay(spark, folder):
     """A stream whose second file first holds unreadable records: it fails, is mended and restarted. Log rows and alerts."""
     root = scratch_path(spark, "replay")
-    paths = input_files(spark, folder, root, 3)
+    paths = input_files(spark, folder, root, 3, one_file=True)
     broken = f"{root}/broken"
     whole = spark.read.schema(KEYED_RECORD).parquet(paths[1])
     sinks.overwrite(whole.withColumn("data", F.when(F.col("seq") % 1000 == 7, F.base64(F.lit("{").cast("binary"))).otherwise(F.col("data"))).coalesce(1), broken)
