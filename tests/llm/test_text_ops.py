@@ -192,6 +192,20 @@ def fuzzy_rows(seed, n):
     return rows
 
 
+def test_pairs_far_apart_in_the_whole_code_do_not_leave_their_bucket():
+    """Pairs close in the two words of a bucket alone left it as rows that grew with the square of the lines."""
+    draw = random.Random(3)
+    words = [[draw.getrandbits(62) for _ in line_dedup.CODES] for _ in range(60)]
+    words += [[w ^ 5 for w in row] for row in words[:20]]  # twenty pairs are close in all words
+    n = len(words)
+    columns = {"bucket": [7] * n, "line_id": list(range(n)), "component": list(range(n)), "one": [9] * n, "two": [11] * n}
+    columns |= {k: [row[i] for row in words] for i, k in enumerate(line_dedup.CODES)}
+    batch = pa.RecordBatch.from_pydict({**columns, "size": pa.array([100] * n, pa.int32())})
+    for leave in (line_dedup._across, line_dedup._spanning):
+        found = pa.Table.from_batches(leave(iter([batch])))
+        assert list(zip(*(found.column(c).to_pylist() for c in "ab"))) == [(k, k + 60) for k in range(20)]
+
+
 @pytest.mark.parametrize("tile", [2, 2048])
 def test_lines_match_brute_force(spark, tile):
     rows = fuzzy_rows(3, 60)
