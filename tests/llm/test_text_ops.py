@@ -206,6 +206,38 @@ def test_pairs_far_apart_in_the_whole_code_do_not_leave_their_bucket():
         assert list(zip(*(found.column(c).to_pylist() for c in "ab"))) == [(k, k + 60) for k in range(20)]
 
 
+def bucket_of(block, lines):
+    """One bucket of a block as the operator deals it: (line_id, four words), no line joined to another."""
+    word, place = divmod(block, line_dedup.PER_WORD)
+    bits = lines[0][1][word] >> (place * line_dedup.BLOCK_BITS) & ((1 << line_dedup.BLOCK_BITS) - 1)
+    columns = {"bucket": [block << line_dedup.BLOCK_BITS | bits] * len(lines)}
+    columns |= {c: [n for n, _ in lines] for c in ("line_id", "component")}
+    columns |= {c: [row[(word + k) % 4] for _, row in lines] for k, c in ((1, "one"), (2, "two"))}
+    columns |= {k: [row[i] for _, row in lines] for i, k in enumerate(line_dedup.CODES)}
+    return pa.RecordBatch.from_pydict({**columns, "size": pa.array([100] * len(lines), pa.int32())})
+
+
+def test_a_pair_leaves_one_of_its_buckets_only():
+    """A pair left every bucket in which it met: rows that grew with the square of a family of lines, twenty times over."""
+    draw = random.Random(5)
+    word = [draw.getrandbits(62) for _ in line_dedup.CODES]
+    family = [(n, [*word[:3], word[3] ^ 1 << n]) for n in range(12)]  # alike but for a bit of the first block of the last word
+    found = pa.Table.from_batches(line_dedup._across(bucket_of(block, family) for block in (0, 1, 6, 19)))
+    assert found.num_rows == 66 and found.group_by(["a", "b"]).aggregate([]).num_rows == 66
+    late = pa.Table.from_batches(line_dedup._across(iter([bucket_of(0, family[:2]), bucket_of(19, family)])))
+    assert late.num_rows == 1  # all others are left to the bucket of block 0
+
+
+def test_spanning_pairs_are_close_themselves():
+    """A family was joined by links to its first line, close to it or not, of which most were not similar."""
+    draw = random.Random(6)
+    word = [draw.getrandbits(62) for _ in line_dedup.CODES]
+    ones = [0, (1 << 12) - 1, (1 << 24) - 1, (1 << 36) - 1, (1 << 48) - 1]  # each twelve bits from the next in every word but the first
+    chain = [(n, [word[0], *[w ^ x & (1 << 62) - 1 for w in word[1:]]]) for n, x in enumerate(ones)]
+    found = pa.Table.from_batches(line_dedup._spanning(iter([bucket_of(0, chain)])))
+    assert list(zip(*(found.column(c).to_pylist() for c in "ab"))) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+
+
 @pytest.mark.parametrize("tile", [2, 2048])
 def test_lines_match_brute_force(spark, tile):
     rows = fuzzy_rows(3, 60)
