@@ -65,7 +65,7 @@ def together(spark: SparkSession, **jobs: Callable[[], T]) -> dict[str, T]:
 
 
 def extract(spark: SparkSession, sources: Mapping[str, DataFrame], lake: Lake) -> dict[str, int]:
-    """Source tables to Bronze CSV, written in parallel by the executors. Returns the rows written per table."""
+    """Source tables to compressed Bronze CSV, written in parallel by the executors. Returns the rows written per table."""
     return together(
         spark,
         **{name: partial(write_csv_counted, source, f"{lake.bronze}/{name}") for name, source in sources.items()},

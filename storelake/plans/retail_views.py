@@ -50,22 +50,31 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem").join(
-        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    # Dates and flags are made before the join, which shuffles a few bytes less a row for it.
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        F.col("l_shipdate").cast("date").alias("shipped"),
+        "l_linenumber",
+        F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("fraud_label"),
+        "l_extendedprice",
+        "l_discount",
+        "l_returnflag",
+    )
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("ordered"), "o_orderpriority"
     )
-    return lines.select(
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat(F.lit("T"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("transaction_id"),
         customer_id("o_custkey").alias("customer_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
+        F.col("ordered").cast("string").alias("order_date"),
         F.col("l_extendedprice").alias("order_value"),
         F.col("o_orderpriority").alias("payment_method"),
         F.col("l_returnflag").alias("device_type"),
         F.col("l_discount").alias("discount_applied"),
-        F.date_diff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")).alias(
-            "shipping_delay_days"
-        ),
-        F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("fraud_label"),
+        F.date_diff("shipped", "ordered").alias("shipping_delay_days"),
+        "fraud_label",
     )
 
 

@@ -13,6 +13,9 @@ from storelake.session import scratch_path
 # Hexadecimal keys, which are most of a fact, take half the room that they take in Spark's default codec.
 CODEC = "zstd"
 
+# Extracts are compressed. A compressed file cannot be split, so a task closes one after so many rows: readers then share them.
+EXTRACT_ROWS = 500_000
+
 
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path, compression=CODEC)
@@ -163,14 +166,15 @@ def _file_names(spark: SparkSession, path: str) -> list[str]:
     return names
 
 
-def write_csv_counted(df: DataFrame, path: str) -> int:
-    """``write_csv``, and the number of rows that its tasks have written."""
+def write_csv_counted(df: DataFrame, path: str, file_rows: int = EXTRACT_ROWS) -> int:
+    """``write_csv`` in gzip files of at most ``file_rows`` rows, and the number of rows that its tasks have written."""
     counter = Observation()
-    write_csv(df.observe(counter, F.count(F.lit(1)).alias("rows")), path)
+    counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
+    write_csv(counted, path, compression="gzip", maxRecordsPerFile=file_rows)
     return observed_rows(counter, df.count)
 
 
-def write_csv(df: DataFrame, path: str, line_sep: str = "\r\n") -> None:
+def write_csv(df: DataFrame, path: str, line_sep: str = "\r\n", **options) -> None:
     """Bronze extract: header, doubled quotes, untrimmed text, nulls and empty text left blank."""
     (
         df.write.mode("overwrite")
@@ -181,5 +185,6 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\r\n") -> None:
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .options(**options)
         .csv(path)
     )

@@ -3,7 +3,7 @@ import pytest
 from storelake.schemas import FLOAT, INT, TEXT, TRANSACTIONS, columns
 from storelake.session import scratch_path
 from storelake.operators.clean import clean
-from storelake.sinks.files import stored, write_csv
+from storelake.sinks.files import stored, write_csv, write_csv_counted
 from storelake.sinks.jdbc import reload_options, reload_table
 from storelake.sources.files import read_csv
 from storelake.sources.jdbc import Partitioning, read_jdbc, read_options
@@ -151,3 +151,13 @@ def test_jdbc_read_passes_its_options():
     read_jdbc(Session(), CONNECTION, table="shop.customers", partitioning=ranges)
     assert Session.read.calls["format"] == "jdbc"
     assert Session.read.calls["options"] == read_options(CONNECTION, table="shop.customers", partitioning=ranges)
+
+
+def test_extracts_are_compressed_files_of_bounded_size(spark, tmp_path):
+    df = spark.range(0, 1000, numPartitions=2).selectExpr("concat('row, ', id) as id", "cast(id as int) as n", "cast(0.5 as float) as v")
+    path = tmp_path / "out"
+    assert write_csv_counted(df, str(path), 200) == 1000
+    names = [f.name for f in path.iterdir() if f.name.startswith("part-")]
+    assert len(names) == 6 and all(name.endswith(".csv.gz") for name in names)
+    back = read_csv(spark, str(path), CELLS)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
