@@ -11,6 +11,7 @@ from storelake.sinks.files import stored_counted
 
 CORRUPT = "_corrupt_record"  # Spark's own name for it
 MANY = 100_000  # hashes of repeated rows, up to which the others are told from them by a join
+HASH_BITS = 48  # of a row's hash: fewer bytes to shuffle; different rows that share one, 83 pairs of 216 million, are grouped too
 
 
 def normalize_names(df: DataFrame) -> DataFrame:
@@ -73,7 +74,7 @@ def distinct_rows(df: DataFrame, first_pass: DataFrame | None = None) -> DataFra
     def hashed(rows: DataFrame) -> DataFrame:
         no_minus = {name: F.col(name) + F.lit(0).cast(rows.schema[name].dataType) for name in floats}  # -0.0 is 0.0
         rows = rows.withColumns(no_minus) if floats else rows
-        return rows.withColumn(own, F.xxhash64(*df.columns))
+        return rows.withColumn(own, F.xxhash64(*df.columns).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
     counted = hashed(df if first_pass is None else first_pass).groupBy(own).agg(F.count(F.lit(1)).alias("n"))
     repeated, many = stored_counted(counted.filter("n > 1").select(own))

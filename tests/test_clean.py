@@ -95,3 +95,9 @@ def test_rows_that_come_once_are_not_shuffled(spark, monkeypatch):
     assert kept.count() == 1998 and "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(cleaning, "MANY", 0)
     assert sorted(map(str, cleaning.distinct_rows(df).collect())) == wanted
+
+
+def test_different_rows_of_one_hash_are_kept(spark, monkeypatch):
+    df = stored(spark.createDataFrame([(n % 40, "x") for n in range(60)], "a int, b string"))
+    monkeypatch.setattr(cleaning, "HASH_BITS", 2)
+    assert sorted(r.a for r in cleaning.distinct_rows(df).collect()) == list(range(40))
