@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from storelake.llm import components as cc
 from storelake.llm import license_texts, licenses, line_dedup, quality, simhash
+from storelake.llm.scratch import Scratch
 from storelake.llm.text import bit_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -238,6 +240,59 @@ def test_spanning_pairs_are_close_themselves():
     assert list(zip(*(found.column(c).to_pylist() for c in "ab"))) == [(0, 1), (1, 2), (2, 3), (3, 4)]
 
 
+def test_lines_close_in_two_words_alone_do_not_go_on():
+    """Lines were passed on for two words that agree, so that their rows grew with the square of the table."""
+    draw, most = random.Random(9), line_dedup.RADII[0][1]
+    lines = [(n, [draw.getrandbits(62), draw.getrandbits(50) << 12, *(draw.getrandbits(36) for _ in "ab")]) for n in range(60)]
+    lines += [(60 + n, [word ^ 1 << 40 for word in row]) for n, row in lines[:3]]
+    apart = [(a, b, [(x ^ y).bit_count() for x, y in zip(one, two)]) for a, one in lines for b, two in lines[:a]]
+    seen = [x for x in apart if x[2][2] <= line_dedup._FIRST and sum(x[2][2:]) <= int(128 * (most + line_dedup.ROOM))]
+    close = {line for a, b, bits in seen if sum(bits) <= int(256 * most) for line in (a, b)}
+    assert len(seen) > 1000 and {0, 1, 2, 60, 61, 62} <= close and len(close) < 20
+    found = line_dedup._members(iter([bucket_of(5, lines)]))  # block 5 is the first of the second word
+    assert sorted(row for batch in found for row in batch.column("line_id").to_pylist()) == sorted(close)
+
+
+def test_buckets_that_grow_with_the_table_are_dealt_once(spark, monkeypatch):
+    """Beyond two tiles in every bucket each line was copied to all tiles of its twenty buckets, all of them in one shuffle."""
+    draw, n, dealt = random.Random(10), 1 << 15, []
+    rows = [(k, 100, k, 0, 0, *(draw.getrandbits(62) for _ in line_dedup.CODES)) for k in range(n)]
+    codes = ", ".join(f"{c} long" for c in line_dedup.CODES)
+    flat = spark.createDataFrame(rows, f"line_id long, size int, id long, h long, line_no int, {codes}")
+    distinct = flat.withColumn("first", F.struct("id", "h", "line_no")).drop("id", "h", "line_no")
+    docs = spark.createDataFrame([], "id long, h long, text string")
+    plain = line_dedup.map_batches
+
+    def counted(df, run, schema):
+        dealt.append(df.count() if run is line_dedup._members or "large" in schema else 0)
+        return plain(df, run, schema)
+
+    monkeypatch.setattr(line_dedup, "map_batches", counted)
+    monkeypatch.setattr(line_dedup, "DEALT", 1 << 17, raising=False)
+    scratch = Scratch(spark)
+    assert line_dedup.near_links(docs, distinct, 2, scratch).count() == 0
+    scratch.clear()
+    assert [rows for rows in dealt if rows] == [4 * n] * 5
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """They stayed until the driver happened to collect its garbage, all of an operator's beside each other."""
+    kept_by = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        every = kept_by.getAllFiles()
+        return {name for k in range(every.size()) if (name := every.apply(k).getName()).startswith("shuffle_")}
+
+    before, option = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(option, None)
+    line_dedup.dedup_lines(documents(spark, fuzzy_rows(5, 30)))
+    for _ in range(100):
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(option, None) == setting
+
+
 @pytest.mark.parametrize("tile", [2, 2048])
 def test_lines_match_brute_force(spark, tile):
     rows = fuzzy_rows(3, 60)
